@@ -47,12 +47,14 @@ def induce_patterns(values: DataFrame) -> DataFrame:
     bits = {"exact": fixed, "runs": fixed + run_count * _gamma((digits + letters) / run_count), "words": size * 6.0 + _gamma(size), "any": size * 7.0 + _gamma(size)}
     shaped = shaped.withColumn("any", F.lit(".+")).withColumns({f"bits_{k}": b for k, b in bits.items()})
     model = lambda c: F.length(c) * 6.0 + 16
-    level = shaped.groupBy("column", "any", "words", "runs", "exact").agg(*[F.sum(f"bits_{k}").alias(f"bits_{k}") for k in bits]).withColumn("best", F.col("bits_exact") + model("exact"))
+    level = shaped.groupBy("column", "any", "words", "runs", "exact").agg(*[F.sum(f"bits_{k}").alias(f"bits_{k}") for k in bits], F.count(F.lit(1)).alias("n")).withColumn("best", F.col("bits_exact") + model("exact"))
     chosen = level.select("column", "any", "words", "runs", "exact")
     upper = level
     for k, above in (("runs", ["any", "words"]), ("words", ["any"]), ("any", [])):
         keys = ["column", *above, k]
-        upper = upper.groupBy(*keys).agg(*[F.sum(f"bits_{j}").alias(f"bits_{j}") for j in bits if j != "exact"], F.sum("best").alias("split"))
+        # to be split costs, beside the parts, the bits that name each value's part
+        named = F.sum("n") * F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n"))
+        upper = upper.groupBy(*keys).agg(*[F.sum(f"bits_{j}").alias(f"bits_{j}") for j in bits if j != "exact"], (F.sum("best") + named).alias("split"), F.sum("n").alias("n"))
         upper = upper.withColumn("own", F.col(f"bits_{k}") + model(k)).withColumn("best", F.least("own", "split"))
         chosen = chosen.join(upper.select(*keys, (F.col("own") < F.col("split")).alias(f"keep_{k}")), keys)
     picked = F.when(F.col("keep_any"), F.col("any")).when(F.col("keep_words"), F.col("words")).when(F.col("keep_runs"), F.col("runs")).otherwise(F.col("exact"))
