@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orgloom.session import cut
+
 MISSING, RARE = "(missing)", "(rare)"
 
 
@@ -48,6 +50,7 @@ def induce_patterns(values: DataFrame) -> DataFrame:
     shaped = shaped.withColumn("any", F.lit(".+")).withColumns({f"bits_{k}": b for k, b in bits.items()})
     model = lambda c: F.length(c) * 6.0 + 16
     level = shaped.groupBy("column", "any", "words", "runs", "exact").agg(*[F.sum(f"bits_{k}").alias(f"bits_{k}") for k in bits], F.count(F.lit(1)).alias("n")).withColumn("best", F.col("bits_exact") + model("exact"))
+    level = cut(level)  # read by every step below
     chosen = level.select("column", "any", "words", "runs", "exact")
     upper = level
     for k, above in (("runs", ["any", "words"]), ("words", ["any"]), ("any", [])):
@@ -74,8 +77,9 @@ def with_patterns(counts: DataFrame, min_share: float = 0.01) -> DataFrame:
     A pattern that covers less than ``min_share`` of a column's present values
     over all loads doesn't describe the column; its rows don't conform.
     """
+    counts = cut(counts)  # the one pass over the table
     present = counts.filter(F.col("value").isNotNull())
-    patterns = induce_patterns(present.select("column", "value").distinct())
+    patterns = cut(induce_patterns(present.select("column", "value").distinct()))
     shaped = counts.withColumn("exact", _shapes(F.col("value"))["exact"]).join(patterns, ["column", "exact"], "left").drop("exact")
     totals = shaped.filter(F.col("value").isNotNull()).groupBy("column", "pattern").agg(F.sum("n").alias("covered"))
     totals = totals.withColumn("conforms", (F.col("pattern") != ".+") & (F.col("covered") >= min_share * F.sum("covered").over(W.partitionBy("column")))).drop("covered")
@@ -133,7 +137,7 @@ def load_departures(df: DataFrame, load_col: str, columns: list[str], min_share:
     between the load and the other loads together; ``expected`` is about what
     it is by chance for a load of ``n`` values.
     """
-    held = with_patterns(value_counts(df, load_col, columns), min_share)
+    held = cut(with_patterns(value_counts(df, load_col, columns), min_share))
     there = held.filter(F.col("value").isNotNull())
     missing = held.select("load", "column", F.lit("missing").alias("aspect"), F.when(F.col("value").isNull(), MISSING).otherwise("present").alias("category"), "n")
     pattern = there.select("load", "column", F.lit("pattern").alias("aspect"), F.when(F.col("conforms"), F.col("pattern")).otherwise(RARE).alias("category"), "n")
@@ -166,7 +170,7 @@ def departed_loads(df: DataFrame, load_col: str, columns: list[str], least: floa
     A table with a single load departs from nothing; nor does an empty one.
     Loads with a null id aren't reported.
     """
-    far = load_departures(df, load_col, columns, **settings).withColumn("excess", F.col("distance") - 2 * F.col("expected"))
+    far = cut(load_departures(df, load_col, columns, **settings).withColumn("excess", F.col("distance") - 2 * F.col("expected")))
     usual = far.groupBy("column_name", "aspect").agg(F.median("excess").alias("usual"))
     far = far.join(usual, ["column_name", "aspect"])
     off = far.groupBy("column_name", "aspect").agg(F.median(F.abs(F.col("excess") - F.col("usual"))).alias("off"))
