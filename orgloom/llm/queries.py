@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import tokenize
+from orgloom.llm import places, tokenize
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,21 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p8_ids": p8_ids}
+def place_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed cities and provinces of org_candidates and enrichment_proposals, whole tables."""
+    candidates = read(spark, sf_dir, "org_candidates")
+    city = candidates.select(F.col("id").alias("record_id"), F.lit("city").alias("field"), F.col("city").alias("text"), "province", "lat", "lng")
+    nothing = F.lit(None)
+    province = candidates.select(F.col("id").alias("record_id"), F.lit("province").alias("field"), F.col("province").alias("text"), nothing.cast("string").alias("province"), nothing.cast("double").alias("lat"), nothing.cast("double").alias("lng"))
+    proposed = read(spark, sf_dir, "enrichment_proposals").filter(F.col("field").isin("city", "province"))
+    proposed = proposed.select(F.col("id").alias("record_id"), "field", F.col("proposed_value").alias("text"), nothing.cast("string").alias("province"), nothing.cast("double").alias("lat"), nothing.cast("double").alias("lng"))
+    return city.unionByName(province).unionByName(proposed)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return places.map_to_places(place_records(spark, sf_dir), read(spark, sf_dir, "ref_places"))
+
+
+QUERIES = {"p6_found": p6_found, "p8_ids": p8_ids}
 
 ORACLES = {}
