@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgloom.llm.setjoin import similar_keys
+from orgloom.llm.setjoin import grams, similar_keys
 from orgloom.llm.text import edits, fold
+from orgloom.session import cut
 
 #: Spellings of provinces and territories that the list may lack, by code.
 PROVINCE_SPELLINGS = {
@@ -112,6 +113,11 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(key=[x[0] for x in split], hint=[x[1] for x in split])
 
 
+def _with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b.assign(set=[grams(k) for k in b.key])
+
+
 def _close(kind: str, key: str, entry: str) -> bool:
     """The exact check after the join: few enough edits for the length; short codes must be equal."""
     short = min(len(key), len(entry))
@@ -130,21 +136,20 @@ def match_texts(texts: DataFrame, places: DataFrame, threshold: float = 0.35, sl
     ``slack`` of its best Jaccard similarity stay (two cities of one name do);
     a text without any has one row with a null ``place_id``.
     """
-    keyed = texts.select("kind", "text").distinct().mapInPandas(_keys, "kind string, text string, key string, hint string")
+    keyed = cut(texts.select("kind", "text").distinct().mapInPandas(_keys, "kind string, text string, key string, hint string"))
     named = places.select("place_id", "kind", F.col("province").alias("code"), "lat", "lng", F.explode(F.array_distinct(F.concat(F.array("name"), F.coalesce("alt_names", F.array()), F.when(F.col("kind") == "province", F.array("province")).otherwise(F.array())))).alias("text"))
     named = named.filter(F.col("text").isNotNull())
     keyed_names = named.select("kind", "text").distinct().mapInPandas(_keys, "kind string, text string, key string, hint string").drop("hint")
     entries = named.join(keyed_names, ["kind", "text"]).filter("key <> ''").select("place_id", "kind", "code", "lat", "lng", "key")
     spelled = F.create_map(*[x for code, names in PROVINCE_SPELLINGS.items() for x in (F.lit(code), F.array(*[F.lit(n.replace(" ", "")) for n in names if len(n) > 5]))])
     more = places.filter("kind = 'province'").select("place_id", "kind", F.col("province").alias("code"), "lat", "lng", F.explode(F.try_element_at(spelled, F.col("province"))).alias("key"))
-    entries = entries.unionByName(more).distinct()
-    pairs = similar_keys(keyed.filter("key <> ''").select("kind", "key").distinct(), entries.select("kind", "key").distinct(), threshold)
-    close = F.udf(_close, "boolean")
-    pairs = pairs.filter(close("kind", "key", "entry"))
+    entries = cut(entries.unionByName(more).distinct())
+    sets = lambda d: d.select("kind", "key").distinct().mapInPandas(_with_sets, "kind string, key string, set array<string>")
+    pairs = similar_keys(cut(sets(keyed.filter("key <> ''"))), cut(sets(entries)), threshold)
     pairs = pairs.withColumn("best", F.max("jaccard").over(W.partitionBy("kind", "key"))).filter(F.col("jaccard") >= F.col("best") - slack)
-    pairs = pairs.filter((F.col("best") < 1) | (F.col("jaccard") == 1))
+    pairs = pairs.filter((F.col("best") < 1) | (F.col("jaccard") == 1)).filter(F.udf(_close, "boolean")("kind", "key", "entry"))
     meant = pairs.join(entries.withColumnRenamed("key", "entry"), ["kind", "entry"]).groupBy("kind", "key", "place_id", "code", "lat", "lng").agg(F.max("jaccard").alias("score"))
-    return keyed.join(meant, ["kind", "key"], "left").select("kind", "text", "hint", "place_id", "code", "lat", "lng", "score")
+    return keyed.join(cut(meant), ["kind", "key"], "left").select("kind", "text", "hint", "place_id", "code", "lat", "lng", "score")
 
 
 def map_to_places(records: DataFrame, places: DataFrame, threshold: float = 0.35) -> DataFrame:

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orgloom.session import cut
+
 
-def grams(key: Column) -> Column:
+def grams(key: str) -> list[str]:
     """The set of a string's parts: letters, padded pairs and pairs over one letter, each with the number of its occurrence.
 
     Letters and gapped pairs keep swapped and mistyped letters from breaking
     every part around them, as they would with pairs alone.
     """
-    padded = F.concat(F.lit("^"), key, F.lit("$"))
-    n = F.length(padded)
-    part = lambda kind, f, last: F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.concat(F.lit(kind), f(i)))
-    singles = part("1", lambda i: F.substring(key, i, 1), n - 2)
-    pairs = part("2", lambda i: F.substring(padded, i, 2), n - 1)
-    gapped = part("3", lambda i: F.concat(F.substring(padded, i, 1), F.substring(padded, i + 2, 1)), n - 2)
-    all_ = F.array_sort(F.concat(singles, pairs, gapped))
-    return F.transform(all_, lambda g, i: F.concat(g, (i - F.array_position(all_, g)).cast("string")))
+    padded, seen, out = f"^{key}$", Counter(), []
+    for part in [*key, *map("".join, zip(padded, padded[1:])), *map("_".join, zip(padded, padded[2:]))]:
+        seen[part] += 1
+        out.append(f"{part}{seen[part]}")
+    return out
 
 
 def _ordered(sets: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,7 +33,7 @@ def _ordered(sets: DataFrame, keys: list[str]) -> DataFrame:
 def similar_keys(keys: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a key and an entry of one ``kind`` whose sets have a Jaccard similarity of at least ``threshold``.
 
-    Both tables have ``kind`` and ``key`` (distinct, not empty). Result:
+    Both tables have ``kind``, ``key`` (distinct, not empty) and its ``set`` of parts. Result:
     ``kind, key, entry, jaccard``. Parts are ordered by their rarity over both
     tables; two sets can only be that similar if their rare prefixes share a
     part, so only prefixes are joined. Pairs whose lengths, or whose places of
@@ -40,8 +41,8 @@ def similar_keys(keys: DataFrame, entries: DataFrame, threshold: float) -> DataF
     exactly. A key has a bounded number of parts, so every group collected here
     is one key's own.
     """
-    both = keys.select("kind", "key", F.lit(0).alias("side")).unionByName(entries.select("kind", "key", F.lit(1).alias("side"))).withColumn("set", grams(F.col("key")))
-    ordered = _ordered(both, ["kind", "key", "side"]).withColumn("n", F.size("parts"))
+    both = keys.select("kind", "key", "set", F.lit(0).alias("side")).unionByName(entries.select("kind", "key", "set", F.lit(1).alias("side")))
+    ordered = cut(_ordered(both, ["kind", "key", "side"])).withColumn("n", F.size("parts"))
     prefix = F.slice("parts", 1, F.col("n") - F.ceil(F.col("n") * threshold).cast("int") + 1)
     rare = ordered.select("kind", "key", "side", "parts", "n", F.posexplode(prefix).alias("at", "part"))
     a = rare.filter("side = 0").select("kind", "part", "key", F.col("parts").alias("parts_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
@@ -49,7 +50,8 @@ def similar_keys(keys: DataFrame, entries: DataFrame, threshold: float) -> DataF
     met = a.join(b, ["kind", "part"]).filter((F.col("n_b") >= F.col("n_a") * threshold) & (F.col("n_a") >= F.col("n_b") * threshold))
     needed = (F.col("n_a") + F.col("n_b")) * (threshold / (1 + threshold))
     met = met.filter(F.least("at_a", "at_b") + 1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1) >= needed - 1e-9)
-    met = met.groupBy("kind", "key", "entry").agg(F.any_value("parts_a").alias("parts_a"), F.any_value("parts_b").alias("parts_b"))
+    # a pair is kept where its first shared part is, which needs no shuffle to make pairs distinct
+    met = met.filter(~F.arrays_overlap(F.slice("parts_a", F.lit(1), F.col("at_a")), F.slice("parts_b", F.lit(1), F.col("at_b"))))
     shared = F.size(F.array_intersect("parts_a", "parts_b"))
     met = met.withColumn("jaccard", shared / (F.size("parts_a") + F.size("parts_b") - shared))
     return met.filter(F.col("jaccard") >= threshold).select("kind", "key", "entry", "jaccard")

@@ -6,8 +6,9 @@ import re
 import unicodedata
 from functools import lru_cache
 
-#: Letters that decomposition doesn't bring to a plain one.
-PLAIN = str.maketrans({"ø": "o", "đ": "d", "ł": "l", "ı": "i", "œ": "oe", "æ": "ae", "ß": "ss", "’": "'", "‘": "'", "–": "-", "—": "-", " ": " ", "​": "", "‎": "", "‏": "", "﻿": "", "�": ""})
+#: Letters that decomposition doesn't bring to a plain one, and Cyrillic ones that look like a Latin one.
+LOOKALIKES = {"а": "a", "в": "b", "с": "c", "е": "e", "н": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o", "р": "p", "ѕ": "s", "т": "t", "х": "x", "у": "y"}
+PLAIN = str.maketrans(LOOKALIKES | {"ø": "o", "đ": "d", "ł": "l", "ı": "i", "œ": "oe", "æ": "ae", "ß": "ss", "’": "'", "‘": "'", "–": "-", "—": "-", " ": " ", "​": "", "‎": "", "‏": "", "﻿": "", "�": ""})
 
 
 @lru_cache(maxsize=100_000)
