@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import places, tokenize
+from orgloom.llm import places, tokenize, variants
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,18 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.map_to_places(place_records(spark, sf_dir), read(spark, sf_dir, "ref_places"))
 
 
-QUERIES = {"p6_found": p6_found, "p8_ids": p8_ids}
+def candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "org_candidates").select(F.col("id").alias("key"), "name", "city", "province", "lat", "lng", F.col("postal_code").alias("postal"), "website")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = read(spark, sf_dir, "search_targets").select(
+        F.col("target_id").cast("string").alias("key"), "name", "city", F.lit(None).cast("string").alias("province"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"), F.lit(None).cast("string").alias("postal"), F.coalesce("website", "domain").alias("website")
+    )
+    pairs = variants.link_variants(targets, candidate_rows(spark, sf_dir), read(spark, sf_dir, "ref_places"))
+    return pairs.select(F.col("target_key").cast("long").alias("target_id"), F.col("candidate_key").alias("candidate_id"))
+
+
+QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p8_ids": p8_ids}
 
 ORACLES = {}
