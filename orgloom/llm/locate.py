@@ -43,7 +43,8 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     coordinates, then by the place that most rows of its postal area, then of its
     website's host, are in. Distinct texts are matched once.
     """
-    rows = rows.select("key", *carry, F.coalesce("city", F.lit("")).alias("city"), F.coalesce("province", F.lit("")).alias("typed"), "lat", "lng", forward_area(F.col("postal")).alias("area"), host(F.col("website")).alias("host"))
+    kept = [f"carried_{i}" for i in range(len(carry))]
+    rows = rows.select("key", *[F.col(c).alias(k) for c, k in zip(carry, kept)], F.coalesce("city", F.lit("")).alias("city"), F.coalesce("province", F.lit("")).alias("typed"), "lat", "lng", forward_area(F.col("postal")).alias("area"), host(F.col("website")).alias("host"))
     texts = rows.filter("trim(city) <> ''").select(F.lit("city").alias("kind"), F.col("city").alias("text")).unionByName(rows.filter("trim(typed) <> ''").select(F.lit("province").alias("kind"), F.col("typed").alias("text")))
     meant = cut(match_texts(texts, places).filter("place_id is not null"))
     own = meant.filter("kind = 'province'").groupBy(F.col("text").alias("typed")).agg(F.max_by("code", F.struct("score", "code")).alias("own"))
@@ -69,4 +70,4 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     rows = rows.join(_usual(rows, "area", 0.6), "area", "left").join(_usual(rows, "host", 0.8), "host", "left")
     placed = rows.withColumn("place_id", F.coalesce("sure", chosen(F.col("by_area")), "by_area", "by_host"))
     named = places.filter("kind = 'city'").select("place_id", F.transform(F.concat(F.array("name"), F.coalesce("alt_names", F.array())), lambda n: F.regexp_replace(F.lower(n), "[^a-z]", "")).alias("place_keys"))
-    return placed.select("key", *carry, "place_id").join(named, "place_id", "left").select("key", *carry, "place_id", "place_keys")
+    return placed.select("key", *kept, "place_id").join(named, "place_id", "left").select("key", *[F.col(k).alias(c) for c, k in zip(carry, kept)], "place_id", "place_keys")

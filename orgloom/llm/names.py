@@ -181,6 +181,8 @@ def likeness(a: tuple[str, ...], given_a: str, b: tuple[str, ...], given_b: str)
             if (low >= 0.8 and high == 1.0) or (low >= 0.86 and high >= 0.9):
                 best = max(best, (s + t) / 2)
         return best
+    if len(a) == len(b) == 1:
+        return like if (like := word_likeness(a[0], b[0])) >= 0.93 else 0.0
     if len(a) == len(b):
         left, total = list(b), []
         for w in a:
