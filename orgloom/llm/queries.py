@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import places, tokenize, variants
+from orgloom.llm import matching, places, tokenize, variants
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("target_key").cast("long").alias("target_id"), F.col("candidate_key").alias("candidate_id"))
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p8_ids": p8_ids}
+def match_rows(table: DataFrame) -> DataFrame:
+    return table.select(F.col("id").alias("key"), "name", "city", "province", "lat", "lng", F.col("postal_code").alias("postal"), "phone", "website")
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unresolved candidates and the organisations they are, with confidences."""
+    candidates = read(spark, sf_dir, "org_candidates").filter("resolved_org_id is null")
+    organizations = read(spark, sf_dir, "organizations").filter("merged_into is null")
+    found = matching.match_entities(match_rows(candidates), match_rows(organizations), read(spark, sf_dir, "ref_places"))
+    return found.select(F.col("left_key").alias("candidate_id"), F.col("right_key").alias("org_id"), "confidence")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_matches(spark, sf_dir).select("candidate_id", "org_id")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p8_ids": p8_ids}
 
 ORACLES = {}
