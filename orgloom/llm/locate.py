@@ -29,8 +29,8 @@ def forward_area(postal: Column) -> Column:
 def _usual(rows: DataFrame, key: str, least: float) -> DataFrame:
     """The place that ``least`` of a key's placed rows share."""
     n = rows.filter(F.col(key).isNotNull() & F.col("sure").isNotNull()).groupBy(key, "sure").agg(F.count(F.lit(1)).alias("n"))
-    n = n.groupBy(key).agg(F.max_by("sure", F.struct("n", "sure")).alias(f"by_{key}"), (F.max("n") / F.sum("n")).alias("share"))
-    return n.filter(F.col("share") >= least).drop("share")
+    n = n.groupBy(key).agg(F.max_by("sure", F.struct("n", "sure")).alias(f"by_{key}"), (F.max("n") / F.sum("n")).alias(f"{key}_share"))
+    return n.filter(F.col(f"{key}_share") >= least)
 
 
 def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFrame:
@@ -39,9 +39,9 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     ``rows`` needs ``key, city, province, lat, lng, postal, website``, any of
     which may be null. The typed city decides if it names one entry of the list; of entries of one
     name the province typed beside it, the row's province, its coordinates and
-    its postal area decide. A row without such a city is placed by its
-    coordinates, then by the place that most rows of its postal area, then of its
-    website's host, are in. Distinct texts are matched once.
+    its postal area decide. A row without such a city is placed where
+    nearly all rows of its postal area are, else by its coordinates, else where
+    most rows of its postal area, then of its website's host, are. Distinct texts are matched once.
     """
     kept = [f"carried_{i}" for i in range(len(carry))]
     rows = rows.select("key", *[F.col(c).alias(k) for c, k in zip(carry, kept)], F.coalesce("city", F.lit("")).alias("city"), F.coalesce("province", F.lit("")).alias("typed"), "lat", "lng", forward_area(F.col("postal")).alias("area"), host(F.col("website")).alias("host"))
@@ -68,6 +68,8 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     chosen = lambda area: -F.array_max(F.transform("options", weight(area))).minus
     rows = cut(rows.withColumn("sure", F.when(F.size("options") == 1, F.col("options")[0].place_id).when(F.col("options").isNull(), F.col("by_point"))))
     rows = rows.join(_usual(rows, "area", 0.6), "area", "left").join(_usual(rows, "host", 0.8), "host", "left")
-    placed = rows.withColumn("place_id", F.coalesce("sure", chosen(F.col("by_area")), "by_area", "by_host"))
+    # a postal area of one place is surer than a coordinate, which may be misplaced
+    by_area = F.when(F.col("area_share") >= 0.9, F.col("by_area"))
+    placed = rows.withColumn("place_id", F.coalesce(F.when(F.col("options").isNotNull(), F.col("sure")), chosen(F.col("by_area")), by_area, "by_point", "by_area", "by_host"))
     named = places.filter("kind = 'city'").select("place_id", F.transform(F.concat(F.array("name"), F.coalesce("alt_names", F.array())), lambda n: F.regexp_replace(F.lower(n), "[^a-z]", "")).alias("place_keys"))
     return placed.select("key", *kept, "place_id").join(named, "place_id", "left").select("key", *[F.col(k).alias(c) for c, k in zip(carry, kept)], "place_id", "place_keys")
