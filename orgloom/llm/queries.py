@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import addresses, matching, places, tokenize, variants
+from orgloom.llm import addresses, golden, matching, places, tokenize, variants
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,12 +59,16 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_matches(spark, sf_dir).select("candidate_id", "org_id")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golden.surviving_records(read(spark, sf_dir, "organizations"), read(spark, sf_dir, "org_candidates"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "org_candidates").select(F.col("id").alias("key"), F.col("address_line1").alias("address"), "city", "province", "lat", "lng", F.col("postal_code").alias("postal"), "website")
     pairs = addresses.pairs_of_groups(addresses.address_groups(rows, read(spark, sf_dir, "ref_places")), "key", "address_group")
     return pairs.select(F.col("key_a").alias("candidate_id_a"), F.col("key_b").alias("candidate_id_b"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids}
 
 ORACLES = {}
