@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import addresses, golden, matching, places, tokenize, variants
+from orgloom.llm import addresses, golden, matching, places, stuffing, tokenize, variants
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("key_a").alias("candidate_id_a"), F.col("key_b").alias("candidate_id_b"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffing.stuffed(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found}
 
 ORACLES = {}
