@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import addresses, golden, matching, places, stuffing, tokenize, variants
+from orgloom.llm import addresses, golden, matching, mixing, places, stuffing, tokenize, variants
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,10 +69,27 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("key_a").alias("candidate_id_a"), F.col("key_b").alias("candidate_id_b"))
 
 
+def mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents, targets = read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets")
+    sizes = tokenize.encode(documents, "doc_id", "text", counts_only=True)
+    sized = documents.select("doc_id", "source").join(sizes, "doc_id").withColumnRenamed("n_tokens", "size")
+    return mixing.mix(sized, targets), targets
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mixture holds each document, by its size in tokens of byte_bpe_50k."""
+    return mixture(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target and actual share of each source."""
+    return mixing.mixture_shares(*mixture(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
 
 ORACLES = {}

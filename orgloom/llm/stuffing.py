@@ -20,7 +20,7 @@ from orgloom.session import cut
 
 #: The commonest function words of the four languages, without those that key phrases are made with ("near me", "pas cher").
 FUNCTION_WORDS = {
-    "en": "a about after all also an and any are as at be been before but by can could did do each every from had has have he her here his how if into is it its may more most must no not off once one only or other our out over own per please shall she should since so some than that the their them then there these they this those to under until up us was we were what when where which while who will with would you your",
+    "en": "a about after again all also although always an and any are as at be been before both but by can could did do each every from had has have he her here his how if into is it its may more most must no not off once one only or other our out over own per please shall she should since so some still such than that the their them then there these they this those to under until up us very was we were what when where which while who will with without would yet you your because between during through though",
     "fr": "a afin ainsi après au aucun aussi autre aux avant avec car ce ces cet cette chaque comme dans depuis elle elles entre est et etait été être eu fait il ils j je l la le les leur leurs lors lui mais meme mes moins n ne ni nos notre nous on ont ou par pendant plus pour qu que qui s sa sans se sera ses si son sont sous sur ta tous tout toute toutes tres un une vers vos votre vous y",
     "ar": "في على الى إلى عن مع هذا هذه ذلك التي الذي الذين ما لا لم لن إن أن أو او و كل كان كانت قد بعد قبل عند حتى ثم أي بين هو هي هم نحن كما لكل منذ خلال حول يرجى الرجاء نرجو نشكر يوم تم سيتم يتم أمام دون غير إذا لدى عدد عددا بها به فيها منها لها له بعض هناك وقد ولم وهو وهي لعدم حيث أثناء الساعة عام شهر الشهر شخصا وقرر يبدأ يجتمع تأسس ناقش حضر تغلق وتفتح ويخدم وعدد مدينة المجاورة القادم الماضية",
     "ur": "کے کی کا کو میں سے پر ہے ہیں اور نے یہ وہ اس ان تھا تھی تھے تک بھی ایک ہر یا کہ جو اپنے اپنی اپنا ہم آپ ہو گا گی گے کر کیا کیے گیا گئی گئے رہا رہی رہے ہوا ہوئی ہوئے ہوتا ہوتی ہوتے سکتے سکتا جا جائے کریں کرتے دیں نہیں کوئی کچھ جب تو پہلے بعد ساتھ والے والی والا بجے ہمارے براہ کرم طرف کار گزار",
@@ -134,7 +134,7 @@ def stuffed(documents: DataFrame, id_col: str, text_col: str, links: float = 0.5
     of it; or if words or phrases that come again make up ``repeated`` of it while it has less than ``few``
     of the function words usual in its language, by the median over all
     documents of that language (0.5 for repetitions, 0.35 for heaps in short texts). Texts full of numbers (timetables, directories,
-    prices) aren't. Null, empty and blank texts, and texts of under ten
+    prices) aren't. Null, empty and blank texts, and texts of under twelve
     words without links or tags aren't reported; a repeated id is reported once; null
     ids aren't. Other columns are ignored.
     """
@@ -146,6 +146,6 @@ def stuffed(documents: DataFrame, id_col: str, text_col: str, links: float = 0.5
     again = F.greatest(F.col("top_share"), F.col("phrase_share"))
     linked = (marked >= links) & ((F.col("few") < few) | (marked >= 0.8) | (F.col("n_words") < 25))
     # a line of names has few function words; a heap has next to none
-    heaped = (heap >= bare) & (F.col("few") < F.when(F.col("n_words") < 40, 0.35).otherwise(few)) & (F.col("digit_share") < 0.13) & ((F.col("n_words") >= 10) | (marked > 0))
+    heaped = (heap >= bare) & (F.col("few") < F.when(F.col("n_words") < 40, 0.35).otherwise(few)) & (F.col("digit_share") < 0.13) & ((F.col("n_words") >= 12) | (marked > 0))
     repetitive = (again >= repeated) & (F.col("few") < 0.5) & (F.col("digit_share") < 0.13) & (F.col("n_words") >= 12)
     return rows.filter(F.col(id_col).isNotNull() & (linked | heaped | repetitive)).select(id_col).distinct()
