@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "orgloom", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -45,10 +47,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared folder, with a short lineage.
+    """The same rows, written once as a table in the shared folder, with a short lineage.
 
     Survives the loss of executors, unlike a cached or locally checkpointed
-    frame.
+    frame, and later steps read only the columns they need. The tables of a session lie
+    in one folder named after the application.
     """
+    spark = df.sparkSession
+    at = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``rows`` rows; otherwise joins shuffle it as usual.
+
+    Give it tables from ``cut`` only: their rows are counted without running
+    what they came from.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def cut_in_order(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but keeps the partitions and the order of rows in them."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

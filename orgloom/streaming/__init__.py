@@ -1 +1 @@
-
+"""Structured Streaming twins of stateful batch operators."""
