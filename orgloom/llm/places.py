@@ -145,7 +145,13 @@ def match_texts(texts: DataFrame, places: DataFrame, threshold: float = 0.35, sl
     more = places.filter("kind = 'province'").select("place_id", "kind", F.col("province").alias("code"), "lat", "lng", F.explode(F.try_element_at(spelled, F.col("province"))).alias("key"))
     entries = cut(entries.unionByName(more).distinct())
     sets = lambda d: d.select("kind", "key").distinct().mapInPandas(_with_sets, "kind string, key string, set array<string>")
-    pairs = similar_keys(cut(sets(keyed.filter("key <> ''"))), cut(sets(entries)), threshold)
+    # a key much longer than any entry can't be similar to one; its parts aren't even made
+    longest = entries.agg(F.max(F.length("key"))).first()[0] or 0
+    short = keyed.filter((F.col("key") != "") & (F.length("key") * threshold <= longest + 1))
+    # every edit adds or takes three parts at most; as many edits as _close allows
+    least = F.least("n_a", "n_b")
+    gap = F.when(least < 3 * 5 + 1, 3).when(least < 3 * 10 + 1, 6).when(least < 3 * 16 + 1, 9).otherwise(12)
+    pairs = similar_keys(cut(sets(short)), cut(sets(entries)), threshold, gap)
     pairs = pairs.withColumn("best", F.max("jaccard").over(W.partitionBy("kind", "key"))).filter(F.col("jaccard") >= F.col("best") - slack)
     pairs = pairs.filter((F.col("best") < 1) | (F.col("jaccard") == 1)).filter(F.udf(_close, "boolean")("kind", "key", "entry"))
     meant = pairs.join(entries.withColumnRenamed("key", "entry"), ["kind", "entry"]).groupBy("kind", "key", "place_id", "code", "lat", "lng").agg(F.max("jaccard").alias("score"))

@@ -11,7 +11,7 @@ LOOKALIKES = {"а": "a", "в": "b", "с": "c", "е": "e", "н": "h", "і": "i",
 PLAIN = str.maketrans(LOOKALIKES | {"ø": "o", "đ": "d", "ł": "l", "ı": "i", "œ": "oe", "æ": "ae", "ß": "ss", "’": "'", "‘": "'", "–": "-", "—": "-", " ": " ", "​": "", "‎": "", "‏": "", "﻿": "", "�": ""})
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def fold(text: str) -> str:
     """Small letters without marks, single spaces; other signs stay."""
     s = text.lower().translate(PLAIN)
