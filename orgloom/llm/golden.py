@@ -105,8 +105,9 @@ def sightings(organizations: DataFrame, candidates: DataFrame) -> tuple[DataFram
     rows = o.unionByName(c).withColumnRenamed("root", "grp")
     values = [("email", clean_email(F.col("email"))), ("phone", clean_phone(F.col("phone"))), ("postal_code", clean_postal(F.col("postal_code")))] + [(k, clean_account(F.col(k), k)) for k in SOCIAL]
     pairs = F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in values])
-    rows = cut(rows.select("grp", "at", "source", F.filter(pairs, lambda p: p.value.isNotNull()).alias("pairs")))
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("grp")
+    rows = rows.select("grp", "at", "source", F.filter(pairs, lambda p: p.value.isNotNull()).alias("pairs"))
+    members = candidates.filter("resolved_org_id is not null").select(F.col("resolved_org_id").alias("id")).join(roots, "id").select("root")
+    sizes = roots.select("root").unionByName(members).groupBy(F.col("root").alias("grp")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("grp")
     seen = rows.join(sizes, "grp").select("grp", "at", "source", F.explode("pairs").alias("p")).select("grp", "p.field", "p.value", "at", "source")
     plain = F.split(F.regexp_replace(F.lower(F.concat_ws(" ", F.regexp_replace("slug", r"-[^-]*-[^-]*$", ""), "name")), r"[^a-z ]", " "), r"\s+")
     general = F.array(*[F.lit(w) for w in GENERAL_WORDS])
