@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgloom.llm.places import match_texts
-from orgloom.session import cut
+from orgloom.session import cut, small
 
 #: Degrees within which a coordinate belongs to a city of the list.
 REACH = 0.12
@@ -15,15 +15,14 @@ REACH = 0.12
 
 def host(website: Column) -> Column:
     """The bare host of a typed address: small letters, no scheme, www, port or path; null where there is none."""
-    h = F.regexp_replace(F.lower(F.trim(website)), r"^(?:[a-z]+:)?/*", "")
-    h = F.regexp_replace(F.regexp_extract(h, r"^([^/?#:\s]+)", 1), r"^(?:www\d?|m)\.", "")
+    h = F.regexp_extract(F.lower(F.trim(website)), r"^(?:[a-z]+:)?/*(?:(?:www\d?|m)\.)?([^/?#:\s]+)", 1)
     return F.when(h.contains("."), h)
 
 
 def forward_area(postal: Column) -> Column:
     """The first three signs of a postal code that begins like one; else null."""
-    p = F.regexp_replace(F.upper(postal), r"[^A-Z0-9?]", "")
-    return F.when(p.rlike(r"^[A-Z]\d[A-Z]"), F.substring(p, 1, 3))
+    p = F.regexp_extract(F.translate(F.upper(postal), " -", ""), r"^([A-Z]\d[A-Z])", 1)
+    return F.when(p != "", p)
 
 
 def _usual(rows: DataFrame, key: str, least: float) -> DataFrame:
@@ -48,7 +47,9 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     texts = rows.filter("trim(city) <> ''").select(F.lit("city").alias("kind"), F.col("city").alias("text")).unionByName(rows.filter("trim(typed) <> ''").select(F.lit("province").alias("kind"), F.col("typed").alias("text")))
     meant = cut(match_texts(texts, places).filter("place_id is not null"))
     own = meant.filter("kind = 'province'").groupBy(F.col("text").alias("typed")).agg(F.max_by("code", F.struct("score", "code")).alias("own"))
-    options = meant.filter("kind = 'city'").groupBy(F.col("text").alias("city")).agg(F.collect_list(F.struct("place_id", "code", "lat", "lng", "score", "hint")).alias("options"))
+    options = meant.filter("kind = 'city'").groupBy(F.col("text").alias("city")).agg(F.collect_list(F.struct("place_id", "code", "score", "hint")).alias("options"))
+    one = F.size("options") == 1
+    options = options.select("city", F.when(one, F.col("options")[0].place_id).alias("only"), F.when(~one, F.col("options")).alias("options"))
     near = places.filter("kind = 'city' and lat is not null").select(F.col("place_id").alias("by_point"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
     cells = lambda c: F.floor(F.col(c) / 0.25).cast("int")
     shifts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
@@ -56,6 +57,7 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     points = rows.filter("lat is not null and lng is not null").select(F.round("lat", 2).alias("r_lat"), F.round("lng", 2).alias("r_lng")).distinct()
     points = points.withColumns({"row": cells("r_lat"), "col": cells("r_lng")}).join(near, ["row", "col"]).filter((F.abs(F.col("p_lat") - F.col("r_lat")) <= REACH) & (F.abs(F.col("p_lng") - F.col("r_lng")) <= REACH))
     points = points.groupBy("r_lat", "r_lng").agg(F.min_by("by_point", F.struct(F.abs(F.col("p_lat") - F.col("r_lat")) + F.abs(F.col("p_lng") - F.col("r_lng")), "by_point")).alias("by_point"))
+    options, own, points = (small(cut(d)) for d in (options, own, points))
     rows = rows.withColumns({"r_lat": F.round("lat", 2), "r_lng": F.round("lng", 2)}).join(options, "city", "left").join(own, "typed", "left").join(points, ["r_lat", "r_lng"], "left")
 
     def weight(area: Column):
@@ -66,10 +68,14 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
         return of
 
     chosen = lambda area: -F.array_max(F.transform("options", weight(area))).minus
-    rows = cut(rows.withColumn("sure", F.when(F.size("options") == 1, F.col("options")[0].place_id).when(F.col("options").isNull(), F.col("by_point"))))
-    rows = rows.join(_usual(rows, "area", 0.6), "area", "left").join(_usual(rows, "host", 0.8), "host", "left")
+    rows = cut(rows.withColumn("sure", F.when(F.col("options").isNull(), F.coalesce("only", "by_point"))).drop("city", "typed", "lat", "lng", "r_lat", "r_lng"))
+    easy, hard = rows.filter("only is not null"), rows.filter("only is null")
+    hard = hard.join(_usual(rows, "area", 0.6), "area", "left")
     # a postal area of one place is surer than a coordinate, which may be misplaced
     by_area = F.when(F.col("area_share") >= 0.9, F.col("by_area"))
-    placed = rows.withColumn("place_id", F.coalesce(F.when(F.col("options").isNotNull(), F.col("sure")), chosen(F.col("by_area")), by_area, "by_point", "by_area", "by_host"))
+    hard = hard.select("key", *kept, "host", F.coalesce(chosen(F.col("by_area")), by_area, "by_point", "by_area").alias("place_id"))
+    lost = hard.filter("place_id is null and host is not null").drop("place_id").join(_usual(rows, "host", 0.8), "host", "left").select("key", *kept, F.col("by_host").alias("place_id"))
+    found = hard.filter("place_id is not null or host is null").select("key", *kept, "place_id")
+    placed = easy.select("key", *kept, F.col("only").alias("place_id")).unionByName(found).unionByName(lost)
     named = places.filter("kind = 'city'").select("place_id", F.transform(F.concat(F.array("name"), F.coalesce("alt_names", F.array())), lambda n: F.regexp_replace(F.lower(n), "[^a-z]", "")).alias("place_keys"))
     return placed.select("key", *kept, "place_id").join(named, "place_id", "left").select("key", *[F.col(k).alias(c) for c, k in zip(carry, kept)], "place_id", "place_keys")
