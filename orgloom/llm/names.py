@@ -47,7 +47,7 @@ _long = [w for w in [*_purpose, *EMPTY_WORDS] if len(w) > 4]
 _initials = {"ic": "centre", "ma": "association", "is": "society", "mc": "centre", "ia": "association"}
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=30_000)
 def _generic(word: str) -> str | None:
     """A purpose, '' for an empty word, None for a word of its own; small typos in long words are forgiven."""
     if word in _purpose:
@@ -61,7 +61,7 @@ def _generic(word: str) -> str | None:
     return None
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=30_000)
 def given_name(word: str) -> str:
     """The common form of a given name, '' for other words."""
     return _given.get(word, "")
@@ -120,7 +120,7 @@ def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str,
 _sounds = [("kh", "k"), ("sh", "x"), ("ch", "x"), ("th", "t"), ("ph", "f"), ("gh", "g"), ("ck", "k"), ("q", "k"), ("c", "k"), ("z", "s"), ("v", "f"), ("j", "g")]
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=30_000)
 def sound(word: str) -> str:
     """A phonetic code: consonants by their sound, doubled ones once, vowels only at the start (as 'a')."""
     s = word
@@ -152,17 +152,22 @@ def block_codes(own: tuple[str, ...]) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-@lru_cache(maxsize=500_000)
+@lru_cache(maxsize=30_000)
 def word_likeness(a: str, b: str) -> float:
     if a == b:
         return 1.0
-    short, long = sorted((a, b), key=len)
-    if len(short) == 1:
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    n = len(short)
+    if n == 1:
         return 0.86 if long[0] == short else 0.0
-    if len(short) > 2 and long.startswith(short):
+    if n > 2 and long.startswith(short):
         return 0.94
+    if len(long) - n > 3 or 2 * len(set(short) & set(long)) < n:
+        return 0.0  # below any threshold in use
     jw = jaro_winkler(a, b)
-    return jw if len(short) < 4 else max(jw, {1: 0.93, 2: 0.87 if len(short) > 6 else 0.0}.get(edits(a, b, 2), 0.0))
+    if jw >= 0.93 or n < 4 or jw < 0.7:
+        return jw
+    return max(jw, {1: 0.93, 2: 0.87 if n > 6 else 0.0}.get(edits(a, b, 2), 0.0))
 
 
 def likeness(a: tuple[str, ...], given_a: str, b: tuple[str, ...], given_b: str) -> float:
@@ -176,7 +181,8 @@ def likeness(a: tuple[str, ...], given_a: str, b: tuple[str, ...], given_b: str)
     if len(a) == len(b) == 2:
         best = 0.0
         for x, y in ((b[0], b[1]), (b[1], b[0])):
-            s, t = word_likeness(a[0], x), word_likeness(a[1], y)
+            s = word_likeness(a[0], x)
+            t = word_likeness(a[1], y) if s >= 0.8 else 0.0
             low, high = min(s, t), max(s, t)
             if (low >= 0.8 and high == 1.0) or (low >= 0.86 and high >= 0.9):
                 best = max(best, (s + t) / 2)

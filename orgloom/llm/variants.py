@@ -12,23 +12,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgloom.llm.components import connected_components
 from orgloom.llm.locate import locate
 from orgloom.llm.names import block_codes, likeness, parse_name
-from orgloom.session import cut
+from orgloom.session import cut, small
 
-PARSED = "purpose string, given string, own array<string>, codes array<string>"
+PARSED = "purpose string, given string, own string"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         keys = [tuple(k) if k is not None else () for k in b.place_keys]
         parts = [parse_name(n, k) for n, k in zip(b.name, keys)]
-        yield pd.DataFrame({"key": b.key, "side": b.side, "place_id": b.place_id, "purpose": [p[0] for p in parts], "given": [p[1] for p in parts], "own": [sorted(p[2]) for p in parts], "codes": [block_codes(p[2]) if p[2] else [] for p in parts]})
+        yield pd.DataFrame({"key": b.key, "side": b.side, "place_id": b.place_id, "purpose": [p[0] for p in parts], "given": [p[1] for p in parts], "own": [" ".join(sorted(p[2])) for p in parts]})
+
+
+def _with_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b.assign(codes=[block_codes(tuple(o.split())) for o in b.own])
 
 
 def parsed_names(located: DataFrame) -> DataFrame:
@@ -36,20 +41,24 @@ def parsed_names(located: DataFrame) -> DataFrame:
     return located.select("key", "side", "name", "place_id", "place_keys").mapInPandas(_parse, f"key string, side int, place_id int, {PARSED}")
 
 
-def name_likeness(*columns: str) -> Column:
-    """``likeness`` of two names' words and given names, a batch at a time."""
-
-    def of(own_a: pd.Series, given_a: pd.Series, own_b: pd.Series, given_b: pd.Series) -> pd.Series:
-        return pd.Series([likeness(tuple(a), g, tuple(b), h) for a, g, b, h in zip(own_a, given_a, own_b, given_b)], dtype="float64")
-
-    return F.pandas_udf(of, "double")(*columns)
+def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        like = [likeness(tuple(x.split()), g, tuple(y.split()), h) for x, g, y, h in zip(b.own_a, b.given_a, b.own_b, b.given_b)]
+        out = pd.DataFrame({"node_a": b.node_a, "node_b": b.node_b, "vague_a": b.purpose_a == "", "vague_b": b.purpose_b == "", "like": pd.Series(like, index=b.index, dtype="float64")})
+        yield out[out.like > 0]
 
 
 def _met(a: DataFrame, b: DataFrame, on: list[str], rule) -> DataFrame:
-    """Distinct pairs of spellings that share a block, with their likeness."""
-    part = lambda d, s: d.select(*on, *[F.col(c).alias(f"{c}_{s}") for c in ("node", "own", "given")])
-    pairs = part(a, "a").join(part(b, "b"), on).filter(rule).drop(*on).dropDuplicates(["node_a", "node_b"])
-    return pairs.withColumn("like", name_likeness("own_a", "given_a", "own_b", "given_b")).filter("like > 0").select("node_a", "node_b", "like")
+    """Distinct pairs of spellings that share a block, with their likeness and whether either tells no purpose."""
+    part = lambda d, s: d.select(*on, *[F.col(c).alias(f"{c}_{s}") for c in ("node", "own", "given", "purpose")])
+    # most pairs of a block have neither a first or last word in common nor few edits between them
+    head, tail = (lambda c: F.substring_index(c, " ", 1)), (lambda c: F.substring_index(c, " ", -1))
+    first_a, last_a, first_b, last_b = head("own_a"), tail("own_a"), head("own_b"), tail("own_b")
+    common = (first_a == first_b) | (last_a == last_b) | (first_a == last_b) | (last_a == first_b)
+    few = (F.levenshtein("own_a", "own_b", 7) >= 0) | (F.levenshtein(F.concat_ws(" ", last_a, first_a), "own_b", 7) >= 0)
+    one_kind = (F.col("purpose_a") == F.col("purpose_b")) | (F.col("purpose_a") == "") | (F.col("purpose_b") == "")
+    pairs = part(a, "a").join(part(b, "b"), on).filter(one_kind & rule).filter(common | few).drop(*on).distinct()
+    return pairs.mapInPandas(_score, "node_a long, node_b long, vague_a boolean, vague_b boolean, like double")
 
 
 def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,29 +69,28 @@ def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     like it if there is none; a spelling without a place does so over all
     places, but only if the entities it is equally like are in one.
     """
-    rows = parsed.filter(F.size("own") > 0).withColumn("node", F.xxhash64(F.coalesce("place_id", F.lit(-1)), "purpose", "given", F.array_join("own", " ")))
+    rows = parsed.filter("own <> ''").withColumn("node", F.xxhash64(F.coalesce("place_id", F.lit(-1)), "purpose", "given", "own"))
     rows = cut(rows)
-    nodes = rows.groupBy("node").agg(F.any_value("place_id").alias("place_id"), F.any_value("purpose").alias("purpose"), F.any_value("given").alias("given"), F.any_value("own").alias("own"), F.any_value("codes").alias("codes"), F.count(F.lit(1)).alias("n"))
-    nodes = cut(nodes)
+    nodes = rows.groupBy("node", "place_id", "purpose", "given", "own").agg(F.count(F.lit(1)).alias("n"))
+    nodes = cut(nodes.mapInPandas(_with_codes, f"node long, place_id int, {PARSED}, n long, codes array<string>"))
     placed = nodes.filter("place_id is not null").withColumn("code", F.explode("codes"))
-    edges = cut(_met(placed, placed, ["place_id", "purpose", "code"], F.col("node_a") < F.col("node_b")))
-    found = connected_components(edges, "node_a", "node_b")
+    edges = cut(_met(placed, placed, ["place_id", "code"], F.col("node_a") < F.col("node_b")))
+    found = connected_components(edges.filter("vague_a = vague_b"), "node_a", "node_b")
     entity = nodes.select("node", "place_id", "purpose", "given", "own", "codes", "n").join(found, "node", "left").withColumn("entity", F.coalesce("component", "node")).drop("component")
     entity = cut(entity)
     size = entity.groupBy("entity").agg(F.sum("n").alias("rows"))
-    known = entity.filter("place_id is not null and purpose <> ''").withColumn("code", F.explode("codes"))
-    vague = entity.filter("place_id is not null and purpose = ''").withColumn("code", F.explode("codes"))
     home = entity.select(F.col("node").alias("node_b"), F.col("entity").alias("to"), F.col("place_id").alias("to_place"))
-    near = _met(vague, known, ["place_id", "code"], F.lit(True)).join(home, "node_b")
-    lost = entity.filter("place_id is null").withColumn("code", F.explode("codes"))
-    anywhere = entity.filter("place_id is not null").withColumn("code", F.explode("codes"))
-    far = _met(lost.filter("purpose <> ''"), anywhere, ["purpose", "code"], F.lit(True)).unionByName(_met(lost.filter("purpose = ''"), anywhere, ["code"], F.lit(True))).join(home, "node_b")
+    mixed = edges.filter("vague_a <> vague_b")
+    near = mixed.select(F.when(F.col("vague_a"), F.col("node_a")).otherwise(F.col("node_b")).alias("node_a"), F.when(F.col("vague_a"), F.col("node_b")).otherwise(F.col("node_a")).alias("node_b"), "like").join(home, "node_b")
+    lost = small(cut(entity.filter("place_id is null").withColumn("code", F.explode("codes"))))
+    far = cut(_met(lost, entity.filter("place_id is not null").withColumn("code", F.explode("codes")), ["code"], F.lit(True)).select("node_a", "node_b", "like"))
+    far = far.join(home, "node_b")
     far = far.withColumn("best", F.max("like").over(W.partitionBy("node_a"))).filter("like >= best - 0.02")
     lone = far.groupBy("node_a").agg(F.countDistinct("to_place").alias("places")).filter("places = 1").select("node_a")
     far = far.join(lone, "node_a").drop("best")
     moves = near.unionByName(far).join(size.withColumnRenamed("entity", "to"), "to")
     moves = moves.groupBy(F.col("node_a").alias("node")).agg(F.max_by("to", F.struct("like", "rows", "to")).alias("to"))
-    return rows, entity.select("node", "entity").join(moves, "node", "left").select("node", F.coalesce("to", "entity").alias("entity"))
+    return rows, entity.select("node", "entity").join(cut(moves), "node", "left").select("node", F.coalesce("to", "entity").alias("entity"))
 
 
 def link_variants(targets: DataFrame, candidates: DataFrame, places: DataFrame) -> DataFrame:
