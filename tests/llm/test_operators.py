@@ -1,0 +1,266 @@
+"""The matching, cleaning and mixing operators on small tables."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from orgloom.llm import addresses, components, golden, locate, matching, mixing, places, setjoin, stuffing, variants
+
+PLACES = "place_id int, kind string, name string, province string, alt_names array<string>, lat double, lng double"
+LIST = [
+    (1, "city", "Thaso", "ON", [], 46.9, -57.5),
+    (2, "city", "Muvevur", "ON", ["Oldname"], 56.9, -127.1),
+    (3, "city", "Muvevur", "QC", [], 44.9, -133.0),
+    (4, "city", "Port Muvevur", "ON", [], 50.9, -85.8),
+    (901, "province", "Ontario", "ON", ["Ont"], None, None),
+    (902, "province", "Quebec", "QC", ["Que"], None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def ref(spark):
+    return spark.createDataFrame(LIST, PLACES)
+
+
+def test_components(spark, rows):
+    random.seed(2)
+    edges = [(random.randint(0, 60), random.randint(0, 60)) for _ in range(35)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5), (None, 1)]
+    leader = {}
+
+    def find(x):
+        while leader.setdefault(x, x) != x:
+            x = leader[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            ra, rb = find(a), find(b)
+            leader[max(ra, rb)] = min(ra, rb)
+    want = {x: find(x) for x in list(leader)}
+    got = components.connected_components(spark.createDataFrame(edges, "a int, b int"), "a", "b")
+    assert {r.node: r.component for r in got.collect()} == want
+    assert components.connected_components(spark.createDataFrame([], "a int, b int"), "a", "b").count() == 0
+
+
+def test_similar_keys_equal_brute_force(spark):
+    random.seed(4)
+    word = lambda: "".join(random.choices("abcde", k=random.randint(2, 9)))
+    keys, entries = sorted({word() for _ in range(120)}), sorted({word() for _ in range(40)})
+    frame = lambda ws: spark.createDataFrame([("k", w, setjoin.grams(w)) for w in ws], "kind string, key string, set array<string>")
+    for t in (0.35, 0.6):
+        want = {(k, e) for k in keys for e in entries if len(x := set(setjoin.grams(k)) & set(setjoin.grams(e))) / len(set(setjoin.grams(k)) | set(setjoin.grams(e))) >= t and x}
+        got = [(r.key, r.entry) for r in setjoin.similar_keys(frame(keys), frame(entries), t).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_places(spark, ref, rows):
+    data = [
+        ("a", "city", "Thsao", None, None, None),
+        ("b", "city", "Muvevur, QC", "ON", None, None),
+        ("c", "city", "muvevur", "Ontairo", None, None),
+        ("d", "city", "Muvevur", None, 44.9, -133.0),
+        ("e", "city", "Atlantis", None, None, None),
+        ("f", "city", " ", None, None, None),
+        ("g", "city", None, None, None, None),
+        ("h", "city", "oldnmae", None, None, None),
+        ("i", "city", "Pt. Muvevur", None, None, None),
+        ("j", "province", "Ontairo", None, None, None),
+        ("j", "province", "Ontairo", None, None, None),
+        ("k", "province", "Not in list", None, None, None),
+        ("l", "city", "x" * 20_000, None, None, None),
+        ("m", "city", "Muvevur", None, None, None),
+    ]
+    df = spark.createDataFrame([(*d, "clash") for d in data], "record_id string, field string, text string, province string, lat double, lng double, place_id string")
+    assert rows(places.map_to_places(df, ref)) == [("a", "city", 1), ("b", "city", 3), ("c", "city", 2), ("d", "city", 3), ("e", "city", 0), ("h", "city", 2), ("i", "city", 4), ("j", "province", 901), ("k", "province", 0), ("l", "city", 0), ("m", "city", 2)]
+    assert places.map_to_places(df.limit(0), ref).count() == 0
+    assert {r.place_id for r in places.map_to_places(df, ref.limit(0)).collect()} == {0}
+
+
+NAMED = "key string, name string, city string, province string, lat double, lng double, postal string, website string"
+
+
+def named(spark, data):
+    return spark.createDataFrame([(k, n, c, None, None, None, None, w, 0) for k, n, c, w in data], NAMED + ", side int")
+
+
+def test_locate(spark, ref):
+    df = spark.createDataFrame([("a", "Thaso", None, None, None, "K0A 1A1", None), ("b", None, None, None, None, "k0a9z9", None), ("c", "nowhere", None, 50.91, -85.79, None, "x.ca"), ("d", None, None, None, None, None, "http://www.x.ca/a"), ("e", None, None, None, None, None, None)], "key string, city string, province string, lat double, lng double, postal string, website string")
+    assert {r.key: r.place_id for r in locate.locate(df, ref).collect()} == {"a": 1, "b": 1, "c": 4, "d": 4, "e": None}
+
+
+def test_variants(spark, ref, rows):
+    targets = named(spark, [("1", "Masjid Nuur Milond Sairnsetil", "Thaso", None), ("2", "Milond Sairnsetil School", "Thaso", None), ("3", "M. Sairnsetil Mosque", "THASO", None), ("4", "Masjid Milond Sairnsetil", "Port Muvevur", None), ("5", "Mosque", "Thaso", None), ("6", None, "Thaso", None), ("7", "Gelix Brovan", None, None), ("7", "Gelix Brovan", None, None), (None, "Gelix Brovan", None, None)])
+    candidates = named(spark, [("a", "Sairnsetil Milond Mosque", "Thaso", None), ("b", "Masjid Milnod Sairnsetil of Thaso", "Thsao", None), ("c", "Milond Sairnsetil Academy", "Thaso", None), ("d", "Masjid", "Thaso", None), ("e", "Brovan Gelix Foundation", "Thaso", None), ("f", "", "Thaso", None), ("g", "x" * 9000, "Thaso", None)])
+    got = rows(variants.link_variants(targets, candidates, ref))
+    assert got == [("1", "a"), ("1", "b"), ("2", "c"), ("3", "a"), ("3", "b"), ("7", "e")]
+    assert variants.link_variants(targets.limit(0), candidates, ref).count() == 0
+
+
+def test_matching(spark, ref):
+    cols = "key string, name string, city string, province string, lat double, lng double, postal string, phone string, website string, confidence double"
+    row = lambda k, n, c, w: (k, n, c, None, None, None, None, None, w, 0.0)
+    left = [row("a", "Milnod Sairnsetil Mosque", "Thaso", None), row("b", None, None, "http://own.ca/contact"), row("c", "Other Words Mosque", "Thaso", "own.ca"), row("d", "Masjid", "Thaso", None), row("e", "Sairnsetil Milond School", "Thaso", None), row("a", "Milnod Sairnsetil Mosque", "Thaso", None), row(None, "Milond Sairnsetil Mosque", "Thaso", None)]
+    right = [row("X", "Masjid Sairnsetil Milond", "Thaso", None), row("Y", "Gelix Brovan Fdn", "Muvevur (QC)", "https://www.own.ca/"), row("Z", "", "", "")]
+    l, r = spark.createDataFrame(left, cols), spark.createDataFrame(right, cols)
+    got = {x.left_key: (x.right_key, x.confidence) for x in matching.match_entities(l, r, ref).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a": "X", "b": "Y"} and all(0 < v[1] <= 1 for v in got.values())
+    assert matching.match_entities(l.limit(0), r, ref).count() == 0 and matching.match_entities(l, r.limit(0), ref).count() == 0
+
+
+def test_sorted_neighbours_cross_partition_borders(spark):
+    """Every right profile of a sort key's neighbourhood is met, wherever the partitions end."""
+    random.seed(6)
+    words = sorted({"".join(random.choices("abcdefgh", k=6)) for _ in range(160)})
+    data = [(i, i % 2, 1, "mosque", "", f"{w} tail", "") for i, w in enumerate(words)]
+    df = spark.createDataFrame(data, "node long, side int, place_id int, purpose string, given string, own string, web string")
+    exact = df.unionByName(spark.createDataFrame([(1000 + i, 1 - s, p, u, g, o, w) for i, s, p, u, g, o, w in data], df.schema))
+    got = {(r.left, r.right) for r in matching.sorted_neighbours(exact, window=2).collect()}
+    assert {(i, 1000 + i) if s == 0 else (1000 + i, i) for i, s, *_ in data} <= got
+
+
+def test_addresses(spark, ref, rows):
+    cols = "key string, address string, city string, province string, lat double, lng double, postal string, website string, number int"
+    data = [
+        ("a", "12 Divoulind Crescent East", "Thaso", "M7P 3Y7"),
+        ("b", "Suite 4 - 12, Diovulind Cresc. E", "THASO", None),
+        ("c", "12 Divoulind Terrace East", "Thaso", "M7P 1A1"),
+        ("d", "12 Divoulind East", "Thaso", "m7p1a1"),
+        ("e", "14 Divoulind Crescent East", "Thaso", None),
+        ("f", "12 Divoulind Crescent East", "Port Muvevur", None),
+        ("g", "PO Box 12", "Thaso", None),
+        ("h", None, "Thaso", None),
+        ("i", " ", "Thaso", None),
+        (None, "12 Divoulind Crescent East", "Thaso", None),
+        ("j", "12 Divoulind Crescent West", "Thaso", None),
+        ("a", "12 Divoulind Crescent East", "Thaso", "M7P 3Y7"),
+        ("k", "12 Divoulind Cres E", "Thaso", None),
+        ("l", "12 Divoulind Crescent E", "Thaso", None),
+    ]
+    df = spark.createDataFrame([(k, a, c, None, None, None, p, None, 0) for k, a, c, p in data], cols)
+    grouped = addresses.address_groups(df, ref)
+    want = sorted([(x, y) for x in "abkl" for y in "abkl" if x < y] + [("c", "d")])
+    for hot in (5_000, 2):
+        assert rows(addresses.pairs_of_groups(grouped, "key", "address_group", hot=hot)) == want
+    assert addresses.address_groups(df.limit(0), ref).count() == 0
+
+
+# --- surviving values --------------------------------------------------------------------------------
+
+
+def clean(spark, f, *values):
+    return [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").orderBy("i").select(f(F.col("v"))).collect()]
+
+
+def test_clean_values(spark):
+    assert clean(spark, golden.clean_email, " <Info@X.test>, ", "mailto:a.b@x.org.example", "info@", "a@@b.ca", "x at y", "none@none.test", "email@domain.example", "a@mailbox", None, "") == ["info@x.test", "a.b@x.org.example"] + [None] * 8
+    assert clean(spark, golden.clean_phone, "T: 416-555-0397", "+1 (647) 555-0397 ext. 12", "tel:+1-902-555-6154", "555-555-5555", "123-456-7890", "416-555-", "416-555-xxxx", None) == ["4165550397", "6475550397", "9025556154"] + [None] * 5
+    assert clean(spark, golden.clean_postal, "m7p-3y7", " M7P  3Y7", "M7?3Y7", "M7P3", "00000", None) == ["M7P3Y7", "M7P3Y7", None, None, None, None]
+    account = lambda c: golden.clean_account(c, "facebook")
+    assert clean(spark, account, "@A.b", "http://m.facebook.example/a.b?ref=page", "https://www.FACEBOOK.EXAMPLE/A.b/", "a.b", "share", "https://facebook.example/", "#", None) == ["a.b"] * 4 + [None] * 4
+
+
+ORG = "id string, merged_into string, name string, slug string, province string, email string, phone string, postal_code string, social map<string,string>, created_at timestamp, grp string"
+CAND = "id string, resolved_org_id string, source_id string, email string, phone string, postal_code string, social map<string,string>, created_at timestamp"
+
+
+def at(day):
+    import datetime
+
+    return None if day is None else datetime.datetime(2025, 1, 1) + datetime.timedelta(days=day)
+
+
+def org(i, into=None, day=0, email=None, phone=None, postal=None, social=None, name="Gelix Brovan"):
+    return (i, into, name, f"gelix-brovan-thas0-{i}", "ON", email, phone, postal, social or {}, at(day), "x")
+
+
+def cand(i, to, day=0, email=None, phone=None, postal=None, social=None, source="web"):
+    return (i, to, source, email, phone, postal, social or {}, at(day))
+
+
+def survivors(spark, orgs, cands):
+    got = golden.surviving_records(spark.createDataFrame(orgs, ORG), spark.createDataFrame(cands, CAND))
+    return {(r.org_id, r.field): r.value for r in got.collect()}
+
+
+def test_roots(spark, rows):
+    df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", "d"), ("f", "e"), ("x", "y"), ("y", "x"), ("z", "missing"), (None, "a")], "id string, merged_into string")
+    assert rows(golden.group_roots(df)) == [(k, "a") for k in "abcdef"]
+
+
+def test_survivors(spark):
+    orgs = [org("a", email="gelix@old.test", phone="416-555-0001"), org("b", into="a", day=50, email="gelix@new.test"), org("alone", email="gelix@x.test"), org("u", into="v"), org("v", into="u")]
+    cands = [
+        cand("1", "b", 90, email="Gelix@NEW.test", phone="(416) 555-0002", social={"facebook": "@GelixBrovan", "other": "z"}),
+        cand("2", "a", 95, phone="416.555.0002", source="cra", postal="k0a 1c4"),
+        cand("3", "a", 99, email="someone@else.test", source="search", postal="K0A"),
+        cand("4", "missing", 99, email="gelix@never.test"),
+        cand("5", None, 99, email="gelix@never.test"),
+    ]
+    assert survivors(spark, orgs, cands) == {("a", "email"): "gelix@new.test", ("a", "phone"): "4165550002", ("a", "postal_code"): "K0A1C4", ("a", "facebook"): "gelixbrovan"}
+    assert survivors(spark, [orgs[0]], []) == {} and survivors(spark, [], []) == {}
+
+
+def test_survivors_without_dates_and_ties(spark):
+    orgs = [org("a", day=None, email="gelix@one.test")]
+    assert survivors(spark, orgs, [cand("1", "a", None, email="gelix@two.test")])[("a", "email")] in ("gelix@one.test", "gelix@two.test")
+    same = [cand(str(i), "a", 5, email=e) for i, e in enumerate(["gelix@c.test", "gelix@b.test"])]
+    assert survivors(spark, [org("a")], same) == survivors(spark, [org("a")], same[::-1])
+
+
+# --- mixtures ------------------------------------------------------------------------------------------
+
+
+def test_mixture(spark):
+    random.seed(8)
+    docs = [(i, random.choice(["big"] * 8 + ["mid", "small"]), random.randint(1, 900)) for i in range(4000)] + [(5000, "big", 0), (5001, "big", None), (5002, None, 7), (5003, "other", 7), (5004, "small", 10)]
+    targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 4), ("absent", 0.1, 3)], "source string, weight double, max_repeats int")
+    df = spark.createDataFrame([(*d, "clash") for d in docs], "doc_id long, source string, size long, copies string")
+    mixture = mixing.mix(df, targets)
+    got = mixture.collect()
+    assert len(got) == len(docs) and {r.doc_id: r.copies for r in got if r.doc_id >= 5000 and r.doc_id != 5004} == {5000: 0, 5001: 0, 5002: 0, 5003: 0}
+    most = {"big": 1, "mid": 2, "small": 4}
+    assert all(0 <= r.copies <= most.get(r.source, 0) for r in got)
+    for s in most:  # no document is copied two times more often than another of its source
+        n = [r.copies for r in got if r.source == s and r.size]
+        assert max(n) - min(n) <= 1
+    shares = {r.source: r for r in mixing.mixture_shares(mixture, targets).collect()}
+    for s, w in (("big", 0.5), ("mid", 0.3), ("small", 0.2)):
+        assert shares[s].actual == pytest.approx(w, abs=0.01)
+    assert shares["absent"].actual == 0.0 and shares["other"].target == 0.0
+    assert sorted(tuple(r) for r in mixing.mix(df.limit(0), targets).collect()) == []
+    assert {r.copies for r in mixing.mix(df, targets.limit(0)).collect()} == {0}
+
+
+# --- stuffed pages -------------------------------------------------------------------------------------
+
+HONEST = "We ask parents to keep the entrance clear, since the lift is out of order. The board repaired the boiler because of the storm, and the final cost was paid by the families. "
+
+
+def test_stuffed(spark, rows):
+    docs = [
+        (1, "halal pizza, best halal pizza, halal pizza deal, halal pizza near me, cheap halal pizza, halal pizza sale, halal pizza"),
+        (2, "https://a.test/x/y https://b.test/tag/z http://c.test/p/q https://d.test/go?id=1 www.e.test/out/k"),
+        (3, "[prayer mat](https://a.test/x) | [azan clock sale](https://b.test/y) | [hijab pins](https://c.test/z) | [kufi cap](https://d.test/z)"),
+        (4, " ".join(f"#tag{i}" for i in range(20))),
+        (5, "Welcome to our page, we are here for you.\n" + "\n".join(f"umrah-package-{a}\nkufi-cap-{a}" for a in ("cheap", "sale", "best", "price", "deal", "shop", "online"))),
+        (6, HONEST * 3),
+        (7, HONEST + "#prayer #mosque"),
+        (8, "Prayer times\n" + "\n".join(f"{d} Fajr 5:{d + 10} Dhuhr 1:{d + 20} Asr 4:{d + 15}" for d in range(1, 29))),
+        (9, "\n".join(f"Belix Centre {i}, {i} Gashofon Road, Thaso, ON - 416-555-0{i}" for i in range(100, 120))),
+        (10, "Useful pages\n" + "\n".join(f"https://s{i}.test/help - We are looking for people who can cook for the family dinner this month." for i in range(4))),
+        (11, None),
+        (12, ""),
+        (13, "  \n "),
+        (14, "Mosque"),
+        (1, "halal pizza, best halal pizza, halal pizza deal, halal pizza near me, cheap halal pizza, halal pizza sale, halal pizza"),
+        (None, "#a1 #a2 #a3 #a4"),
+    ] + [(100 + i, HONEST) for i in range(6)]
+    df = spark.createDataFrame([(*d, 0.5) for d in docs], "doc_id long, text string, n_words double")
+    assert rows(stuffing.stuffed(df, "doc_id", "text")) == [(1,), (2,), (3,), (4,), (5,)]
+    assert stuffing.stuffed(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "azan clock sale, " * 40_000), (2, HONEST * 3_000)], "doc_id long, text string")
+    assert [r.doc_id for r in stuffing.stuffed(df, "doc_id", "text").collect()] == [1]
