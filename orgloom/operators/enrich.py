@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgloom.functions.text import query_key
+from orgloom.functions.geo import province_from_postal
+from orgloom.functions.text import fields, query_key
 from orgloom.functions.url import site_slug
 
 
@@ -36,6 +37,29 @@ def term_score(weights: dict[str, tuple[Column, int]]) -> Column:
     return sum((F.when(text.contains(term), w).otherwise(0) for term, (text, w) in weights.items()), F.lit(0))
 
 
+def proposals_of(hits: DataFrame, key: str, evidence_length: int = 300) -> DataFrame:
+    """``key, field, value, source_url, evidence`` proposed by search hits (``key, title, url, content``).
+
+    Each hit proposes at most two addresses, a phone, the province and postal area of its first
+    postal code, and its first 'City, XX'.
+    """
+    found = fields(F.col("title"), F.col("url"), F.col("content"))
+    rows = hits.select(key, F.col("url").alias("source_url"), F.substring(F.coalesce(F.when(F.col("content") != "", F.col("content")), "title"), 1, evidence_length).alias("evidence"), found.alias("f"))
+    one = lambda field, value: F.when(value.isNotNull(), F.struct(F.lit(field).alias("field"), value.alias("value")))
+    f = F.col("f")
+    single = F.array(one("phone", f.phone), one("province", province_from_postal(f.postal_area)), one("postal_code", f.postal_area), one("city", f.city), one("province", F.when(f.postal_area.isNull(), f.province)))
+    mails = F.transform(F.slice(f.emails, 1, 2), lambda e: F.struct(F.lit("email").alias("field"), e.alias("value")))
+    proposed = F.filter(F.concat(mails, single), lambda p: p.isNotNull())
+    return rows.select(key, F.explode(proposed).alias("p"), "source_url", "evidence").select(key, "p.field", "p.value", "source_url", "evidence")
+
+
+def still_missing(targets: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Targets whose ``missing`` fields aren't all among the ``field``s found; a postal code counts as a province."""
+    got = found.groupBy(key).agg(F.collect_set(F.when(F.col("field") == "postal_code", "province").otherwise(F.col("field"))).alias("__got"))
+    left = F.size(F.array_except("missing", F.coalesce("__got", F.array().cast("array<string>"))))
+    return targets.join(got, key, "left").filter(left > 0).drop("__got")
+
+
 def first_values(proposals: DataFrame, key: str, fields: list[str], order: list[str]) -> DataFrame:
     """One row for each key with the first proposed value of every field."""
     return proposals.groupBy(key).agg(*[F.min_by("proposed_value", F.when((F.col("field") == f) & F.col("proposed_value").isNotNull(), F.struct(*order))).alias(f) for f in fields])

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.functions import geo, text, url
+from orgloom.functions import geo, outcomes, text, url
 
 
 def one(spark, values, *columns):
@@ -146,3 +146,19 @@ def test_geo(spark):
     sim = lambda a, b: one(spark, [a, b], geo.trigram_similarity(geo.trigrams(F.col("a")), geo.trigrams(F.col("b"))))
     assert sim("word", "two words") == pytest.approx(0.363636, abs=1e-5)
     assert sim("", "") == 0.0 and sim("a", "a") == 1.0
+
+
+@pytest.mark.parametrize(
+    "reason, kind",
+    [("status 429", "retryable"), ("status 503", "retryable"), ("status 404", "permanent"), ("status 451", "permanent"), ("blocked unsafe redirect: loopback", "blocked"), ("error: connection reset", "retryable"), ("read timeout", "retryable"), ("content too short (120 chars)", "thin"), (None, "permanent"), ("crawl failed: status 403", "blocked"), ("crawl failed: blocked by robots.txt", "blocked"), ("crawl failed: blocked by url_guard: dns resolution failed", "blocked")],
+)
+def test_failures(spark, reason, kind):
+    assert one(spark, [reason], outcomes.failure_kind(F.col("a"))) == kind
+
+
+def test_fetches(spark):
+    problem = lambda status, kind, html: one(spark, [status, kind, html], outcomes.fetch_problem(F.col("a").cast("int"), F.col("b"), F.col("c")))
+    assert problem("404", "text/html", "x" * 900) == "status 404"
+    assert problem("200", "application/pdf", "x" * 900) == "not html: application/pdf"
+    assert problem("200", "text/html", "é" * 200) == "content too short: 200 bytes"
+    assert problem("200", "Text/HTML; charset=utf-8", "é" * 250) is None

@@ -115,6 +115,14 @@ def test_slots(spark):
     assert got == {1: ["site_contact", "name_contact", "name_city"], 2: ["name_contact", "name_country"]}
 
 
+def test_proposals(spark, rows):
+    hits = spark.createDataFrame([(1, "t", "https://a.ca", "a@m.ca b@m.ca info@m.ca 416-555-1234 M2N 7J8 in Toronto, ON"), (2, "nothing", "https://b.ca", None)], "id int, title string, url string, content string")
+    got = enrich.proposals_of(hits, "id")
+    assert rows(got.select("field", "value")) == [("city", "Toronto"), ("email", "a@m.ca"), ("email", "info@m.ca"), ("phone", "416-555-1234"), ("postal_code", "M2N"), ("province", "ON")]
+    targets = spark.createDataFrame([(1, ["email", "province"]), (2, ["email"]), (3, [])], "id int, missing array<string>")
+    assert rows(enrich.still_missing(targets, got, "id").select("id")) == [(2,)]
+
+
 def test_payloads(spark, rows):
     answers = [
         ("a", '```json\n{"emails": ["i@x.ca", {"value": "I@x.ca ", "source_url": "u"}, {"value": "no@x.ca"}], "socials": ["https://fb.com/p", "https://nowhere.org/p"], "contact_forms": ["https://x.ca/contact"]}\n```'),
