@@ -76,14 +76,14 @@ def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = nodes.filter("place_id is not null").withColumn("code", F.explode("codes"))
     edges = cut(_met(placed, placed, ["place_id", "code"], F.col("node_a") < F.col("node_b")))
     found = connected_components(edges.filter("vague_a = vague_b"), "node_a", "node_b")
-    entity = nodes.select("node", "place_id", "purpose", "given", "own", "codes", "n").join(found, "node", "left").withColumn("entity", F.coalesce("component", "node")).drop("component")
+    entity = nodes.select("node", "place_id", "n").join(found, "node", "left").withColumn("entity", F.coalesce("component", "node")).drop("component")
     entity = cut(entity)
     size = entity.groupBy("entity").agg(F.sum("n").alias("rows"))
     home = entity.select(F.col("node").alias("node_b"), F.col("entity").alias("to"), F.col("place_id").alias("to_place"))
     mixed = edges.filter("vague_a <> vague_b")
     near = mixed.select(F.when(F.col("vague_a"), F.col("node_a")).otherwise(F.col("node_b")).alias("node_a"), F.when(F.col("vague_a"), F.col("node_b")).otherwise(F.col("node_a")).alias("node_b"), "like").join(home, "node_b")
-    lost = small(cut(entity.filter("place_id is null").withColumn("code", F.explode("codes"))))
-    far = cut(_met(lost, entity.filter("place_id is not null").withColumn("code", F.explode("codes")), ["code"], F.lit(True)).select("node_a", "node_b", "like"))
+    lost = small(cut(nodes.filter("place_id is null").withColumn("code", F.explode("codes"))))
+    far = cut(_met(lost, placed, ["code"], F.lit(True)).select("node_a", "node_b", "like"))
     far = far.join(home, "node_b")
     far = far.withColumn("best", F.max("like").over(W.partitionBy("node_a"))).filter("like >= best - 0.02")
     lone = far.groupBy("node_a").agg(F.countDistinct("to_place").alias("places")).filter("places = 1").select("node_a")
