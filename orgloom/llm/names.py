@@ -152,6 +152,25 @@ def block_codes(own: tuple[str, ...]) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+#: Bits of a word's letters; above them stands its first letter.
+LETTER_BITS = 58
+
+
+@lru_cache(maxsize=30_000)
+def letters(word: str) -> int:
+    """A word of a-z as bits: two for each letter, for its first and second time, six for further times, then the first letter.
+
+    ``a & b`` below ``LETTER_BITS`` has at least as many ones as the words share
+    letters, repeated ones counted; -1 for words with more repeats than fit.
+    """
+    bits = more = 0
+    for c in set(word):
+        n, at = word.count(c), 2 * (ord(c) - 97)
+        bits |= (1 if n == 1 else 3) << at
+        more += max(n - 2, 0)
+    return -1 if more > 6 else bits | ((1 << more) - 1) << 52 | (ord(word[0]) - 96 if word else 0) << LETTER_BITS
+
+
 @lru_cache(maxsize=30_000)
 def word_likeness(a: str, b: str) -> float:
     if a == b:

@@ -12,16 +12,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgloom.llm.components import connected_components
 from orgloom.llm.locate import locate
-from orgloom.llm.names import block_codes, likeness, parse_name
+from orgloom.llm.names import LETTER_BITS, block_codes, letters, likeness, parse_name
 from orgloom.session import cut, small
 
 PARSED = "purpose string, given string, own string"
+#: Of a spelling: the number of its words, and ``names.letters`` of the first, the second of two, and all together.
+MASKS = ["words", "one", "two", "whole"]
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -33,7 +35,9 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _with_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield b.assign(codes=[block_codes(tuple(o.split())) for o in b.own])
+        words = [o.split() for o in b.own]
+        one, two = [letters(w[0]) for w in words], [letters(w[1]) if len(w) == 2 else 0 for w in words]
+        yield b.assign(codes=[block_codes(tuple(w)) for w in words], words=[len(w) for w in words], one=one, two=two, whole=[letters("".join(w)) for w in words])
 
 
 def parsed_names(located: DataFrame) -> DataFrame:
@@ -48,16 +52,44 @@ def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out.like > 0]
 
 
+def _reaches(x: str, y: str, least: float, lower: Column | None = None) -> Column:
+    """Whether ``word_likeness`` of two words may be ``least`` or more (0.8 where ``lower``), by their ``letters``: never false where it is."""
+    low = F.lit((1 << LETTER_BITS) - 1)
+    a, b = F.col(x), F.col(y)
+    both, m, n = (F.bit_count(c.bitwiseAND(low)) for c in (a.bitwiseAND(b), a, b))
+    first = F.shiftrightunsigned(a, LETTER_BITS) == F.shiftrightunsigned(b, LETTER_BITS)
+    # Jaro is at most (both/m + both/n + 1) / 3, and a common beginning takes off up to 0.4 of what is left to 1
+    bound = lambda t: F.when(first, 3 * (t - 0.4) / 0.6 - 1).otherwise(3 * t - 1)
+    jaro = bound(least) if lower is None else F.when(lower, bound(0.8)).otherwise(bound(least))
+    typos = (both >= F.greatest(m, n) - 1) | ((both >= F.greatest(m, n) - 2) & (F.least(m, n) > 6))
+    longer = (first & (both >= F.least(m, n))) | typos | (both * (m + n) >= (jaro - 1e-9) * m * n)
+    return (a < 0) | (b < 0) | F.when(F.least(m, n) == 1, first).otherwise(longer)
+
+
+def may_agree() -> Column:
+    """Whether ``likeness`` of the pair's names may be above 0; most pairs of a block can't, and are left before Python sees them."""
+    low, whole_a, whole_b = F.lit((1 << LETTER_BITS) - 1), F.col("whole_a"), F.col("whole_b")
+
+    def in_turn(x: str, y: str) -> Column:
+        same_one, same_other = F.col("one_a") == F.col(f"{x}_b"), F.col("two_a") == F.col(f"{y}_b")
+        return _reaches("one_a", f"{x}_b", 0.86, same_other) & _reaches("two_a", f"{y}_b", 0.86, same_one)
+
+    both, m, n = (F.bit_count(c.bitwiseAND(low)) for c in (whole_a.bitwiseAND(whole_b), whole_a, whole_b))
+    as_one = (whole_a < 0) | (whole_b < 0) | ((F.abs(m - n) <= 2) & (both * (m + n) >= (3 * (0.96 - 0.4) / 0.6 - 1 - 1e-9) * m * n))
+    names = (
+        F.when(F.col("words_a") != F.col("words_b"), as_one)
+        .when(F.col("words_a") == 2, in_turn("one", "two") | in_turn("two", "one"))
+        .when(F.col("words_a") == 1, _reaches("one_a", "one_b", 0.93))
+        .otherwise(True)
+    )
+    return names & ((F.col("given_a") == "") | (F.col("given_b") == "") | (F.col("given_a") == F.col("given_b")))
+
+
 def _met(a: DataFrame, b: DataFrame, on: list[str], rule) -> DataFrame:
     """Distinct pairs of spellings that share a block, with their likeness and whether either tells no purpose."""
-    part = lambda d, s: d.select(*on, *[F.col(c).alias(f"{c}_{s}") for c in ("node", "own", "given", "purpose")])
-    # most pairs of a block have neither a first or last word in common nor few edits between them
-    head, tail = (lambda c: F.substring_index(c, " ", 1)), (lambda c: F.substring_index(c, " ", -1))
-    first_a, last_a, first_b, last_b = head("own_a"), tail("own_a"), head("own_b"), tail("own_b")
-    common = (first_a == first_b) | (last_a == last_b) | (first_a == last_b) | (last_a == first_b)
-    few = (F.levenshtein("own_a", "own_b", 7) >= 0) | (F.levenshtein(F.concat_ws(" ", last_a, first_a), "own_b", 7) >= 0)
+    part = lambda d, s: d.select(*on, *[F.col(c).alias(f"{c}_{s}") for c in ("node", "own", "given", "purpose", *MASKS)])
     one_kind = (F.col("purpose_a") == F.col("purpose_b")) | (F.col("purpose_a") == "") | (F.col("purpose_b") == "")
-    pairs = part(a, "a").join(part(b, "b"), on).filter(one_kind & rule).filter(common | few).drop(*on).distinct()
+    pairs = part(a, "a").join(part(b, "b"), on).filter(one_kind & rule).filter(may_agree()).drop(*on, *[f"{c}_{s}" for c in MASKS for s in "ab"]).distinct()
     return pairs.mapInPandas(_score, "node_a long, node_b long, vague_a boolean, vague_b boolean, like double")
 
 
@@ -72,7 +104,7 @@ def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = parsed.filter("own <> ''").withColumn("node", F.xxhash64(F.coalesce("place_id", F.lit(-1)), "purpose", "given", "own"))
     rows = cut(rows)
     nodes = rows.groupBy("node", "place_id", "purpose", "given", "own").agg(F.count(F.lit(1)).alias("n"))
-    nodes = cut(nodes.mapInPandas(_with_codes, f"node long, place_id int, {PARSED}, n long, codes array<string>"))
+    nodes = cut(nodes.mapInPandas(_with_codes, f"node long, place_id int, {PARSED}, n long, codes array<string>, words int, one long, two long, whole long"))
     placed = nodes.filter("place_id is not null").withColumn("code", F.explode("codes"))
     edges = cut(_met(placed, placed, ["place_id", "code"], F.col("node_a") < F.col("node_b")))
     found = connected_components(edges.filter("vague_a = vague_b"), "node_a", "node_b")

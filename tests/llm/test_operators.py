@@ -2,10 +2,11 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.llm import addresses, components, golden, locate, matching, mixing, places, setjoin, stuffing, variants
+from orgloom.llm import addresses, components, golden, locate, matching, mixing, names, places, setjoin, stuffing, variants
 
 PLACES = "place_id int, kind string, name string, province string, alt_names array<string>, lat double, lng double"
 LIST = [
@@ -264,3 +265,35 @@ def test_stuffed(spark, rows):
 def test_a_very_long_text(spark):
     df = spark.createDataFrame([(1, "azan clock sale, " * 40_000), (2, HONEST * 3_000)], "doc_id long, text string")
     assert [r.doc_id for r in stuffing.stuffed(df, "doc_id", "text").collect()] == [1]
+
+
+# --- nothing is left out before it is compared ---------------------------------------------------------
+
+
+def test_variants_meet_however_many_edits_their_joined_names_have(spark, ref, rows):
+    """An initial or a short form beside a mistyped word is more than seven edits away."""
+    targets = named(spark, [("1", "L. Vipind Mosque", "Thaso", None), ("2", "Masjid W. Shizumbis", "Thaso", None)])
+    candidates = named(spark, [("a", "Masjid Lairsisa Vipnid", "Thaso", None), ("b", "Masjed Woukouvanai Shzumbis", "Thaso", None)])
+    assert rows(variants.link_variants(targets, candidates, ref)) == [("1", "a"), ("2", "b")]
+
+
+def test_no_pair_that_likeness_accepts_is_left_out(spark):
+    random.seed(11)
+
+    def typed(w):
+        kind, i = random.randrange(7), random.randrange(len(w))
+        return [w, w[:1], w[:3], w[:i] + w[i + 1 :] or w, w[:i] + random.choice("aeimn") + w[i:], w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :], w[:i] + random.choice("sz") + w[i + 1 :]][kind]
+
+    pairs = []
+    for _ in range(6000):
+        words = ["".join(random.choices("abdeimnosu", k=random.randrange(2, 13))) for _ in range(random.choice([1, 2, 2, 2, 3]))]
+        a, b = [typed(typed(w)) for w in words], [typed(typed(w)) for w in words]
+        if random.random() < 0.1:
+            b = ["".join(b)]
+        pairs.append((" ".join(sorted(a)), " ".join(sorted(b))))
+    pairs += [("aaaaaaaaaaaa bee", "aaaaaaaaaaa bee"), ("q", "q")]
+    side = lambda s, k: next(variants._with_codes([pd.DataFrame({"own": [p[k] for p in pairs], "given": ""})])).drop(columns="codes").add_suffix(f"_{s}")
+    df = spark.createDataFrame(pd.concat([side("a", 0), side("b", 1)], axis=1))
+    kept = {(r.own_a, r.own_b) for r in df.filter(variants.may_agree()).collect()}
+    like = {p for p in pairs if names.likeness(tuple(p[0].split()), "", tuple(p[1].split()), "") > 0}
+    assert len(like) > 500 and like <= kept
