@@ -181,10 +181,14 @@ def word_likeness(a: str, b: str) -> float:
         return 0.86 if long[0] == short else 0.0
     if n > 2 and long.startswith(short):
         return 0.94
-    if len(long) - n > 3 or 2 * len(set(short) & set(long)) < n:
+    x, y = letters(a), letters(b)
+    both = (x & y & ((1 << LETTER_BITS) - 1)).bit_count() if x >= 0 and y >= 0 else n
+    far = both < len(long) - 2  # more than two edits
+    most = (both / n + both / len(long) + 1) / 3  # of Jaro; a common beginning takes off up to 0.4 of what is left to 1
+    if far and most + (0.4 * (1 - most) if a[0] == b[0] else 0.0) < 0.8:
         return 0.0  # below any threshold in use
     jw = jaro_winkler(a, b)
-    if jw >= 0.93 or n < 4 or jw < 0.7:
+    if jw >= 0.93 or n < 4 or far:
         return jw
     return max(jw, {1: 0.93, 2: 0.87 if n > 6 else 0.0}.get(edits(a, b, 2), 0.0))
 

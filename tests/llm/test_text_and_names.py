@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from orgloom.llm.names import block_codes, likeness, parse_name, sound
+from orgloom.llm.names import block_codes, likeness, parse_name, sound, word_likeness
 from orgloom.llm.places import province_key, split_place
 from orgloom.llm.setjoin import grams
 from orgloom.llm.streets import parse_address
@@ -121,3 +121,19 @@ def test_addresses(address, parts):
 
 def test_grams_are_sets():
     assert len(grams("aaaa")) == len(set(grams("aaaa"))) == 4 + 5 + 4
+
+
+@pytest.mark.parametrize("a, b", [("dumoudoum", "dumoundoum"), ("missisippi", "mississippi"), ("abcdefgh", "abcdefgxyzwh")])
+def test_words_with_repeated_letters_or_long_endings_are_compared(a, b):
+    assert word_likeness(a, b) >= jaro_winkler(a, b) > 0.8
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("abcd", min_size=2, max_size=12), st.text("abcd", min_size=2, max_size=12))
+def test_word_likeness_leaves_out_nothing_that_counts(a, b):
+    short, long = sorted((a, b), key=len)
+    full = 1.0 if a == b else 0.94 if len(short) > 2 and long.startswith(short) else jaro_winkler(a, b)
+    if len(short) > 3 and full < 0.93:
+        full = max(full, {1: 0.93, 2: 0.87 if len(short) > 6 else 0.0}.get(edits(a, b, 2), 0.0))
+    got = word_likeness(a, b)
+    assert got == pytest.approx(full) or (got == 0.0 and full < 0.8)
