@@ -23,8 +23,10 @@ from orgloom.session import cut, cut_in_order
 
 #: Records of the other table that one is compared with, on either side, for each key.
 WINDOW = 8
-#: A host with more distinct names than this is a platform; addresses on it count with their path.
-PLATFORM_NAMES = 12
+#: A host is a platform, on which addresses count with their path, unless so many organisations have this share of the rows that name one.
+PLATFORM_NAMES, OWN_SHARE = 12, 0.8
+#: Organisations of a host that are counted apart; the rows of further ones count together.
+_APART = 64
 #: Weights of the similarities in the confidence.
 WEIGHTS = {"name": 0.5, "place": 0.15, "web": 0.2, "point": 0.1, "phone": 0.05}
 _PROFILE = "node long, side int, place_id int, purpose string, given string, own string, web string"
@@ -153,6 +155,57 @@ def sorted_neighbours(profiles: DataFrame, window: int = WINDOW) -> DataFrame:
     return up.unionByName(down).distinct()
 
 
+def _by_host(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of spellings, sorted by host, gathered into at most ``_APART`` organisations of a host and one row for all others.
+
+    A spelling is taken for the organisation of an earlier one if the sound of
+    one of its words, or a block code, is the same.
+    """
+    host, found, rest = None, [], 0
+    signs: dict[str, int] = {}
+
+    def told() -> pd.DataFrame:
+        return pd.DataFrame([(host, *f) for f in found] + ([(host, "", rest)] if rest else []), columns=["host", "own", "n"])
+
+    for b in batches:
+        for row in b.itertuples(index=False):
+            if row.host != host:
+                if host is not None:
+                    yield told()
+                host, found, rest, signs = row.host, [], 0, {}
+            words = tuple(row.own.split())
+            mine = [s for s in map(sound, words) if len(s) > 1] + block_codes(words) if words else []
+            at = next((signs[m] for m in mine if m in signs), None)
+            if at is not None:
+                found[at][1] += row.n
+            elif words and len(found) < _APART:
+                signs |= dict.fromkeys(mine, len(found))
+                found.append([row.own, row.n])
+            else:
+                rest += row.n
+    if host is not None:
+        yield told()
+
+
+def platforms(parsed: DataFrame) -> DataFrame:
+    """``host, platform`` (true) of hosts whose ``PLATFORM_NAMES`` largest organisations have less than ``OWN_SHARE`` of the named rows.
+
+    Spellings are gathered into organisations first, so however often one is
+    seen, and mistyped, its site is its own. A worker holds ``_APART`` of them;
+    a host's spellings are dealt to several workers, whose organisations are
+    gathered again.
+    """
+    spelled = parsed.filter("host is not null and own <> ''").groupBy("host", "own").agg(F.count(F.lit(1)).alias("n"))
+    many = spelled.groupBy("host").agg(F.count(F.lit(1)).alias("names")).filter(F.col("names") > PLATFORM_NAMES).select("host")
+    part = spelled.join(many, "host").withColumn("share", F.pmod(F.hash("own"), F.lit(16)))
+    part = part.repartition("host", "share").sortWithinPartitions("host", "share", F.desc("n"), "own").select(F.concat_ws(" ", "host", "share").alias("host"), "own", "n")
+    part = part.mapInPandas(_by_host, "host string, own string, n long").withColumn("host", F.substring_index("host", " ", 1))
+    whole = part.repartition("host").sortWithinPartitions("host", F.desc("n"), "own").mapInPandas(_by_host, "host string, own string, n long")
+    sizes = whole.groupBy("host").agg(F.sum("n").alias("rows"), F.sort_array(F.collect_list(F.when(F.col("own") != "", F.col("n"))), asc=False).alias("sizes"))
+    largest = F.aggregate(F.slice("sizes", 1, PLATFORM_NAMES), F.lit(0).cast("long"), lambda x, y: x + y)
+    return sizes.filter(largest < OWN_SHARE * F.col("rows")).select("host", F.lit(True).alias("platform"))
+
+
 def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window: int = WINDOW) -> DataFrame:
     """``left_key, right_key, confidence``: every left record's best right record, if it has any.
 
@@ -173,7 +226,7 @@ def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window:
     placed = locate(rows, places, carry=["side", "name", "host", "path", "lat", "lng", "phone"])
     parsed = placed.mapInPandas(_parse, "key string, side int, host string, path string, lat double, lng double, phone string, place_id int, purpose string, given string, own string")
     parsed = cut(parsed)
-    names = parsed.filter("host is not null and own <> ''").groupBy("host").agg(F.approx_count_distinct("own").alias("n")).filter(F.col("n") > PLATFORM_NAMES).select("host", F.lit(True).alias("platform"))
+    names = platforms(parsed)
     web = F.when(F.col("platform"), F.when(F.col("path") != "", F.concat_ws("/", "host", "path"))).otherwise(F.col("host"))
     parsed = parsed.join(names, "host", "left").withColumn("web", F.coalesce(web, F.lit(""))).filter("own <> '' or web <> ''")
     parsed = cut(parsed.withColumn("node", F.xxhash64(F.coalesce("place_id", F.lit(-1)), "purpose", "given", "own", "web")))

@@ -297,3 +297,20 @@ def test_no_pair_that_likeness_accepts_is_left_out(spark):
     kept = {(r.own_a, r.own_b) for r in df.filter(variants.may_agree()).collect()}
     like = {p for p in pairs if names.likeness(tuple(p[0].split()), "", tuple(p[1].split()), "") > 0}
     assert len(like) > 500 and like <= kept
+
+
+def test_many_spellings_of_one_organisation_make_no_platform(spark, ref):
+    random.seed(3)
+    cols = "key string, name string, city string, province string, lat double, lng double, postal string, phone string, website string"
+    row = lambda k, n, w: (k, n, "Thaso", None, None, None, None, None, w)
+
+    def typed(w):
+        i = random.randrange(1, len(w))
+        return w[:i] + random.choice("aeioukst") + w[i + random.randrange(2) :]
+
+    left = [row(f"own{i}", f"{typed('Milond')} {typed('Sairnsetil')} Mosque", "own.ca") for i in range(300)]
+    left += [row(f"any{i}", "".join(random.choices("bdgklmnprst", k=6)) + " " + "".join(random.choices("aeioubdgklmnprst", k=7)), "any.ca") for i in range(300)]
+    left += [row("on own", None, "http://own.ca/contact"), row("on any", None, "any.ca")]
+    right = [row("X", "Masjid Sairnsetil Milond", "own.ca"), row("Y", "Gelix Brovan Fdn", "any.ca")]
+    got = {x.left_key: x.right_key for x in matching.match_entities(spark.createDataFrame(left, cols), spark.createDataFrame(right, cols), ref).collect()}
+    assert got["on own"] == "X" and "on any" not in got
