@@ -38,8 +38,10 @@ AREA_CODES = {
 }
 #: Provinces by the first letter of a postal code.
 POSTAL_PROVINCES = {"A": "NL", "B": "NS", "C": "PE", "E": "NB", "G": "QC", "H": "QC", "J": "QC", "K": "ON", "L": "ON", "M": "ON", "N": "ON", "P": "ON", "R": "MB", "S": "SK", "T": "AB", "V": "BC", "X": "NT", "Y": "YT"}
-#: A value that more groups than this hold belongs to none of them.
-SHARED_BY = 10
+#: Email domains at which more groups than this have an address are a provider's; this tells the kind of a value only.
+PROVIDER_OF = 10
+#: A value that others hold too counts less by the log of its share of the groups, in parts of so many; a small table counts as this many groups more.
+SHARED = 1000
 #: Log-odds: another source that agrees; a value without the organisation's words or against its place; the cost of a change; and what makes a value fully credible.
 AGREED, FOREIGN, CHANGE, CREDIBLE = 2.0, -1.0, 1.9, 4.0
 
@@ -139,14 +141,18 @@ def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
     caller; ``at`` and ``source`` may be null). ``about``: ``grp, words,
     province`` (both may be null). Repeated sightings by one source count
     once, so a group of any size shrinks to its distinct values by source
-    before it is ordered. Ties go to the later, then the smaller value.
+    before it is ordered. A value that other groups hold too counts less, but
+    is kept where there is no better one. Ties go to the later, then the smaller value.
     """
     seen = seen.withColumn("source", F.coalesce("source", F.lit("")))
     by_source = cut(seen.groupBy("grp", "field", "value", "source").agg(F.min("at").alias("first"), F.max("at").alias("last")))
     held = by_source.groupBy("field", "value").agg(F.approx_count_distinct("grp").alias("groups"))
     domain = F.when(F.col("field") == "email", F.regexp_extract("value", "@(.*)$", 1))
-    providers = by_source.filter("field = 'email'").groupBy(domain.alias("domain")).agg(F.approx_count_distinct("grp").alias("n")).filter(F.col("n") > SHARED_BY).select("domain", F.lit(True).alias("shared"))
-    by_source = by_source.join(held, ["field", "value"]).filter(F.col("groups") <= SHARED_BY).withColumn("domain", domain).join(providers, "domain", "left").drop("domain")
+    providers = by_source.filter("field = 'email'").groupBy(domain.alias("domain")).agg(F.approx_count_distinct("grp").alias("n")).filter(F.col("n") > PROVIDER_OF).select("domain", F.lit(True).alias("shared"))
+    of_field = by_source.groupBy("field").agg(F.approx_count_distinct("grp").alias("of"))
+    share = F.greatest(F.col("groups") - 2, F.lit(0)) / (F.col("of") + SHARED)
+    held = held.join(F.broadcast(of_field), "field").select("field", "value", "groups", F.when(F.col("field") == "postal_code", 0.0).otherwise(F.log1p(share * SHARED)).alias("common"))
+    by_source = by_source.join(held, ["field", "value"]).withColumn("domain", domain).join(providers, "domain", "left").drop("domain")
     # whether a value has the organisation's words, or is at home in its province
     by_source = by_source.join(about, "grp", "left")
     letters = F.regexp_replace("value", "[^a-z0-9]", "")
@@ -178,6 +184,8 @@ def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
 
     in_group = W.partitionBy("grp", "field")
     by_source = by_source.join(trust, ["field", "source", "belongs"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.2)))
+    # what many hold says little against other values
+    by_source = by_source.withColumn("odds", F.when(F.col("odds") > 0, F.greatest(F.col("odds") - F.col("common"), F.lit(0.0))).otherwise(F.col("odds")))
     newest = timed.groupBy("grp", "field").agg(F.max_by("kind", F.struct("last", "value")).alias("newest_kind"), F.max("last").alias("newest"), F.min("first").alias("oldest"))
     by_source = by_source.join(newest, ["grp", "field"], "left").join(precedence, ["field", "newest_kind", "kind"], "left")
     by_source = by_source.withColumn("placed", F.coalesce("last", F.when(F.col("follows"), F.col("newest")).otherwise(F.col("oldest"))))
@@ -189,12 +197,12 @@ def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
     by_source = by_source.withColumn("since", F.sum("weight").over(upto)).withColumn("since", F.col("since") - F.sum("weight").over(W.partitionBy("grp", "field", "placed")))
     by_source = by_source.withColumn("all_weight", F.sum("weight").over(in_group))
     values = by_source.groupBy("grp", "field", "value").agg(
-        F.sum("weight").alias("weight"), F.max("placed").alias("placed"), F.max("groups").alias("groups"), F.max("belongs").alias("belongs"), F.max("all_weight").alias("all_weight"),
+        F.sum("weight").alias("weight"), F.max("placed").alias("placed"), F.max("groups").alias("groups"), F.max("common").alias("common"), F.max("belongs").alias("belongs"), F.max("all_weight").alias("all_weight"),
         F.coalesce(F.min(F.when(F.col("placed").eqNullSafe(F.col("value_last")), F.col("since"))), F.lit(0.0)).alias("later"),
     )
     # the values before it had to be given up for it, which is rare, unless they weren't credible
     earlier = F.greatest(F.col("all_weight") - F.col("weight") - F.col("later"), F.lit(0.0))
-    score = F.least(F.col("weight"), F.lit(CREDIBLE)) + F.when(F.col("belongs") == "foreign", FOREIGN).otherwise(0.0) - F.col("later") - F.least(earlier, F.lit(CHANGE)) - F.when(F.col("groups") > 1, 1.0).otherwise(0.0)
+    score = F.least(F.col("weight"), F.lit(CREDIBLE)) + F.when(F.col("belongs") == "foreign", FOREIGN).otherwise(0.0) - F.col("later") - F.least(earlier, F.lit(CHANGE)) - F.when((F.col("groups") > 1) & (F.col("field") != "postal_code"), 1.0 + F.col("common")).otherwise(0.0)
     return values.groupBy("grp", "field").agg(F.max_by("value", F.struct(F.round(score, 6), "placed", F.translate("value", "0123456789abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba9876543210"))).alias("value"))
 
 

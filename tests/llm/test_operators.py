@@ -314,3 +314,11 @@ def test_many_spellings_of_one_organisation_make_no_platform(spark, ref):
     right = [row("X", "Masjid Sairnsetil Milond", "own.ca"), row("Y", "Gelix Brovan Fdn", "any.ca")]
     got = {x.left_key: x.right_key for x in matching.match_entities(spark.createDataFrame(left, cols), spark.createDataFrame(right, cols), ref).collect()}
     assert got["on own"] == "X" and "on any" not in got
+
+
+def test_values_of_many_groups_survive_where_there_is_no_other(spark):
+    orgs = [org(f"o{i}", phone="416-555-0100", postal="K0A 1A1") for i in range(40)]
+    cands = [cand(f"c{i}", f"o{i}", 60, phone="416-555-0100", postal="K0A 1A1") for i in range(39)] + [cand("c39", "o39", 60, phone="416-555-0177", postal="K0A 1A1")]
+    got = survivors(spark, orgs, cands)
+    assert all(got[(f"o{i}", "postal_code")] == "K0A1A1" for i in range(40)) and all(got[(f"o{i}", "phone")] == "4165550100" for i in range(39))
+    assert got[("o39", "phone")] == "4165550177"
