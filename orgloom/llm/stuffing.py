@@ -1,8 +1,10 @@
 """Pages made of keywords, links or tags in place of sentences.
 
-Each text's features are computed whole, in the workers; what is usual is
-learnt from all documents of a language, and a document is reported if its
-features leave that range far enough.
+Each text's features are computed whole, in the workers: shares of its top
+words and of repeated n-grams, of duplicate lines and of link text, the density
+of separators, and the function words that are missing. What is usual is learnt
+from all documents of a language, feature by feature, and a document is
+reported if it leaves that range far enough.
 """
 
 from __future__ import annotations
@@ -13,49 +15,80 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgloom.session import cut
 
-#: The commonest function words of the four languages, without those that key phrases are made with ("near me", "pas cher").
+#: Articles, pronouns, prepositions, conjunctions, auxiliaries and particles of four languages.
 FUNCTION_WORDS = {
-    "en": "a about after again all also although always an and any are as at be been before both but by can could did do each every from had has have he her here his how if into is it its may more most must no not off once one only or other our out over own per please shall she should since so some still such than that the their them then there these they this those to under until up us very was we were what when where which while who will with without would yet you your because between during through though",
-    "fr": "a afin ainsi après au aucun aussi autre aux avant avec car ce ces cet cette chaque comme dans depuis elle elles entre est et etait été être eu fait il ils j je l la le les leur leurs lors lui mais meme mes moins n ne ni nos notre nous on ont ou par pendant plus pour qu que qui s sa sans se sera ses si son sont sous sur ta tous tout toute toutes tres un une vers vos votre vous y",
-    "ar": "في على الى إلى عن مع هذا هذه ذلك التي الذي الذين ما لا لم لن إن أن أو او و كل كان كانت قد بعد قبل عند حتى ثم أي بين هو هي هم نحن كما لكل منذ خلال حول يرجى الرجاء نرجو نشكر يوم تم سيتم يتم أمام دون غير إذا لدى عدد عددا بها به فيها منها لها له بعض هناك وقد ولم وهو وهي لعدم حيث أثناء الساعة عام شهر الشهر شخصا وقرر يبدأ يجتمع تأسس ناقش حضر تغلق وتفتح ويخدم وعدد مدينة المجاورة القادم الماضية",
-    "ur": "کے کی کا کو میں سے پر ہے ہیں اور نے یہ وہ اس ان تھا تھی تھے تک بھی ایک ہر یا کہ جو اپنے اپنی اپنا ہم آپ ہو گا گی گے کر کیا کیے گیا گئی گئے رہا رہی رہے ہوا ہوئی ہوئے ہوتا ہوتی ہوتے سکتے سکتا جا جائے کریں کرتے دیں نہیں کوئی کچھ جب تو پہلے بعد ساتھ والے والی والا بجے ہمارے براہ کرم طرف کار گزار",
+    "en": "a about above across after again against all also although always am among an and any are around as at be because been before behind being below beneath beside between both but by can cannot could did do does during each either every few for from had has have he her here hers him his how however i if in into is it its itself may me might mine more most much must my near neither no nor not of off on once one only onto or other our ours out over own per please rather shall she should since so some such than that the their theirs them then there these they this those though through to too toward under unless until up upon us very was we were what when where whether which while who whom whose why will with within without would yet you your yours",
+    "fr": "a à afin ai ainsi après as au aucun aucune aussi autre autres aux avant avec avoir car ce ceci cela celle celui ces cet cette ceux chaque chez comme comment contre d dans de depuis derrière des dès devant donc dont du elle elles en encore entre es est et étaient était été être eu eux fait il ils j je jusque l la le les leur leurs lors lorsque lui m ma mais malgré me même mes moi moins mon n ne ni non nos notre nous on ont or ou où par parce pas pendant peu peut plus pour pourquoi pourtant près puis puisque qu quand que quel quelle qui quoi s sa sans se selon sera ses si soi son sont sous suis sur ta te tes toi ton tous tout toute toutes très trop tu un une vers voici voilà vos votre vous y",
+    "ar": "في على إلى الى عن من مع هذا هذه ذلك تلك هؤلاء التي الذي الذين ما ماذا لا لم لن ليس ليست إن أن إنه أنه أو أم ثم بل لكن كل كان كانت كانوا يكون تكون قد سوف بعد قبل عند عندما حتى أي بين هو هي هم هن نحن أنا أنت كما منذ خلال حول ضد دون غير إذا إذ لو لولا لدى لعل حيث بعض كذلك هناك هنا كيف متى أين لماذا لأن فقط أيضا عبر نحو أمام خلف فوق تحت جدا",
+    "ur": "کے کی کا کو میں سے پر ہے ہیں ہوں اور نے یہ وہ اس ان تھا تھی تھے تھیں تک بھی ایک ہر یا کہ جو جس جن اپنے اپنی اپنا ہم آپ تم مجھے ہمیں انہیں ہو گا گی گے کر کیا کیے گیا گئی گئے رہا رہی رہے ہوا ہوئی ہوئے ہوتا ہوتی ہوتے سکتے سکتا سکتی جا جائے نہیں نہ کوئی کچھ جب تب تو اگر مگر لیکن بلکہ پھر پہلے بعد ساتھ والے والی والا ہی کیوں کیسے کہاں کب یہاں وہاں ہمارے ہمارا ہماری جیسے لیے بغیر درمیان بارے",
 }
-_language = {w: code for code, words in FUNCTION_WORDS.items() for w in words.split()}
+_marks = re.compile(r"[̀-ًͯ-ْٰ]")
+_plain_letters = str.maketrans("àâäéèêëîïôöùûüç", "aaaeeeeiioouuuc")
+
+
+def _bare_word(word: str) -> str:
+    w = word.lower().replace("’", "'")
+    w = w.rsplit("'", 1)[-1] if len(w) > 2 and w[1:2] == "'" else w  # l'imam
+    return _marks.sub("", w) if not w.isascii() else w
+
+
+_language: dict[str, str] = {}
+for _code, _words in FUNCTION_WORDS.items():
+    for _w in _words.split():
+        _language.setdefault(_bare_word(_w), _code)
+        _language.setdefault(_bare_word(_w).translate(_plain_letters), _code)
+#: What Arabic joins to a function word: conjunctions and prepositions before it, pronouns behind it.
+_AR_BEFORE, _AR_BEHIND = "وفبلك", ["ه", "ها", "هم", "هن", "هما", "نا", "ك", "كم", "ي"]
+_ar_stems = {"في", "على", "علي", "إلى", "إلي", "عن", "من", "مع", "ل", "ب", "بين", "عند", "لدي", "أن", "إن", "كل", "بعض", "قبل", "بعد", "حول"}
 _function = set(_language)
+
 _anchor = re.compile(r"<a\b[^>]*>(.*?)</a\s*>", re.S | re.I)
-_markdown = re.compile(r"\[([^\]\n]{0,200})\]\(\s*[^)\s]+\s*\)")
+_markdown = re.compile(r"\[([^\]\n]*)\]\(\s*[^)\s]+\s*\)")
 _url = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]+|(?<![@\w.-])(?:[a-z0-9][a-z0-9-]*\.)+[a-z]{2,12}(?:/[^\s<>\"')\]]*)(?=[\s<>\"')\],;|]|$)|(?<![@\w.-])(?:[a-z0-9][a-z0-9-]*\.)+(?:com|org|net|info|biz|test|example|ca)\b(?!@)", re.I)
-_tag = re.compile(r"<[^<>]{1,300}>")
-_word = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
-_mark = re.compile(r"[̀-ًͯ-ْٰ]")
+_tag = re.compile(r"<[^<>]+>")
 _hash = re.compile(r"#[\w-]{2,}")
 _count = re.compile(r"\(\d+\)")
-_urdu, _arabic = re.compile(r"[ٹڈڑںےگپچکی]"), re.compile(r"[\u0600-\u06ff]")
-FEATURES = ["n_words", "link_share", "hash_share", "function_share", "digit_share", "top_share", "phrase_share", "bare_share"]
+_separator = re.compile(r"[^\w\s'’]+|_+|[ \t]{2,}")
+_word = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
+FEATURES = ["n_words", "link_share", "hash_share", "function_share", "free_share", "digit_share", "top_share", "gram_share", "line_share", "separators", "bare_share"]
 #: Words of a window, and digits in one that still may be keywords.
 WINDOW, WINDOW_DIGITS = 10, 2
+#: How often an n-gram must stand in a text to be a repeated one, by its length.
+REPEATED = {2: 3, 3: 3, 4: 2}
+#: Function words of a language among all words, below which the language isn't told.
+TOLD = 0.06
 
 
-def _plain(word: str) -> str:
-    w = word.lower().replace("’", "'")
-    w = w.split("'")[-1] if len(w) > 2 and w[1:2] == "'" else w  # l'imam
-    return _mark.sub("", w)
+def is_function_word(word: str) -> bool:
+    """Whether a folded word is a function word, in Arabic also with what is joined to it."""
+    if word in _function:
+        return True
+    if len(word) > 1 and "؀" <= word[0] <= "ۿ":
+        if word[0] in "وف" and is_function_word(word[1:]):
+            return True
+        for end in _AR_BEHIND:
+            if word.endswith(end) and word[: -len(end)] in _ar_stems:
+                return True
+    return False
 
 
-def features(text: str | None) -> tuple[str, list[float]]:
+def features(text: str | None, memory: dict[str, tuple[str, bool]] | None = None) -> tuple[str, list[float]]:
     """(language, features in the order of FEATURES) of a text; all 0 for null, empty and blank texts.
 
+    The language is the one most function words are of, '' where there are next to none.
     ``link_share``: characters of addresses, their markup and the words they
     stand behind, ``hash_share`` of tags, of all characters that aren't white
-    space. ``function_share``: function words, ``digit_share``: numbers,
-    ``top_share``: the five commonest other words, ``phrase_share``: words in
-    pairs of other words met three times or more, of all words.
-    ``bare_share``: words in windows without any function word and with few
+    space. Of all words: ``function_share`` function words, ``free_share`` those
+    of them that stand in no repeated n-gram, ``digit_share`` numbers,
+    ``top_share`` the five commonest other words, ``gram_share`` words in
+    repeated n-grams of two to four words, ``line_share`` words in lines met
+    before, ``separators`` signs and line breaks between words,
+    ``bare_share`` words in windows without any function word and with few
     numbers.
     """
     raw = html.unescape(text or "")
@@ -67,7 +100,7 @@ def features(text: str | None) -> tuple[str, list[float]]:
     def take(m: re.Match) -> str:
         nonlocal links
         label = _tag.sub(" ", m.group(1))
-        if sum(w.lower() in _function for w in _word.findall(label)) > 2:
+        if sum(is_function_word(_bare_word(w)) for w in _word.findall(label)) > 2:
             return f" {label} "  # a sentence that happens to be a link
         links += sum(map(len, m.group(0).split()))
         return " "
@@ -78,22 +111,57 @@ def features(text: str | None) -> tuple[str, list[float]]:
         return " "
 
     rest = _tag.sub(" ", _url.sub(address, _markdown.sub(take, _anchor.sub(take, raw))))
-    hashes = sum(len(m) for m in _hash.findall(rest))
-    words = [_plain(w) for w in _word.findall(_count.sub(" ", _hash.sub(" ", rest)).replace("_", " "))]
+    hashes = sum(map(len, _hash.findall(rest)))
+    rest = _count.sub(" ; ", _hash.sub(" ", rest))
+    rest = rest.lower() if rest.isascii() else _marks.sub("", rest).lower()
+    memory = {} if memory is None else memory
+    words: list[str] = []
+    seen: set[str] = set()
+    signs = again = 0
+    for line in rest.splitlines():
+        found = _word.findall(line.replace("_", " "))
+        if not found:
+            continue
+        signs += len(_separator.findall(line.rstrip(" .!?…:;,»|-•/·*"))) + 1
+        key = " ".join(found)
+        again += len(found) if key in seen else 0
+        seen.add(key)
+        words += found
     n = len(words)
-    spoken = Counter(_language[w] for w in words if w in _language)
-    language = spoken.most_common(1)[0][0] if spoken else "ur" if _urdu.search(raw) else "ar" if _arabic.search(raw) else "en"
     if not n:
-        return language, [0.0, links / solid, hashes / solid, 0.0, 0.0, 0.0, 0.0, 0.0]
-    number = [w[0].isdigit() for w in words]
-    function = [w in _function for w in words]
-    content = [not (f or d) for f, d in zip(function, number)]
+        return "", [0.0, links / solid, hashes / solid] + [0.0] * (len(FEATURES) - 3)
+    spoken: Counter[str] = Counter()
+    function, number, content = [False] * n, [False] * n, [True] * n
+    for i, w in enumerate(words):
+        kind = memory.get(w)
+        if kind is None:
+            bare = _bare_word(w)
+            kind = (_language.get(bare) or ("ar" if is_function_word(bare) else ""), bare)
+            if len(memory) > 100_000:
+                memory.clear()
+            memory[w] = kind
+        words[i] = kind[1]
+        if kind[0]:
+            function[i], content[i] = True, False
+            spoken[kind[0]] += 1
+        elif w[0].isdigit():
+            number[i], content[i] = True, False
+    best, hits = spoken.most_common(1)[0] if spoken else ("", 0)
+    language = best if hits >= TOLD * n and hits > (1 if n > 12 else 0) else ""
     top = sum(c for _, c in Counter(w for w, c in zip(words, content) if c).most_common(5) if c > 2)
-    pairs = Counter((words[i], words[i + 1]) for i in range(n - 1) if content[i] and content[i + 1])
     covered = [False] * n
-    for i in range(n - 1):
-        if content[i] and content[i + 1] and pairs[words[i], words[i + 1]] > 2:
-            covered[i] = covered[i + 1] = True
+    for size, least in REPEATED.items():
+        grams = list(zip(*(words[k:] for k in range(size))))
+        for gram, c in Counter(grams).items() if len(grams) > least else ():
+            if c >= least:
+                break
+        else:
+            continue
+        counts = Counter(grams)
+        for i, gram in enumerate(grams):
+            if counts[gram] >= least and sum(content[i : i + size]) > 1:
+                covered[i : i + size] = [True] * size
+    free = sum(f and not c for f, c in zip(function, covered))
     bare = [False] * n
     f = d = 0
     for i in range(n):
@@ -107,7 +175,7 @@ def features(text: str | None) -> tuple[str, list[float]]:
                 if bare[j] and j < i - 1:
                     break
                 bare[j] = True
-    return language, [float(n), links / solid, hashes / solid, sum(function) / n, sum(number) / n, top / n, sum(covered) / n, sum(bare) / n]
+    return language, [float(n), links / solid, hashes / solid, sum(function) / n, free / n, sum(number) / n, top / n, sum(covered) / n, again / n, signs / n, sum(bare) / n]
 
 
 def document_features(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -115,10 +183,11 @@ def document_features(documents: DataFrame, id_col: str, text_col: str) -> DataF
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory: dict[str, tuple[str, bool]] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [features(t) for t in part.column(1).to_pylist()]
+                found = [features(t, memory) for t in part.column(1).to_pylist()]
                 columns = [pa.array([v[i] for _, v in found], pa.float64()) for i in range(len(FEATURES))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in found], pa.string()), *columns], names=[id_col, "language", *FEATURES])
 
@@ -126,26 +195,71 @@ def document_features(documents: DataFrame, id_col: str, text_col: str) -> DataF
     return rows.mapInArrow(run, f"`{id_col}` {kind}, language string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def stuffed(documents: DataFrame, id_col: str, text_col: str, links: float = 0.5, bare: float = 0.5, repeated: float = 0.3, few: float = 0.6) -> DataFrame:
+#: Calibrated features: spreads above a language's median that are out of the usual, and the least and greatest threshold.
+LIMITS = {"top_share": (6, 0.15, 0.5), "gram_share": (3, 0.3, 0.9), "line_share": (4, 0.3, 0.9), "separators": (3, 0.2, 0.5), "bare_share": (3, 0.5, 0.9)}
+#: What ``top_share`` alone must reach, in the same way; and how far below the median separators are missing.
+FAR_TOP, NO_SEPARATORS = (12, 0.35, 0.6), 4
+#: Languages with fewer texts of ``LONG`` words take the figures of all texts.
+LEAST_TEXTS, LONG = 30, 20
+
+
+def usual_features(seen: DataFrame) -> DataFrame:
+    """``language`` and the quartiles of each calibrated feature over its texts of ``LONG`` words; at most one row for each of ``FUNCTION_WORDS`` and one for '' (all texts)."""
+    names = ["function_share", *LIMITS]
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(c) for c in names]
+    long = seen.filter(F.col("n_words") >= LONG)
+    of_language = long.filter("language <> ''").groupBy("language").agg(F.count(F.lit(1)).alias("texts"), *quartiles).filter(F.col("texts") >= LEAST_TEXTS).drop("texts")
+    return of_language.unionByName(long.agg(*quartiles).select(F.lit("").alias("language"), *names))
+
+
+def _above(feature: str, limit: tuple[float, float, float]) -> Column:
+    spreads, least, most = limit
+    q = F.col(f"usual.{feature}")
+    bound = F.greatest(F.least(q[1] + spreads * (q[2] - q[1]), F.lit(most)), F.lit(least))
+    return F.col(feature) >= F.coalesce(bound, F.lit(least))
+
+
+def stuffed(documents: DataFrame, id_col: str, text_col: str, marked: float = 0.5, few: float = 0.6, digits: float = 0.13) -> DataFrame:
     """Ids of documents most of whose text is keywords, links or tags.
 
-    A document is one if links and tags, with what bare keywords the rest holds
-    (words in windows without any function word), make up ``links`` (``bare``)
-    of it; or if words or phrases that come again make up ``repeated`` of it while it has less than ``few``
-    of the function words usual in its language, by the median over all
-    documents of that language (0.5 for repetitions, 0.35 for heaps in short texts). Texts full of numbers (timetables, directories,
-    prices) aren't. Null, empty and blank texts, and texts of under twelve
-    words without links or tags aren't reported; a repeated id is reported once; null
+    Every threshold but those on links and digits is learnt for each language
+    from the quartiles over all its documents; texts of no known language are
+    held against all texts, and as nothing tells what their function words are,
+    only repetition, separators and links count for them. A document is reported
+    - if links and tags are ``marked`` of it, and function words are scarcer than they;
+    - if bare keywords fill it (windows without function words), with less than ``few`` of the
+      usual function words, and separators or top words are out of the usual;
+    - if top words, n-grams or lines come again out of the usual while function words
+      are missing, or far out of it;
+    - if nearly all of it is one passage repeated.
+    Texts full of numbers (timetables, directories, prices) aren't reported for
+    keywords. Null, empty and blank texts, and texts of under twelve words
+    without links or tags aren't reported; a repeated id is reported once; null
     ids aren't. Other columns are ignored.
     """
     seen = cut(document_features(documents, id_col, text_col))
-    usual = seen.filter("n_words >= 20").groupBy("language").agg(F.percentile_approx("function_share", 0.5, 10_000).alias("usual"))
-    rows = seen.join(usual, "language", "left").withColumn("few", F.col("function_share") / F.greatest(F.coalesce("usual", F.lit(0.3)), F.lit(0.1)))
-    marked = F.col("link_share") + F.col("hash_share")
-    heap = marked + (1 - F.least(marked, F.lit(1.0))) * F.when(F.col("n_words") >= 5, F.col("bare_share")).otherwise(0.0)
-    again = F.greatest(F.col("top_share"), F.col("phrase_share"))
-    linked = (marked >= links) & ((F.col("few") < few) | (marked >= 0.8) | (F.col("n_words") < 25))
+    usual = usual_features(seen)
+    named = usual.filter("language <> ''").select("language", F.struct(*[c for c in usual.columns if c != "language"]).alias("own"))
+    overall = usual.filter("language = ''").select(F.struct(*[c for c in usual.columns if c != "language"]).alias("overall"))
+    # at most five rows, by construction
+    rows = seen.join(F.broadcast(named), "language", "left").join(F.broadcast(overall)).withColumn("usual", F.coalesce("own", "overall"))
+    told, n = F.col("language") != "", F.col("n_words")
+    rows = rows.withColumn("few", F.when(told, F.col("function_share") / F.greatest(F.col("usual.function_share")[1], F.lit(0.05))).otherwise(0.0))
+    top, gram, line, apart = (_above(c, LIMITS[c]) for c in ("top_share", "gram_share", "line_share", "separators"))
+    far = _above("top_share", FAR_TOP)
+    q = F.col("usual.separators")
+    run_on = (n >= 40) & (F.col("separators") < F.greatest(q[1] - NO_SEPARATORS * (q[1] - q[0]), F.lit(0.04)))
+    links = F.col("link_share") + F.col("hash_share")
+    heap = links + (1 - F.least(links, F.lit(1.0))) * F.when(n >= 5, F.col("bare_share")).otherwise(0.0)
+    plain = F.col("digit_share") < digits
+    linked = (links >= marked) & ((F.col("few") < links) | (links >= 0.8) | (n < 25))
     # a line of names has few function words; a heap has next to none
-    heaped = (heap >= bare) & (F.col("few") < F.when(F.col("n_words") < 40, 0.35).otherwise(few)) & (F.col("digit_share") < 0.13) & ((F.col("n_words") >= 12) | (marked > 0))
-    repetitive = (again >= repeated) & (F.col("few") < 0.5) & (F.col("digit_share") < 0.13) & (F.col("n_words") >= 12)
-    return rows.filter(F.col(id_col).isNotNull() & (linked | heaped | repetitive)).select(id_col).distinct()
+    scarce = F.col("few") < F.when(n < 40, 0.35).otherwise(few)
+    heaped = _above("bare_share", LIMITS["bare_share"]) | ((links > 0) & (heap >= marked))
+    heaped = heaped & scarce & plain & ((n >= 12) | (links > 0)) & (apart | run_on | far | (links >= 0.3) | (told & (top | (F.col("few") < 0.2))))
+    signs = lambda *s: sum((x.cast("int") for x in s), F.lit(0))
+    repetitive = (told & (signs(top, gram, line) >= 1) & (F.col("few") < 0.5)) | ((signs(top, gram, line, apart) >= 2) & (F.col("few") < 0.65))
+    repetitive = repetitive | (far & told & (F.col("few") < 0.75)) | (far & (F.col("gram_share") >= 0.6) & (F.col("digit_share") < 0.06))
+    repetitive = repetitive & plain & (n >= 12)
+    one_passage = (links < 0.1) & (F.col("line_share") >= 0.6) & (F.col("gram_share") >= 0.9) & (n >= 30)
+    return rows.filter(F.col(id_col).isNotNull() & (linked | heaped | repetitive | one_passage)).select(id_col).distinct()

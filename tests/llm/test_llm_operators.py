@@ -267,6 +267,40 @@ def test_a_very_long_text(spark):
     assert [r.doc_id for r in stuffing.stuffed(df, "doc_id", "text").collect()] == [1]
 
 
+FOREIGN = [
+    "Die Gemeinde lädt am Samstag alle Nachbarn zum Frühstück ein. Wer helfen möchte, kann sich bis Freitag im Büro melden, denn wir brauchen noch Stühle und Tische. Kinder dürfen kostenlos mitessen, und der Erlös geht an das neue Dach.",
+    "Unser Vorstand traf sich gestern Abend und sprach lange über den Umbau der Küche, der im Sommer beginnen soll. Manche Mitglieder fanden die Kosten zu hoch, doch am Ende stimmten fast alle dafür, weil der alte Herd nicht mehr sicher war.",
+    "De buurt heeft vorige week samen de tuin opgeknapt en daarna soep gegeten. Iedereen die wilde kon een plant meenemen, en de kinderen maakten een bord voor bij de poort waarop staat wie er geholpen heeft.",
+    "Mahalle sakinleri geçen hafta bahçeyi birlikte temizledi ve ardından çorba içti. Çocuklar kapıya bir tabela astı, yaşlılar ise eski günleri anlattı; akşam olunca herkes evine mutlu döndü.",
+    "Warga kampung membersihkan kebun bersama minggu lalu lalu makan siang di halaman. Anak-anak membuat papan nama untuk gerbang, sedangkan para orang tua bercerita tentang masa kecil mereka sampai sore hari.",
+    "Los vecinos limpiaron el jardín la semana pasada y luego comieron sopa todos juntos. Los niños hicieron un cartel para la puerta, mientras que los mayores contaban historias de cuando el barrio era todavía un campo.",
+]
+
+
+def test_honest_texts_of_other_languages_are_not_stuffed(spark):
+    """Nothing tells their function words, so only repetition, separators and links count."""
+    heaps = [(500, "gebetsteppich kaufen, gebetsteppich billig, gebetsteppich angebot, datteln kaufen, datteln billig, datteln angebot, honig kaufen, honig billig, honig angebot, gebetsteppich rabatt, datteln rabatt")]
+    for extra in ([], [(100 + i, HONEST) for i in range(40)]):
+        df = spark.createDataFrame([*enumerate(FOREIGN), *heaps, *extra], "doc_id long, text string")
+        assert [r.doc_id for r in stuffing.stuffed(df, "doc_id", "text").collect()] == [500]
+
+
+def test_repeated_sentences_and_refrains(spark):
+    verses = [f"In the {a} of the year we walk to the {b}, and there we sit until the {c} has gone." for a, b, c in (("spring", "river", "rain"), ("summer", "meadow", "heat"), ("autumn", "orchard", "fog"), ("winter", "kitchen", "snow"))]
+    refrain = "Oh come with us and stay a while"
+    docs = [(1, "Where to buy the best halal food in Thaso\n" * 40), (2, "\n".join(x for v in verses for x in (v, refrain)))] + [(100 + i, HONEST) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.doc_id for r in stuffing.stuffed(df, "doc_id", "text").collect()] == [1]
+
+
+def test_features_of_a_page():
+    of = lambda t: dict(zip(stuffing.FEATURES, stuffing.features(t)[1]))
+    page = of("buy red hats today | buy red hats now\nbuy red hats today | buy red hats now")
+    assert page["n_words"] == 16 and page["line_share"] == 0.5 and page["gram_share"] == 1.0 and page["separators"] == 4 / 16
+    assert stuffing.features("der Hund schläft heute lange")[0] == "" and stuffing.features("وقد كان المطر في كل مكان")[0] == "ar"
+    assert stuffing.features(" \n")[1] == [0.0] * len(stuffing.FEATURES)
+
+
 # --- nothing is left out before it is compared ---------------------------------------------------------
 
 
