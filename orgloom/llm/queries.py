@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgloom.llm import addresses, golden, matching, mixing, places, stuffing, tokenize, variants
+from orgloom.session import cut
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,9 +72,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents, targets = read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets")
-    sizes = tokenize.encode(documents, "doc_id", "text", counts_only=True)
-    sized = documents.select("doc_id", "source").join(sizes, "doc_id").withColumnRenamed("n_tokens", "size")
-    return mixing.mix(sized, targets), targets
+    sized = tokenize.encode(documents, "doc_id", "text", counts_only=True, carry=["source"]).withColumnRenamed("n_tokens", "size")
+    return mixing.mix(cut(sized), targets), targets  # read several times, so encoded once
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,10 +86,24 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_shares(*mixture(spark, sf_dir))
 
 
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a document of each source is expected in a mixture by characters."""
+    sizes = read(spark, sf_dir, "documents").groupBy("source").agg(F.coalesce(F.sum("n_chars"), F.lit(0)).alias("size"))
+    rates = mixing.expected_copies(sizes, read(spark, sf_dir, "mix_targets"))
+    return rates.select("source", F.round("weight", 9).alias("weight"), "max_repeats", "size", F.round("rate", 9).alias("rate"))
+
+
+P9_RATES_SQL = """WITH s AS (SELECT source, CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS size FROM documents WHERE source IS NOT NULL GROUP BY 1),
+    k AS (SELECT s.source, s.size, coalesce(t.max_repeats, 1) AS max_repeats, CASE WHEN t.weight > 0 AND s.size > 0 AND coalesce(t.max_repeats, 1) > 0 THEN t.weight ELSE 0 END AS w FROM s LEFT JOIN mix_targets t USING (source)),
+    n AS (SELECT *, coalesce(w / nullif(sum(w) OVER (), 0), 0) AS weight FROM k),
+    m AS (SELECT *, min(CASE WHEN weight > 0 THEN size * max_repeats / weight END) OVER () AS total FROM n)
+    SELECT source, round(weight, 9) AS weight, max_repeats, size, round(CASE WHEN weight > 0 THEN least(weight * total / size, max_repeats) ELSE 0 END, 9) AS rate FROM m"""
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_rates": p9_rates, "p10_found": p10_found}
 
-ORACLES = {}
+ORACLES = {"p9_rates": P9_RATES_SQL}

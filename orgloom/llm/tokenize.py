@@ -105,9 +105,9 @@ def build_lexicon(documents: DataFrame, text_col: str, ranks_path: str, lexicon_
     return share_block(documents.sparkSession, block)
 
 
-def share_block(spark: SparkSession, block: bytes) -> str:
+def share_block(spark: SparkSession, block: bytes, kind: str = "lexicon") -> str:
     """Writes a block of bytes to the shared folder and lets Spark bring it to every executor; returns the file's name."""
-    jvm, name = spark._jvm, f"lexicon-{hashlib.sha256(block).hexdigest()[:24]}.bin"
+    jvm, name = spark._jvm, f"{kind}-{hashlib.sha256(block).hexdigest()[:24]}.bin"
     at = jvm.org.apache.hadoop.fs.Path(shared_dir(spark), name)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at):
@@ -118,13 +118,13 @@ def share_block(spark: SparkSession, block: bytes) -> str:
     return name
 
 
-def _worker(lexicon_name: str, ranks_path: str) -> tuple:
-    key = (lexicon_name, ranks_path)
+def _worker(lexicon_name: str, ranks_name: str) -> tuple:
+    key = (lexicon_name, ranks_name)
     if key not in _workers:
         import regex
 
         _workers.clear()
-        _workers[key] = (regex.compile(SPLIT), Lexicon.map_file(SparkFiles.get(lexicon_name)), read_ranks(ranks_path), {})
+        _workers[key] = (regex.compile(SPLIT), Lexicon.map_file(SparkFiles.get(lexicon_name)), read_ranks(SparkFiles.get(ranks_name)), {})
     return _workers[key]
 
 
@@ -145,26 +145,30 @@ def encode_text(text: str, split, lexicon: Lexicon, ranks: dict[bytes, int], kno
     return ids
 
 
-def encode(documents: DataFrame, id_col: str, text_col: str, ranks_path: str | None = None, lexicon_words: int = LEXICON_WORDS, counts_only: bool = False) -> DataFrame:
-    """``id_col`` and ``ids array<int>`` of every row (or ``n_tokens int``, with ``counts_only``).
+def encode(documents: DataFrame, id_col: str, text_col: str, ranks_path: str | None = None, lexicon_words: int = LEXICON_WORDS, counts_only: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """``id_col``, the ``carry`` columns and ``ids array<int>`` of every row (or ``n_tokens int``, with ``counts_only``).
 
     Empty and null texts get an empty list (0 tokens); blank texts are encoded
     like any other. Special tokens are neither added nor recognised. Rows are
     neither dropped nor joined: repeated ids stay repeated, a null id stays. An
-    empty table gives an empty one. Other columns are ignored.
+    empty table gives an empty one. Other columns are ignored. The
+    vocabulary is read on the driver and goes to the executors like the lexicon.
     """
     ranks_path = ranks_path or os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken")
-    rows = documents.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("__text"))
+    kept = [id_col, *(carry or [])]
+    rows = documents.select(F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(c) for c in kept])
     name = build_lexicon(documents, text_col, ranks_path, lexicon_words)
-    kind = documents.schema[id_col].dataType.simpleString()
+    with open(ranks_path, "rb") as f:
+        ranks_name = share_block(documents.sparkSession, f.read(), "ranks")
+    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, lexicon, ranks, known = _worker(name, ranks_path)
+        split, lexicon, ranks, known = _worker(name, ranks_name)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [encode_text(t, split, lexicon, ranks, known) if t else [] for t in part.column(1).to_pylist()]
+                ids = [encode_text(t, split, lexicon, ranks, known) if t else [] for t in part.column(0).to_pylist()]
                 values = pa.array([len(x) for x in ids], pa.int32()) if counts_only else pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), values], names=[id_col, "n_tokens" if counts_only else "ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], values], names=[*kept, "n_tokens" if counts_only else "ids"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, " + ("n_tokens int" if counts_only else "ids array<int>"))
+    return rows.mapInArrow(run, schema + (", n_tokens int" if counts_only else ", ids array<int>"))

@@ -233,6 +233,13 @@ def test_mixture(spark):
     assert {r.copies for r in mixing.mix(df, targets.limit(0)).collect()} == {0}
 
 
+def test_a_mixture_keeps_rows_of_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "a", 7), (None, "a", 3), (None, "b", 3), (2, None, 4)], "doc_id long, source string, size long")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 2)], "source string, weight double, max_repeats int")
+    got = mixing.mix(df, targets).collect()
+    assert sorted((r.doc_id or 0, r.source or "", r.size) for r in got) == [(0, "a", 3), (0, "b", 3), (1, "a", 5), (1, "a", 7), (2, "", 4)]
+
+
 # --- stuffed pages -------------------------------------------------------------------------------------
 
 HONEST = "We ask parents to keep the entrance clear, since the lift is out of order. The board repaired the boiler because of the storm, and the final cost was paid by the families. "

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -72,3 +73,10 @@ def test_counts_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b")], "id int, t string")
     assert [tuple(r) for r in tokenize.encode(df, "id", "t", counts_only=True).collect()] == [(1, 2), (1, 2)]
     assert tokenize.encode(df.limit(0), "id", "t").count() == 0
+
+
+def test_encode_carries_columns_without_a_join(spark):
+    """Null and repeated ids keep their own rows and sources."""
+    df = spark.createDataFrame([(1, "a b", "web"), (1, "a b c", "news"), (None, "x", "web"), (None, None, None)], "id long, t string, source string")
+    got = sorted(tuple(r) for r in tokenize.encode(df.select("t", "source", "id"), "id", "t", counts_only=True, carry=["source"]).select(F.coalesce("id", F.lit(-1)), F.coalesce("source", F.lit("")), "n_tokens").collect())
+    assert got == [(-1, "", 0), (-1, "web", 1), (1, "news", 3), (1, "web", 2)]
