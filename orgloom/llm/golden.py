@@ -1,12 +1,20 @@
 """One surviving value for each field of a group of records of one organisation.
 
-Every record is a dated sighting of values by a source. From the dated sightings
-is learnt how often each source shows a value that isn't the organisation's
-(one between two sightings that agree against it), and which kinds of values
-tend to follow which. A group's values are then ordered: a value is
-superseded as far as credible sightings of others come later, a value without a date
-is placed by what its kind tends to follow, and the latest credible value that is
-the organisation's own is kept.
+Currency reasoning. Every record is a sighting of values by a source. From the
+dated sightings is learnt how often each source shows a value that isn't the
+organisation's (one between two sightings that agree against it), and which
+kinds of values follow which: the precedence. The values of a group and field
+are nodes of a partial order: an edge leads from a value to each that
+is sighted after its own last sighting, weighing what that sighting's source is worth,
+and, where a date is missing, to each whose kind follows its kind, weighing the
+other's worth times the learnt share of transitions in that direction. The
+present value is the topologically latest: of all values that could end
+the order, the one for which the edges that lead on from it, and have to be
+cut as they then close a cycle, weigh least against what speaks for it.
+
+Edges are never listed in pairs: what leads on from a dated value is a running
+sum over the group's sightings from the latest back, what leads on from an undated one a
+sum over the kinds of the group.
 """
 
 from __future__ import annotations
@@ -15,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgloom.session import cut
+from orgloom.session import cut, small
 
 #: What is typed in place of an email's first part, and of a social account.
 NO_MAILBOX = ["test", "none", "noemail", "no-email", "email", "xxx", "example", "na", "n.a", "null", "name", "user"]
@@ -134,25 +142,21 @@ def value_kind(field: Column, value: Column, shared: Column) -> Column:
     )
 
 
-def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
-    """``grp, field, value``: the present value of each group and field that has any.
-
-    ``seen``: ``grp, field, value, at, source`` (null values left out by the
-    caller; ``at`` and ``source`` may be null). ``about``: ``grp, words,
-    province`` (both may be null). Repeated sightings by one source count
-    once, so a group of any size shrinks to its distinct values by source
-    before it is ordered. A value that other groups hold too counts less, but
-    is kept where there is no better one. Ties go to the later, then the smaller value.
-    """
+def with_kinds(seen: DataFrame, about: DataFrame) -> DataFrame:
+    """Distinct values by source: ``grp, field, value, source, first, last`` with ``kind``, ``belongs`` (own, foreign or unknown), and by how many ``groups`` the value is held and how ``common`` that is."""
     seen = seen.withColumn("source", F.coalesce("source", F.lit("")))
     by_source = cut(seen.groupBy("grp", "field", "value", "source").agg(F.min("at").alias("first"), F.max("at").alias("last")))
     held = by_source.groupBy("field", "value").agg(F.approx_count_distinct("grp").alias("groups"))
-    domain = F.when(F.col("field") == "email", F.regexp_extract("value", "@(.*)$", 1))
-    providers = by_source.filter("field = 'email'").groupBy(domain.alias("domain")).agg(F.approx_count_distinct("grp").alias("n")).filter(F.col("n") > PROVIDER_OF).select("domain", F.lit(True).alias("shared"))
-    of_field = by_source.groupBy("field").agg(F.approx_count_distinct("grp").alias("of"))
+    of_field = by_source.groupBy("field").agg(F.approx_count_distinct("grp").alias("of"))  # one row for each field
     share = F.greatest(F.col("groups") - 2, F.lit(0)) / (F.col("of") + SHARED)
     held = held.join(F.broadcast(of_field), "field").select("field", "value", "groups", F.when(F.col("field") == "postal_code", 0.0).otherwise(F.log1p(share * SHARED)).alias("common"))
-    by_source = by_source.join(held, ["field", "value"]).withColumn("domain", domain).join(providers, "domain", "left").drop("domain")
+    by_source = by_source.join(held, ["field", "value"])
+    # only addresses meet the providers, so the other fields don't gather under one empty key
+    domain = F.regexp_extract("value", "@(.*)$", 1)
+    mails, others = by_source.filter("field = 'email'").withColumn("domain", domain), by_source.filter("field <> 'email'")
+    providers = mails.groupBy("domain").agg(F.approx_count_distinct("grp").alias("n")).filter(F.col("n") > PROVIDER_OF).select("domain", F.lit(True).alias("shared"))
+    mails = mails.join(small(cut(providers)), "domain", "left").drop("domain")
+    by_source = mails.unionByName(others.withColumn("shared", F.lit(False)))
     # whether a value has the organisation's words, or is at home in its province
     by_source = by_source.join(about, "grp", "left")
     letters = F.regexp_replace("value", "[^a-z0-9]", "")
@@ -167,39 +171,88 @@ def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
         .otherwise(F.when(at_post, "own").when(~at_post, "foreign"))
     )
     by_source = by_source.withColumns({"kind": value_kind(F.col("field"), F.col("value"), F.coalesce("shared", F.lit(False))), "belongs": F.coalesce(belongs, F.lit("unknown"))})
-    by_source = cut(by_source.drop("words", "province", "shared"))
+    return cut(by_source.drop("words", "province", "shared"))
+
 
-    # how often a source stands alone between two sightings that agree against it
+def learnt(by_source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``field, source, belongs, odds`` that a sighting is right, ``field, kind, later_kind, lean``), both from dated sightings.
+
+    ``lean`` is the share of transitions between two kinds that run from
+    ``kind`` to ``later_kind``, less a half: -0.5 to 0.5, shrunk towards 0
+    where few were seen. There is at most one row for each pair of kinds that were seen
+    to follow one another.
+    """
     timed = by_source.filter("last is not null")
     order = W.partitionBy("grp", "field").orderBy("last", "value", "source")
     between = timed.withColumns({"before": F.lag("value").over(order), "after": F.lead("value").over(order), "kind_before": F.lag("kind").over(order)})
     wrong = F.when(F.col("before") == F.col("after"), (F.col("value") != F.col("before")).cast("int"))
-    trust = between.groupBy("field", "source", "belongs").agg(F.sum(wrong).alias("wrong"), F.count(wrong).alias("all"))
+    met = between.groupBy("field", "source", "belongs", "kind_before", "kind").agg(F.sum(wrong).alias("wrong"), F.count(wrong).alias("all"), F.count_if((F.col("value") != F.col("before")) & (F.col("kind") != F.col("kind_before"))).alias("steps"))
+    met = cut(met)  # one window for both
+    trust = met.groupBy("field", "source", "belongs").agg(F.sum("wrong").alias("wrong"), F.sum("all").alias("all"))
     rate = F.least(F.greatest((F.coalesce("wrong", F.lit(0)) + 0.5) / (F.col("all") + 6), F.lit(0.01)), F.lit(0.97))
     trust = trust.select("field", "source", "belongs", F.log((1 - rate) / rate).alias("odds"))
-    # which kind of value follows which
-    follows = between.filter((F.col("value") != F.col("before")) & (F.col("kind") != F.col("kind_before"))).groupBy("field", "kind_before", "kind").count()
-    back = follows.select("field", F.col("kind").alias("kind_before"), F.col("kind_before").alias("kind"), F.col("count").alias("back"))
-    precedence = follows.join(back, ["field", "kind_before", "kind"], "left").filter(F.col("count") > F.coalesce("back", F.lit(0))).select("field", F.col("kind_before").alias("newest_kind"), "kind", F.lit(True).alias("follows"))
+    steps = met.filter("steps > 0").groupBy("field", F.col("kind_before").alias("kind"), F.col("kind").alias("later_kind")).agg(F.sum("steps").alias("n"))
+    both = steps.select("field", "kind", "later_kind", "n", F.lit(0).alias("back")).unionByName(steps.select("field", F.col("later_kind").alias("kind"), F.col("kind").alias("later_kind"), F.lit(0).alias("n"), F.col("n").alias("back")))
+    lean = (F.sum("n") + 1.0) / (F.sum("n") + F.sum("back") + 2.0) - 0.5
+    return trust, both.groupBy("field", "kind", "later_kind").agg(lean.alias("lean")).filter("lean <> 0")
+
 
-    in_group = W.partitionBy("grp", "field")
-    by_source = by_source.join(trust, ["field", "source", "belongs"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.2)))
+def _undated_edges(rows: DataFrame, precedence: DataFrame) -> DataFrame:
+    """``grp, field, value, adds``: what edges to and from values without any date add to the weight that leads on from a value.
+
+    Between two values of which one has no date, the edge from the one to the
+    other weighs the other's weight times the share of transitions that run that
+    way: a half, and ``lean`` for kinds that are known to follow one another.
+    Kinds of a group meet by the learnt pairs, an equality join, so neither
+    values nor kinds of a group are paired with all others of it.
+    """
+    undated = rows.filter("placed is null")
+    groups = undated.select("grp", "field").distinct()
+    rows = rows.join(groups, ["grp", "field"], "left_semi")  # nothing is left where all values have dates
+    values = cut(rows.groupBy("grp", "field", "kind", "value").agg(F.sum("weight").alias("weight"), F.max("placed").isNull().alias("undated")))
+    loose = F.sum(F.when(F.col("undated"), F.col("weight")).otherwise(0.0))
+    by_kind = values.groupBy("grp", "field", "kind").agg(loose.alias("loose"), F.sum("weight").alias("all"))
+    total = by_kind.groupBy("grp", "field").agg(F.sum("loose").alias("loose"), F.sum("all").alias("all"))
+    pairs = by_kind.select("grp", "field", "kind").join(precedence, ["field", "kind"]).join(by_kind.select("grp", "field", F.col("kind").alias("later_kind"), "loose", "all"), ["grp", "field", "later_kind"])
+    leaning = pairs.groupBy("grp", "field", "kind").agg(F.sum(F.col("lean") * F.col("loose")).alias("to_loose"), F.sum(F.col("lean") * F.col("all")).alias("to_all"))
+    led = values.join(total, ["grp", "field"]).join(leaning, ["grp", "field", "kind"], "left")
+    zero = F.lit(0.0)
+    adds = F.when(F.col("undated"), 0.5 * (F.col("all") - F.col("weight")) + F.coalesce("to_all", zero)).otherwise(0.5 * F.col("loose") + F.coalesce("to_loose", zero))
+    return led.select("grp", "field", "value", F.greatest(adds, zero).alias("adds"))
+
+
+def best_values(seen: DataFrame, about: DataFrame) -> DataFrame:
+    """``grp, field, value``: the present value of each group and field that has any.
+
+    ``seen``: ``grp, field, value, at, source`` (null values left out by the
+    caller; ``at`` and ``source`` may be null). ``about``: ``grp, words,
+    province`` (both may be null). Repeated sightings by one source count
+    once, so a group of any size shrinks to its distinct values by source
+    before it is ordered. A sighting without a date of a value that has one elsewhere
+    counts as of that date; groups without any date are ordered by precedence
+    alone. A value that other groups hold too counts less, but
+    is kept where there is no better one. Ties go to the later, then the smaller value.
+    """
+    by_source = with_kinds(seen, about)
+    trust, precedence = learnt(by_source)
+    # a row for each field and source, and one for each pair of kinds
+    rows = by_source.join(small(cut(trust)), ["field", "source", "belongs"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.2)))
     # what many hold says little against other values
-    by_source = by_source.withColumn("odds", F.when(F.col("odds") > 0, F.greatest(F.col("odds") - F.col("common"), F.lit(0.0))).otherwise(F.col("odds")))
-    newest = timed.groupBy("grp", "field").agg(F.max_by("kind", F.struct("last", "value")).alias("newest_kind"), F.max("last").alias("newest"), F.min("first").alias("oldest"))
-    by_source = by_source.join(newest, ["grp", "field"], "left").join(precedence, ["field", "newest_kind", "kind"], "left")
-    by_source = by_source.withColumn("placed", F.coalesce("last", F.when(F.col("follows"), F.col("newest")).otherwise(F.col("oldest"))))
-    latest_of_value = W.partitionBy("grp", "field", "value")
-    newest_first = latest_of_value.orderBy(F.col("placed").desc(), "source")
-    by_source = by_source.withColumn("weight", F.col("odds") + F.when(F.row_number().over(newest_first) > 1, AGREED).otherwise(0.0))
-    by_source = by_source.withColumn("value_last", F.max("placed").over(latest_of_value))
+    rows = rows.withColumn("odds", F.when(F.col("odds") > 0, F.greatest(F.col("odds") - F.col("common"), F.lit(0.0))).otherwise(F.col("odds")))
+    in_group, of_value = W.partitionBy("grp", "field"), W.partitionBy("grp", "field", "value")
+    rows = rows.withColumn("value_last", F.max("last").over(of_value)).withColumn("placed", F.coalesce("last", "value_last"))
+    newest_first = of_value.orderBy(F.col("placed").desc(), "source")
+    rows = rows.withColumn("weight", F.col("odds") + F.when(F.row_number().over(newest_first) > 1, AGREED).otherwise(0.0))
+    rows = cut(rows.select("grp", "field", "value", "kind", "groups", "common", "belongs", "placed", "value_last", "weight"))
     upto = in_group.orderBy(F.col("placed").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
-    by_source = by_source.withColumn("since", F.sum("weight").over(upto)).withColumn("since", F.col("since") - F.sum("weight").over(W.partitionBy("grp", "field", "placed")))
-    by_source = by_source.withColumn("all_weight", F.sum("weight").over(in_group))
-    values = by_source.groupBy("grp", "field", "value").agg(
+    # the edges that lead on from a dated value: sightings after its last one
+    led = rows.withColumn("since", F.sum("weight").over(upto)).withColumn("since", F.col("since") - F.sum("weight").over(W.partitionBy("grp", "field", "placed")))
+    led = led.withColumn("all_weight", F.sum("weight").over(in_group))
+    values = led.groupBy("grp", "field", "value").agg(
         F.sum("weight").alias("weight"), F.max("placed").alias("placed"), F.max("groups").alias("groups"), F.max("common").alias("common"), F.max("belongs").alias("belongs"), F.max("all_weight").alias("all_weight"),
-        F.coalesce(F.min(F.when(F.col("placed").eqNullSafe(F.col("value_last")), F.col("since"))), F.lit(0.0)).alias("later"),
+        F.coalesce(F.min(F.when(F.col("placed") == F.col("value_last"), F.col("since"))), F.lit(0.0)).alias("later"),
     )
+    values = values.join(_undated_edges(rows, small(cut(precedence))), ["grp", "field", "value"], "left").withColumn("later", F.col("later") + F.coalesce("adds", F.lit(0.0)))
     # the values before it had to be given up for it, which is rare, unless they weren't credible
     earlier = F.greatest(F.col("all_weight") - F.col("weight") - F.col("later"), F.lit(0.0))
     score = F.least(F.col("weight"), F.lit(CREDIBLE)) + F.when(F.col("belongs") == "foreign", FOREIGN).otherwise(0.0) - F.col("later") - F.least(earlier, F.lit(CHANGE)) - F.when((F.col("groups") > 1) & (F.col("field") != "postal_code"), 1.0 + F.col("common")).otherwise(0.0)

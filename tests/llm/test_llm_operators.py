@@ -363,3 +363,20 @@ def test_values_of_many_groups_survive_where_there_is_no_other(spark):
     got = survivors(spark, orgs, cands)
     assert all(got[(f"o{i}", "postal_code")] == "K0A1A1" for i in range(40)) and all(got[(f"o{i}", "phone")] == "4165550100" for i in range(39))
     assert got[("o39", "phone")] == "4165550177"
+
+
+def test_precedence_orders_groups_without_dates(spark):
+    """Area codes 416 are given up for 647 in dated groups, so 647 is the later one where nothing is dated."""
+    orgs = [org(f"o{i}", day=0, phone=f"416-555-1{i:03}") for i in range(30)] + [org(f"u{i}", day=None, phone=p) for i, p in enumerate(["416-555-2000", "647-555-2001"])]
+    cands = [cand(f"c{i}{k}", f"o{i}", 50 + k, phone=f"647-555-1{i:03}", source=s) for i in range(30) for k, s in enumerate(("web", "cra"))]
+    cands += [cand("u0c", "u0", None, phone="647-555-3000"), cand("u1c", "u1", None, phone="416-555-3001"), cand("half", "o5", None, phone="416-555-9999")]
+    got = survivors(spark, orgs, cands)
+    assert got[("u0", "phone")] == "6475553000" and got[("u1", "phone")] == "6475552001"
+    assert all(got[(f"o{i}", "phone")] == f"6475551{i:03}" for i in range(30))
+
+
+def test_learnt_leans_are_opposite(spark):
+    rows = [(f"g{i}", "phone", v, float(t), float(t), "web", k, "own", 1, 0.0) for i in range(9) for t, (v, k) in enumerate([("a", "416"), ("b", "647")] if i else [("b", "647"), ("a", "416")])]
+    df = spark.createDataFrame(rows, "grp string, field string, value string, first double, last double, source string, kind string, belongs string, groups long, common double")
+    lean = {(r.kind, r.later_kind): r.lean for r in golden.learnt(df)[1].collect()}
+    assert lean[("416", "647")] == pytest.approx(9 / 11 - 0.5) and lean[("647", "416")] == pytest.approx(2 / 11 - 0.5)
