@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,8 +31,9 @@ def get_spark(app: str = "orgloom", cpus: str = "*", shuffle_partitions: int = 8
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (as in tests on one machine) a temporary
-    one is made and set.
+    Only where the session names none and all of it runs on one machine, as in
+    tests, a temporary one is made and set; on a cluster that is an error,
+    since executors couldn't read one another's folders.
     """
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -41,8 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    made = "file://" + tempfile.mkdtemp(prefix="orgloom-")
-    sc.setCheckpointDir(made)
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that every executor can read")
+    folder = tempfile.mkdtemp(prefix="orgloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir("file://" + folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -59,13 +65,20 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
-    """A written table, marked for broadcast if it has at most ``rows`` rows; otherwise joins shuffle it as usual.
+def small(df: DataFrame, rows: int = 50_000, megabytes: int = 32) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``rows`` rows and ``megabytes`` of data; otherwise joins shuffle it as usual.
 
-    Give it tables from ``cut`` only: their rows are counted without running
-    what they came from.
+    Give it tables from ``cut`` only: their rows and the sizes of their files are
+    read without running what they came from.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= megabytes << 20 and df.count() <= rows else df
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes the tables that ``cut`` has written in this application; frames built on them can't be read any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-tables")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut_in_order(df: DataFrame) -> DataFrame:

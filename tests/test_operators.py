@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.operators import crawl, directory, enrich, first, jobs, payloads, proximity, quality, resolve, upsert
+from orgloom.operators import crawl, directory, enrich, first, jobs, payloads, proximity, quality, resolve, skew, upsert
 
 
 def test_first_rows_and_cap(spark, rows):
@@ -218,3 +218,12 @@ def test_profile_edge_cases(spark):
     assert (got["a"].n_rows, got["a"].n_missing, got["a"].max_length) == (3, 2, 5000) and got[None].n_rows == 1
     assert quality.profile(df.limit(0), "load", ["c"]).count() == 0 and quality.departed_loads(df.limit(0), "load", ["c"]).count() == 0
     assert quality.departed_loads(df, "load", ["c"]).count() == 0
+
+
+def test_salted_join_and_totals(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], "k int, x string")
+    right = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (2, 7), (None, 9)], "k int, y int")
+    want = rows(left.join(right, ["k"]))
+    assert rows(skew.salted_join(left, right, ["k"], hot=6)) == want and rows(skew.salted_join(left, right, ["k"])) == want
+    assert skew.salted_join(left.limit(0), right, ["k"], hot=6).count() == 0
+    assert rows(skew.with_total(right.filter("k is null or k = 2"), ["k"], "y", "t")) == [(2, 7, 14), (2, 7, 14), (None, 9, 9)]
