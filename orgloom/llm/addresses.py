@@ -10,6 +10,7 @@ the street don't contradict.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,12 +21,15 @@ from orgloom.llm.locate import locate
 from orgloom.llm.setjoin import grams
 from orgloom.llm.streets import parse_address
 from orgloom.llm.text import edits
+from orgloom.operators.skew import salted_join
 from orgloom.session import cut
 
 #: Cosine similarity of two spellings of one street.
 THRESHOLD = 0.3
-#: Street names longer than this are only equal to themselves.
-LONGEST_NAME = 64
+#: A name follows another that is this many times as common if they are similar; names of comparable counts only if they are all but equal.
+COMMONER = 3
+#: An n-gram of a place with more names than this is compared in parts.
+HOT_GRAM = 4_000
 #: A group with more records than this is paired in salted parts.
 HOT_GROUP = 5_000
 
@@ -44,18 +48,31 @@ def _weights(idf: dict[str, float], name: str) -> list[tuple[str, float]]:
     return [(g, w / norm) for g, w in ordered]
 
 
+def _with_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"gram": [g for n in b.name for g in grams(n)]})
+
+
+def one_street(x: str, y: str, much_rarer: bool) -> bool:
+    """The exact check of two similar names: numbers must be equal, and few letters differ; where neither is much rarer only one, of six or more."""
+    if re.findall(r"\d+", x) != re.findall(r"\d+", y):
+        return False
+    short = min(len(x), len(y))
+    most = (1 if short < 5 else 2 if short < 10 else 3) if much_rarer else (1 if short > 5 else 0)
+    return edits(x, y, most) <= most
+
+
 def street_spellings(names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``place_id, name, street``: the common spelling that each name of a place stands for.
 
     ``names``: ``place_id, name, n``, each name of a place once. A name follows
-    the commonest spelling it is similar to, if that one is at least three
-    times as common, or both are rare; chains are followed to their end (two
-    steps). The document frequencies of n-grams, of which there are a few thousand at most, are
-    the only thing that goes by way of the driver.
+    the commonest spelling it is similar to: by ``one_street``, which asks for less where
+    that one is ``COMMONER`` times as common, a ratio that doesn't change with the
+    tables' size. Chains are followed to their end. The document frequencies of n-grams, of which there
+    are a few thousand at most, are the only thing that goes by way of the driver.
     """
     names = cut(names)
-    make = F.udf(grams, "array<string>")
-    counts = names.filter(F.length("name") <= LONGEST_NAME).select("name").distinct().select(F.explode(make("name")).alias("gram")).groupBy("gram").count().collect()
+    counts = names.select("name").distinct().mapInPandas(_with_grams, "gram string").groupBy("gram").count().collect()
     total = max((r["count"] for r in counts), default=1)
     idf = {r.gram: math.log(1 + total / r["count"]) for r in counts}
 
@@ -63,8 +80,6 @@ def street_spellings(names: DataFrame, threshold: float = THRESHOLD) -> DataFram
         for b in batches:
             out = []
             for place, name, n in zip(b.place_id, b.name, b.n):
-                if len(name) > LONGEST_NAME:
-                    continue
                 parts, left, prefix = _weights(idf, name), 1.0, []
                 for g, w in parts:
                     if left < threshold * threshold:
@@ -77,8 +92,8 @@ def street_spellings(names: DataFrame, threshold: float = THRESHOLD) -> DataFram
     laid = cut(names.mapInPandas(index, "place_id int, name string, n long, gram string, at int, prefix array<string>"))
     a = laid.select("place_id", "gram", F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("prefix").alias("prefix_a"))
     b = laid.select("place_id", "gram", F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("prefix").alias("prefix_b"))
-    met = a.join(b, ["place_id", "gram"]).filter((F.abs(F.length("name_a") - F.length("name_b")) <= 3) & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("name_a") > F.col("name_b")))))
-    met = met.filter((F.col("n_a") * 3 <= F.col("n_b")) | (F.col("n_a") <= 2))
+    met = salted_join(a, b, ["place_id", "gram"], HOT_GRAM).filter((F.abs(F.length("name_a") - F.length("name_b")) <= 3) & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("name_a") > F.col("name_b")))))
+    met = met.filter((F.col("n_a") * COMMONER <= F.col("n_b")) | ((F.least(F.length("name_a"), F.length("name_b")) > 5) & (F.abs(F.length("name_a") - F.length("name_b")) <= 1)))
     # a pair is kept where its first shared n-gram is
     met = met.filter(~F.arrays_overlap(F.slice("prefix_a", F.lit(1), F.col("at_a")), F.slice("prefix_b", F.lit(1), F.col("at_b")))).select("place_id", "name_a", "n_a", "name_b", "n_b")
 
@@ -99,13 +114,18 @@ def street_spellings(names: DataFrame, threshold: float = THRESHOLD) -> DataFram
                 cosine.append(sum(w * v[g] for g, w in u.items() if g in v))
             b = b.assign(cosine=cosine)
             b = b[b.cosine >= threshold]
-            most = [1 if min(len(x), len(y)) < 5 else 2 if min(len(x), len(y)) < 10 else 3 for x, y in zip(b.name_a, b.name_b)]
-            yield b[[edits(x, y, m) <= m for x, y, m in zip(b.name_a, b.name_b, most)]]
+            yield b[[one_street(x, y, COMMONER * m <= n) for x, y, m, n in zip(b.name_a, b.name_b, b.n_a, b.n_b)]]
 
     close = met.mapInPandas(verify, "place_id int, name_a string, n_a long, name_b string, n_b long, cosine double")
     leads = cut(close.groupBy("place_id", F.col("name_a").alias("name")).agg(F.max_by("name_b", F.struct("n_b", "cosine", "name_b")).alias("street")))
-    onward = leads.select("place_id", F.col("name").alias("street"), F.col("street").alias("further"))
-    leads = leads.join(onward, ["place_id", "street"], "left").select("place_id", "name", F.coalesce("further", "street").alias("street"))
+    # every name leads to a commoner one, so the steps, doubled each time, come to an end
+    while True:
+        onward = leads.select("place_id", F.col("name").alias("street"), F.col("street").alias("further"))
+        longer = leads.join(onward, ["place_id", "street"], "left").select("place_id", "name", F.coalesce("further", "street").alias("street"), F.col("further").isNotNull().alias("moved"))
+        longer = cut(longer)
+        leads = longer.drop("moved")
+        if longer.filter("moved").isEmpty():
+            break
     return names.select("place_id", "name").join(leads, ["place_id", "name"], "left").select("place_id", "name", F.coalesce("street", "name").alias("street"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgloom.llm.places import match_texts
+from orgloom.llm.places import first_piece, match_texts
 from orgloom.session import cut, small
 
 #: Degrees within which a coordinate belongs to a city of the list.
@@ -47,7 +47,8 @@ def locate(rows: DataFrame, places: DataFrame, carry: list[str] = []) -> DataFra
     texts = rows.filter("trim(city) <> ''").select(F.lit("city").alias("kind"), F.col("city").alias("text")).unionByName(rows.filter("trim(typed) <> ''").select(F.lit("province").alias("kind"), F.col("typed").alias("text")))
     meant = cut(match_texts(texts, places).filter("place_id is not null"))
     own = meant.filter("kind = 'province'").groupBy(F.col("text").alias("typed")).agg(F.max_by("code", F.struct("score", "code")).alias("own"))
-    options = meant.filter("kind = 'city'").groupBy(F.col("text").alias("city")).agg(F.collect_list(F.struct("place_id", "code", "score", "hint")).alias("options"))
+    options = meant.filter("kind = 'city'").groupBy(F.col("text").alias("city")).agg(F.collect_list(F.struct("place_id", "at", "code", "score", "hint")).alias("options"))
+    options = options.withColumn("options", first_piece(F.col("options")))
     one = F.size("options") == 1
     options = options.select("city", F.when(one, F.col("options")[0].place_id).alias("only"), F.when(~one, F.col("options")).alias("options"))
     near = places.filter("kind = 'city' and lat is not null").select(F.col("place_id").alias("by_point"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))

@@ -8,6 +8,7 @@ assigned so that the total confidence is greatest.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -131,13 +132,17 @@ def sorted_neighbours(profiles: DataFrame, window: int = WINDOW) -> DataFrame:
 
     border = laid.mapInPandas(ends, f"part int, end int, i int, sort_key string, {_PROFILE}").collect()
     border.sort(key=lambda r: (r.part, r.end, r.i))
-    firsts = [(r.part, tuple(r)[3:]) for r in border if r.end == 0]
-    lasts = [(r.part, tuple(r)[3:]) for r in border if r.end == 1]
+    at = [[(r.part, tuple(r)[3:]) for r in border if r.end == end] for end in (0, 1)]
+    ends_of = profiles.sparkSession.sparkContext.broadcast([([p for p, _ in rows], [r for _, r in rows]) for rows in at])
 
     def walk(upwards: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = TaskContext.get().partitionId()
-            beside = [r for p, r in lasts if p < part][-window:] if upwards else [r for p, r in firsts if p > part][:window][::-1]
+            parts, ends = ends_of.value[1 if upwards else 0]
+            if upwards:
+                beside = ends[max(bisect_left(parts, part) - window, 0) : bisect_left(parts, part)]
+            else:
+                beside = ends[bisect_right(parts, part) :][:window][::-1]
             rows = ((r.side, _Profile(*r)) for b in batches for r in b.itertuples(index=False))
             found: set = set()
             for pair in _behind(rows, deque((_Profile(*r) for r in beside), maxlen=window)):
@@ -206,19 +211,51 @@ def platforms(parsed: DataFrame) -> DataFrame:
     return sizes.filter(largest < OWN_SHARE * F.col("rows")).select("host", F.lit(True).alias("platform"))
 
 
-def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window: int = WINDOW) -> DataFrame:
+def one_to_one(pairs: DataFrame, epsilon: float = 0.001) -> DataFrame:
+    """``left_key, right_key, confidence``: an assignment in which no key stands twice, of the greatest total confidence.
+
+    An auction: every left key without a partner bids, for the right key that is
+    worth most to it at its price, as much as leaves it no better off than with
+    its second choice, or with none; the highest bid gets the right key and sets its price. It
+    ends when no one bids, with a total at most ``epsilon`` a pair below the
+    greatest. A round is two aggregations and joins over the pairs; nothing but
+    counts reaches the driver. Equal bids go to the smaller key; pairs
+    of no positive confidence are left out; repeated pairs count once, with their greatest confidence.
+    """
+    pairs = cut(pairs.filter("confidence > 0 and left_key is not null and right_key is not null").groupBy("left_key", "right_key").agg(F.max("confidence").alias("confidence")))
+    taken = cut(pairs.select("right_key", "left_key", F.col("confidence").alias("price")).limit(0))
+    out = cut(pairs.select("left_key").limit(0))
+    while True:
+        bidders = pairs.join(taken.select("left_key"), "left_key", "left_anti").join(out, "left_key", "left_anti")
+        worth = bidders.join(taken.select("right_key", "price"), "right_key", "left").withColumn("worth", F.col("confidence") - F.coalesce("price", F.lit(0.0)))
+        dearest = W.partitionBy("left_key").orderBy(F.desc("worth"), "right_key")
+        best = worth.withColumns({"place": F.row_number().over(dearest), "second": F.lead("worth").over(dearest)}).filter("place = 1")
+        best = cut(best.select("left_key", "right_key", "confidence", "worth", F.greatest(F.coalesce("second", F.lit(0.0)), F.lit(0.0)).alias("second")))
+        bids = best.filter(F.col("worth") > 0).select("left_key", "right_key", (F.col("confidence") - F.col("second") + epsilon).alias("price"))
+        if bids.isEmpty():
+            break
+        out = cut(out.unionByName(best.filter(F.col("worth") <= 0).select("left_key")))
+        both = bids.select("right_key", "left_key", "price").unionByName(taken)
+        taken = cut(both.groupBy("right_key").agg(F.min_by(F.struct("left_key", "price"), F.struct(-F.col("price"), "left_key")).alias("w")).select("right_key", "w.left_key", "w.price"))
+    return taken.join(pairs, ["left_key", "right_key"]).select("left_key", "right_key", "confidence")
+
+
+def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window: int = WINDOW, assign: str = "sightings") -> DataFrame:
     """``left_key, right_key, confidence``: every left record's best right record, if it has any.
 
     Both tables: ``key, name, city, province, lat, lng, postal, phone,
     website``; other columns are ignored, any of these may be null or blank. A
     match needs names that agree in one place, or one web address and no
     contradicting names; names of general words alone don't agree. Right
-    records are taken to be distinct entities, left ones to be sightings of
+    records are taken to be distinct entities. With ``assign='sightings'`` left ones are sightings of
     which an entity may have many, so each left record is assigned to one right
     record, the most confident (ties: the smaller key), which makes the total
-    confidence greatest. Null keys are left out; repeated rows give one pair;
+    confidence greatest. With ``assign='entities'`` they are distinct too, and
+    the assignment is one-to-one, see ``one_to_one``. Null keys are left out; repeated rows give one pair;
     an empty table gives none.
     """
+    if assign not in ("sightings", "entities"):
+        raise ValueError("assign must be 'sightings' or 'entities'")
     cols = ["name", "city", "province", "lat", "lng", "postal", "phone", "website"]
     rows = left.select("key", F.lit(0).alias("side"), *cols).unionByName(right.select("key", F.lit(1).alias("side"), *cols)).filter("key is not null")
     phone = F.regexp_extract(F.regexp_replace(F.regexp_replace(F.lower(F.col("phone")), r"ext.*$", ""), r"\D", ""), r"^1?(\d{10})$", 1)
@@ -242,5 +279,7 @@ def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window:
     total = sum((F.when(known[k], WEIGHTS[k] * c).otherwise(0.0) for k, c in score.items()), F.lit(0.0))
     weight = sum((F.when(known[k], WEIGHTS[k]).otherwise(0.0) for k in score), F.lit(0.0))
     met = met.withColumn("confidence", F.round(total / weight, 6))
+    if assign == "entities":
+        return one_to_one(met.select("left_key", "right_key", "confidence"))
     best = met.groupBy("left_key").agg(F.max_by(F.struct("right_key", "confidence"), F.struct("confidence", F.col("name"), F.translate("right_key", "0123456789abcdef", "fedcba9876543210"))).alias("b"))
     return best.select("left_key", "b.right_key", "b.confidence")

@@ -20,28 +20,27 @@ PURPOSE_WORDS = {
 }
 #: Words that say nothing of which organisation it is.
 EMPTY_WORDS = ["islamic", "isl", "islamique", "muslim", "muslims", "musulman", "musulmane", "club", "hall", "room", "salle", "jamia", "jami", "jame", "the", "of", "de", "du", "des", "la", "le", "les", "et", "and", "for", "inc", "incorporated", "ltd", "limited", "org", "organization", "organisation", "registered", "reg", "corp", "untitled", "unknown", "community"]
-#: Variants of given names, by the commonest form.
-NICKNAMES = {
-    "bilal": ["bilaal", "belal", "billal", "bilel"],
-    "falah": ["falaah", "felah", "fallah"],
-    "hamza": ["hamzah", "hamzeh", "hamsa", "hemza"],
-    "huda": ["hudaa", "houda", "hoda", "hudah"],
-    "ibrahim": ["ibraheem", "ebrahim", "brahim", "ibrahem", "abraham"],
-    "iman": ["imaan", "eeman", "emaan", "eman"],
-    "khadija": ["khadijah", "khadeeja", "hadija", "khadeejah", "kadija"],
-    "maryam": ["mariam", "miriam", "meryem", "mariyam", "maryem"],
-    "muhammad": ["mohammed", "mohamed", "muhammed", "mohammad", "mohamad", "mohd", "muhd", "md", "mhd"],
-    "nur": ["noor", "nour", "nuur", "nor"],
-    "rahma": ["rahmah", "rehma", "rahmat", "rehmah"],
-    "salam": ["salaam", "selam", "salem"],
-    "salman": ["salmaan", "selman", "salmane"],
-    "taqwa": ["taqwah", "takwa", "taqua", "takwah"],
-    "umar": ["omar", "omer", "umer", "oumar"],
-    "yusuf": ["yousef", "yusef", "yosuf", "yousuf", "youssef", "yousif", "joseph"],
+#: Common given names with the short forms and translations that no rule of ``romanised`` leads to.
+GIVEN_NAMES = {
+    "abbas": [], "adam": [], "ahmad": ["ahmet"], "aisha": ["ayesha", "aysha", "aicha"], "akbar": [], "ali": ["aly"], "amina": [], "anas": [], "asma": [], "ayub": ["job"],
+    "aziz": [], "badr": [], "bakr": [], "bilal": ["belal"], "daud": ["dawud", "dawood", "david", "dave"], "falah": [], "faruq": [], "fatima": ["fatma", "fatimah"], "furqan": [], "habib": [],
+    "hafsa": [], "hamid": [], "hamza": ["hamsa"], "harun": ["aaron"], "hasan": [], "hidaya": ["hidayat"], "huda": [], "husayn": ["hussein", "hussain", "husain", "huseyin"], "ibrahim": ["ibrahem", "brahim", "abraham", "abe"],
+    "idris": [], "ihsan": [], "ikhlas": [], "iman": [], "imran": [], "isa": ["eesa", "issa"], "ishaq": ["isaac", "isak"], "ismail": ["ismael"], "jafar": [], "jamal": [],
+    "karim": [], "khadija": ["hadija", "kadija"], "khalid": [], "madina": [], "mahdi": [], "mahmud": [], "malik": [], "maryam": ["miriam", "mary", "marie"], "muhammad": ["mohd", "muhd", "md", "mhd", "mehmet", "mamadou"], "musa": ["moses"],
+    "mustafa": [], "najm": [], "nuh": ["noah"], "nur": [], "qadir": [], "qasim": [], "quba": [], "rahim": [], "rahma": ["rahmat"], "rahman": [],
+    "rashid": [], "ridwan": [], "sabr": [], "sadiq": [], "safa": [], "salam": [], "salih": [], "salman": [], "sulayman": ["suleiman", "solomon"], "tariq": [],
+    "taqwa": [], "tawhid": ["tauheed"], "taybah": ["tayba"], "umar": [], "uthman": ["osman", "usman"], "yahya": [], "yaqub": ["jacob", "jake", "jakob"], "yasin": [], "yunus": ["jonah"], "yusuf": ["yusef", "yousef", "youssef", "yousif", "joseph", "joe"],
+    "zahra": [], "zakariya": ["zachary"], "zayd": ["zaid"], "zaynab": ["zainab"], "zubayr": ["zubair"],
+    "anthony": ["tony"], "benjamin": ["ben"], "catherine": ["kate", "cathy", "katherine", "kathryn"], "charles": ["charlie", "chuck"], "christopher": ["chris"], "daniel": ["dan", "danny"], "edward": ["ed", "eddie", "ted"], "elizabeth": ["liz", "beth", "betty"], "george": [], "henry": ["harry"],
+    "james": ["jim", "jimmy"], "john": ["jack", "johnny"], "margaret": ["maggie", "peggy", "meg"], "matthew": ["matt"], "michael": ["mike", "mick"], "nicholas": ["nick"], "patrick": ["pat", "paddy"], "peter": ["pete"], "richard": ["rick", "dick"], "robert": ["bob", "bobby", "rob"],
+    "samuel": ["sam"], "stephen": ["steven", "steve"], "susan": ["sue", "susie"], "theresa": ["terry", "teresa"], "thomas": ["tom", "tommy"], "timothy": ["tim"], "william": ["bill", "billy", "willy"],
 }
+#: The Arabic article as it is written before a word, and before one that begins with the same sound.
+ARTICLES, JOINED_ARTICLES = ["al", "el", "ul"], ["ad", "an", "ar", "as", "ash", "at", "az", "ud", "un", "ur", "us", "ut", "uz"]
+#: Fixed values: "servant of", which is one name with the word behind it.
+SERVANT = ["abd", "abdu", "abdul", "abdal", "abdel", "abdoul", "abdur", "abdar", "abdus", "abdun"]
 _purpose = {w: p for p, words in PURPOSE_WORDS.items() for w in words}
 _empty = set(EMPTY_WORDS)
-_given = {v: k for k, vs in NICKNAMES.items() for v in [k, *vs]}
 _long = [w for w in [*_purpose, *EMPTY_WORDS] if len(w) > 4]
 #: Initials of two common kinds of names.
 _initials = {"ic": "centre", "ma": "association", "is": "society", "mc": "centre", "ia": "association"}
@@ -61,17 +60,60 @@ def _generic(word: str) -> str | None:
     return None
 
 
+@lru_cache(maxsize=30_000)
+def romanised(word: str) -> str:
+    """One spelling for the ways in which a name of another script is written in Latin letters.
+
+    Doubled letters once, long vowels short, e and a alike, o and u alike, y
+    and i alike, q as k, a last h or e left out.
+    """
+    s = re.sub(r"^e+(?=[^aeiou])", "i", word)
+    for a, b in (("ee", "i"), ("oo", "u"), ("ou", "u"), ("qu", "kw"), ("q", "k"), ("dh", "z"), ("iy", "i"), ("y", "i"), ("o", "u"), ("e", "a"), ("v", "w")):
+        s = s.replace(a, b)
+    s = re.sub(r"(.)\1+", r"\1", s)
+    return re.sub(r"(?<=a)h$", "", s[:-1] if len(word) > 5 and word.endswith("e") else s)
+
+
+_given = {romanised(v): k for k, vs in GIVEN_NAMES.items() for v in [k, *vs]}
+_short = {v for vs in GIVEN_NAMES.values() for v in vs if len(v) < 4} | {k for k in GIVEN_NAMES if len(k) < 4}
+_article, _joined, _servant = set(ARTICLES), set(JOINED_ARTICLES), set(SERVANT)
+
+
 @lru_cache(maxsize=30_000)
 def given_name(word: str) -> str:
-    """The common form of a given name, '' for other words."""
-    return _given.get(word, "")
+    """The common form of a given name, also with the article or "servant of" joined to it; '' for other words. Two letters must be spelled as listed."""
+    if len(word) < 3 and word not in _short:
+        return ""
+    if found := _given.get(romanised(word)):
+        return found
+    if m := re.match(r"abd[aeou]{1,2}[lrsn](?=.{3})", word):
+        rest = given_name(word[m.end() :])
+        return f"abd{rest}" if rest else ""
+    return _given.get(romanised(word[2:]), "") if re.match(r"[ae]l.{3}|a([dnrstz])\1..", word) else ""
+
+
+def without_articles(words: list[str]) -> list[str]:
+    """Words without the Arabic article before another word; 'servant of' and the word behind it are one."""
+    out: list[str] = []
+    i = 0
+    while i < len(words):
+        w, after = words[i], words[i + 1] if i + 1 < len(words) else ""
+        if after and (w in _article or (w in _joined and len(after) > 2 and after.startswith(w[1:]))):
+            i += 1
+        elif w in _servant and after:
+            rest = without_articles(words[i + 1 :])
+            return [*out, "abd" + romanised(rest[0]), *rest[1:]]
+        else:
+            out.append(w)
+            i += 1
+    return out
 
 
 def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str, str, tuple[str, ...]]:
     """(purpose, given name, words of its own in order); a place named at the end is left out.
 
     The purpose is '' where none is told; a name of general words only has no
-    words of its own.
+    words of its own; a given name that stands alone is the name's own word.
     """
     spaced = re.sub(r"(?<=[a-zà-öø-ÿ])(?=[A-Z])", " ", name or "")
     words = re.findall(r"[a-z]+", fold(spaced).replace("'", ""))
@@ -81,7 +123,7 @@ def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str,
             joined[-1] += w
         else:
             joined.append(w)
-    words = joined
+    words = without_articles(joined)
     for key in city_keys:
         for n in (1, 2, 3):
             if key and len(words) > n + 1:
@@ -114,6 +156,8 @@ def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str,
                 purpose, own = _initials[own[0]], own[1:]
     if len(own) == 3 and not given and own[0] in ("m", "md"):
         given, own = "muhammad", own[1:]
+    if given and not own:  # called after nothing but a given name
+        return purpose, "", (given,)
     return purpose, given, tuple(own)
 
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +38,7 @@ COUNTRY = {"canada", "ca", "can", "cdn"}
 #: Typed in place of a place.
 NOT_A_PLACE = {"any", "all", "unknown", "none", "null", "na", "n a", "not in list", "select one", "other", "outside canada", "tbd", "online", "xx", "zz", "test", "various", "see website", "remote"}
 
+_KEYED = "kind string, text string, key string, hint string"
 _province = {re.sub(r"\W", "", s): code for code, spelled in PROVINCE_SPELLINGS.items() for s in [*spelled, code.lower()]}
 _around = sorted(AROUND, key=len, reverse=True)
 
@@ -51,11 +52,11 @@ def _unrepeated(words: list[str]) -> list[str]:
     return words[:half] if half and words[:half] == words[half:] and len(words) % 2 == 0 else words
 
 
-def split_place(text: str | None) -> tuple[str, str]:
-    """(name, province code) of a typed city: the name folded, without what stands around it; either may be empty."""
+def split_places(text: str | None) -> tuple[list[str], str]:
+    """(names, province code) of a typed city: of each piece that isn't a province the name, folded, without what stands around it; names without repeats, none empty."""
     s = fold(text or "")
     if not s or _bare(s) in NOT_A_PLACE:
-        return "", ""
+        return [], ""
     hint, parts = "", []
     for piece in re.split(r"[,;/()\[\]|]| - |\s-|-\s", s):
         bare = _bare(piece)
@@ -66,7 +67,17 @@ def split_place(text: str | None) -> tuple[str, str]:
             hint = hint or code
             continue
         parts.append(bare)
-    words = " ".join(parts[:1]).split()
+    names = []
+    for part in parts:
+        name, code = _one_place(part)
+        hint = hint or code
+        if name and name not in names:
+            names.append(name)
+    return names, hint
+
+
+def _one_place(part: str) -> tuple[str, str]:
+    words, hint = part.split(), ""
     for n in (3, 2, 1):  # a province behind or before the name, without a sign between
         if len(words) > n:
             if (code := _province.get("".join(words[-n:]))) and not (n > 1 and len("".join(words[-n:])) < 4):
@@ -88,6 +99,12 @@ def split_place(text: str | None) -> tuple[str, str]:
     return ("" if name in _province and len(name) > 3 else name), hint
 
 
+def split_place(text: str | None) -> tuple[str, str]:
+    """(name, province code) of a typed city, by its first piece; either may be empty."""
+    names, hint = split_places(text)
+    return (names[0] if names else ""), hint
+
+
 def province_key(text: str | None) -> str:
     """A typed province, folded, without what stands around it; the code's first spelling where it is a known one."""
     s = fold(text or "")
@@ -109,8 +126,9 @@ def province_key(text: str | None) -> str:
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        split = [split_place(t) if k == "city" else (province_key(t), "") for k, t in zip(b.kind, b.text)]
-        yield b.assign(key=[x[0] for x in split], hint=[x[1] for x in split])
+        split = [split_places(t) if k == "city" else ([province_key(t)], "") for k, t in zip(b.kind, b.text)]
+        out = [(k, t, key, hint, i) for k, t, (keys, hint) in zip(b.kind, b.text, split) for i, key in enumerate(keys or [""])]
+        yield pd.DataFrame(out, columns=["kind", "text", "key", "hint", "at"]).astype({"at": "int32"})
 
 
 def _with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,7 +136,7 @@ def _with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(set=[grams(k) for k in b.key])
 
 
-def _close(kind: str, key: str, entry: str) -> bool:
+def _close(key: str, entry: str) -> bool:
     """The exact check after the join: few enough edits for the length; short codes must be equal."""
     short = min(len(key), len(entry))
     if key == entry:
@@ -128,18 +146,24 @@ def _close(kind: str, key: str, entry: str) -> bool:
     return edits(key, entry, 4) <= (1 if short < 5 else 2 if short < 10 else 3 if short < 16 else 4)
 
 
+def _close_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b[[_close(k, e) for k, e in zip(b.key, b.entry)]]
+
+
 def match_texts(texts: DataFrame, places: DataFrame, threshold: float = 0.35, slack: float = 0.1) -> DataFrame:
-    """Entries each distinct text may mean: ``kind, text, hint, place_id, code, lat, lng, score``.
+    """Entries each distinct text may mean: ``kind, text, at, hint, place_id, code, lat, lng, score``.
 
     ``texts`` has ``kind`` ('city' or 'province') and ``text``, both not null;
-    ``places`` is the canonical list. Of a text's entries those within
+    ``places`` is the canonical list. Every piece of a text is looked up, ``at`` being its place in
+    it; ``first_piece`` takes the first that means anything. Of a piece's entries those within
     ``slack`` of its best Jaccard similarity stay (two cities of one name do);
-    a text without any has one row with a null ``place_id``.
+    a piece without any has one row with a null ``place_id``.
     """
-    keyed = cut(texts.select("kind", "text").distinct().mapInPandas(_keys, "kind string, text string, key string, hint string"))
+    keyed = cut(texts.select("kind", "text").distinct().mapInPandas(_keys, f"{_KEYED}, at int"))
     named = places.select("place_id", "kind", F.col("province").alias("code"), "lat", "lng", F.explode(F.array_distinct(F.concat(F.array("name"), F.coalesce("alt_names", F.array()), F.when(F.col("kind") == "province", F.array("province")).otherwise(F.array())))).alias("text"))
     named = named.filter(F.col("text").isNotNull())
-    keyed_names = named.select("kind", "text").distinct().mapInPandas(_keys, "kind string, text string, key string, hint string").drop("hint")
+    keyed_names = named.select("kind", "text").distinct().mapInPandas(_keys, f"{_KEYED}, at int").filter("at = 0").drop("hint", "at")
     entries = named.join(keyed_names, ["kind", "text"]).filter("key <> ''").select("place_id", "kind", "code", "lat", "lng", "key")
     spelled = F.create_map(*[x for code, names in PROVINCE_SPELLINGS.items() for x in (F.lit(code), F.array(*[F.lit(n.replace(" ", "")) for n in names if len(n) > 5]))])
     more = places.filter("kind = 'province'").select("place_id", "kind", F.col("province").alias("code"), "lat", "lng", F.explode(F.try_element_at(spelled, F.col("province"))).alias("key"))
@@ -153,9 +177,15 @@ def match_texts(texts: DataFrame, places: DataFrame, threshold: float = 0.35, sl
     gap = F.when(least < 3 * 5 + 1, 3).when(least < 3 * 10 + 1, 6).when(least < 3 * 16 + 1, 9).otherwise(12)
     pairs = similar_keys(cut(sets(short)), cut(sets(entries)), threshold, gap)
     pairs = pairs.withColumn("best", F.max("jaccard").over(W.partitionBy("kind", "key"))).filter(F.col("jaccard") >= F.col("best") - slack)
-    pairs = pairs.filter((F.col("best") < 1) | (F.col("jaccard") == 1)).filter(F.udf(_close, "boolean")("kind", "key", "entry"))
+    pairs = pairs.filter((F.col("best") < 1) | (F.col("jaccard") == 1)).select("kind", "key", "entry", "jaccard").mapInPandas(_close_ones, "kind string, key string, entry string, jaccard double")
     meant = pairs.join(entries.withColumnRenamed("key", "entry"), ["kind", "entry"]).groupBy("kind", "key", "place_id", "code", "lat", "lng").agg(F.max("jaccard").alias("score"))
-    return keyed.join(cut(meant), ["kind", "key"], "left").select("kind", "text", "hint", "place_id", "code", "lat", "lng", "score")
+    return keyed.join(cut(meant), ["kind", "key"], "left").select("kind", "text", "at", "hint", "place_id", "code", "lat", "lng", "score")
+
+
+def first_piece(options: Column) -> Column:
+    """Of ``array<struct<place_id, at, ...>>`` those of the first piece that means an entry; empty where none does."""
+    known = F.filter(options, lambda o: o.place_id.isNotNull())
+    return F.filter(known, lambda o: o.at == F.array_min(F.transform(known, lambda p: p.at)))
 
 
 def map_to_places(records: DataFrame, places: DataFrame, threshold: float = 0.35) -> DataFrame:
@@ -177,7 +207,8 @@ def map_to_places(records: DataFrame, places: DataFrame, threshold: float = 0.35
     texts = rows.select(F.col("field").alias("kind"), "text").unionByName(rows.filter("field = 'city' and trim(typed) <> ''").select(F.lit("province").alias("kind"), F.col("typed").alias("text")))
     meant = match_texts(texts, places, threshold)
     typed = meant.filter("kind = 'province' and code is not null").groupBy(F.col("text").alias("typed")).agg(F.max_by("code", F.struct("score", "code")).alias("own"))
-    one = meant.groupBy(F.col("kind").alias("field"), "text").agg(F.collect_list(F.struct("place_id", "code", "lat", "lng", "score", "hint")).alias("options"))
+    one = meant.groupBy(F.col("kind").alias("field"), "text").agg(F.collect_list(F.struct("place_id", "at", "code", "lat", "lng", "score", "hint")).alias("options"))
+    one = one.withColumn("options", first_piece(F.col("options")))
     rows = rows.join(one, ["field", "text"]).join(typed, "typed", "left")
 
     def weight(o):
@@ -185,5 +216,5 @@ def map_to_places(records: DataFrame, places: DataFrame, threshold: float = 0.35
         by_hint = F.when(o.hint == "", F.when(F.col("own") == o.code, 0.15).otherwise(0.0)).otherwise(F.when(o.hint == o.code, 0.3).otherwise(0.0))
         return F.struct((o.score + by_hint + F.when(F.coalesce(near, F.lit(False)), 0.1).otherwise(0.0)).alias("score"), (-o.place_id).alias("minus"))
 
-    best = F.array_max(F.transform(F.filter("options", lambda o: o.place_id.isNotNull()), weight))
+    best = F.array_max(F.transform("options", weight))
     return rows.select("record_id", "field", F.coalesce(-best.minus, F.lit(0)).cast("int").alias("place_id")).distinct()

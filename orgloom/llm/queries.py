@@ -48,14 +48,19 @@ def match_rows(table: DataFrame) -> DataFrame:
     return table.select(F.col("id").alias("key"), "name", "city", "province", "lat", "lng", F.col("postal_code").alias("postal"), "phone", "website")
 
 
-def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p3_matches(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     """Unresolved candidates and the organisations they are, with confidences."""
     candidates = read(spark, sf_dir, "org_candidates").filter("resolved_org_id is null")
     organizations = read(spark, sf_dir, "organizations").filter("merged_into is null")
-    found = matching.match_entities(match_rows(candidates), match_rows(organizations), read(spark, sf_dir, "ref_places"))
+    found = matching.match_entities(match_rows(candidates), match_rows(organizations), read(spark, sf_dir, "ref_places"), **how)
     return found.select(F.col("left_key").alias("candidate_id"), F.col("right_key").alias("org_id"), "confidence")
 
 
+def p3_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same candidates taken for distinct entities: no candidate and no organisation stands twice."""
+    return p3_matches(spark, sf_dir, assign="entities")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_matches(spark, sf_dir).select("candidate_id", "org_id")
 
@@ -104,6 +109,6 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_rates": p9_rates, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p3_assigned": p3_assigned, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_rates": p9_rates, "p10_found": p10_found}
 
 ORACLES = {"p9_rates": P9_RATES_SQL}

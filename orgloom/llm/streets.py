@@ -41,6 +41,15 @@ _UNIT = re.compile(
     r"|\b\d+(?:st|nd|rd|th|er|e|eme)?\s*(?:floor|fl|etage|flr)\b|\b(?:ground|main|first|second|third|lower|upper|top)\s+(?:floor|level|unit)\b"
     r"|\b(?:side|back|front|rear|main)\s+(?:door|entrance|building|unit)\b|\((?:[^)]*)\)|\b(?:basement|rear|upstairs|downstairs|sous-sol)\b"
 )
+_TWO_NUMBERS = re.compile(r"\b(\d{1,6})[a-z]?\s?[-–&]\s?(\d{1,6})([a-z]?)(?=,?\s+[a-z])")
+_FRACTION = re.compile(r"\b(\d{1,6})[\s-]\d/\d\b")
+#: How far apart the ends of a range of house numbers may be.
+RANGE = 60
+
+
+def _one_number(m: re.Match) -> str:
+    first, last = int(m.group(1)), int(m.group(2))
+    return str(first) if first < last <= first + RANGE else m.group(2) + m.group(3)
 
 
 @lru_cache(maxsize=20_000)
@@ -58,11 +67,13 @@ def parse_address(text: str | None, place_keys: tuple[str, ...] = ()) -> tuple[s
     """(house number, street's name, kind, direction) of an address; None where it has no house number on a street.
 
     Units and floors are left out; a kind or direction that isn't told is ''.
+    Of a range of numbers the first counts, of a unit before a number the number, of a number with a fraction the whole.
     """
-    s = fold(text or "")
+    s = fold(re.sub("[½¼¾⅓⅔]", r" 1/2", text or ""))
     if not s or _NO_STREET.search(s):
         return None
     s = _UNIT.sub(" , ", s)
+    s = _FRACTION.sub(r"\1", _TWO_NUMBERS.sub(_one_number, s))
     chunks = [re.findall(r"[a-z0-9]+", c) for c in re.split(r"[,;]|\s-\s|\s-|-\s", s)]
     chunks = [c for c in chunks if c and "".join(c) not in place_keys]
     words = [w for c in chunks for w in c]

@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from orgloom.llm.components import connected_components
 from orgloom.llm.locate import locate
 from orgloom.llm.names import LETTER_BITS, block_codes, letters, likeness, parse_name
+from orgloom.operators.skew import salted_join
 from orgloom.session import cut, small
 
 PARSED = "purpose string, given string, own string"
+#: A block with more spellings than this is compared in parts.
+HOT_BLOCK = 4_000
 #: Of a spelling: the number of its words, and ``names.letters`` of the first, the second of two, and all together.
 MASKS = ["words", "one", "two", "whole"]
 
@@ -89,7 +92,7 @@ def _met(a: DataFrame, b: DataFrame, on: list[str], rule) -> DataFrame:
     """Distinct pairs of spellings that share a block, with their likeness and whether either tells no purpose."""
     part = lambda d, s: d.select(*on, *[F.col(c).alias(f"{c}_{s}") for c in ("node", "own", "given", "purpose", *MASKS)])
     one_kind = (F.col("purpose_a") == F.col("purpose_b")) | (F.col("purpose_a") == "") | (F.col("purpose_b") == "")
-    pairs = part(a, "a").join(part(b, "b"), on).filter(one_kind & rule).filter(may_agree()).drop(*on, *[f"{c}_{s}" for c in MASKS for s in "ab"]).distinct()
+    pairs = salted_join(part(a, "a"), part(b, "b"), on, HOT_BLOCK).filter(one_kind & rule).filter(may_agree()).drop(*on, *[f"{c}_{s}" for c in MASKS for s in "ab"]).distinct()
     return pairs.mapInPandas(_score, "node_a long, node_b long, vague_a boolean, vague_b boolean, like double")
 
 
@@ -105,7 +108,7 @@ def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cut(rows)
     nodes = rows.groupBy("node", "place_id", "purpose", "given", "own").agg(F.count(F.lit(1)).alias("n"))
     nodes = cut(nodes.mapInPandas(_with_codes, f"node long, place_id int, {PARSED}, n long, codes array<string>, words int, one long, two long, whole long"))
-    placed = nodes.filter("place_id is not null").withColumn("code", F.explode("codes"))
+    placed = cut(nodes.filter("place_id is not null").withColumn("code", F.explode("codes")).drop("codes"))
     edges = cut(_met(placed, placed, ["place_id", "code"], F.col("node_a") < F.col("node_b")))
     found = connected_components(edges.filter("vague_a = vague_b"), "node_a", "node_b")
     entity = nodes.select("node", "place_id", "n").join(found, "node", "left").withColumn("entity", F.coalesce("component", "node")).drop("component")
@@ -114,7 +117,7 @@ def entities(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     home = entity.select(F.col("node").alias("node_b"), F.col("entity").alias("to"), F.col("place_id").alias("to_place"))
     mixed = edges.filter("vague_a <> vague_b")
     near = mixed.select(F.when(F.col("vague_a"), F.col("node_a")).otherwise(F.col("node_b")).alias("node_a"), F.when(F.col("vague_a"), F.col("node_b")).otherwise(F.col("node_a")).alias("node_b"), "like").join(home, "node_b")
-    lost = small(cut(nodes.filter("place_id is null").withColumn("code", F.explode("codes"))))
+    lost = small(cut(nodes.filter("place_id is null").withColumn("code", F.explode("codes")).drop("codes")))
     far = cut(_met(lost, placed, ["code"], F.lit(True)).select("node_a", "node_b", "like"))
     far = far.join(home, "node_b")
     far = far.withColumn("best", F.max("like").over(W.partitionBy("node_a"))).filter("like >= best - 0.02")
@@ -141,4 +144,4 @@ def link_variants(targets: DataFrame, candidates: DataFrame, places: DataFrame)
     found = rows.select("key", "side", "node").join(entity, "node")
     a = found.filter("side = 0").select(F.col("key").alias("target_key"), "entity")
     b = found.filter("side = 1").select(F.col("key").alias("candidate_key"), "entity")
-    return a.join(b, "entity").select("target_key", "candidate_key").distinct()
+    return salted_join(a, cut(b), ["entity"]).select("target_key", "candidate_key").distinct()

@@ -380,3 +380,75 @@ def test_learnt_leans_are_opposite(spark):
     df = spark.createDataFrame(rows, "grp string, field string, value string, first double, last double, source string, kind string, belongs string, groups long, common double")
     lean = {(r.kind, r.later_kind): r.lean for r in golden.learnt(df)[1].collect()}
     assert lean[("416", "647")] == pytest.approx(9 / 11 - 0.5) and lean[("647", "416")] == pytest.approx(2 / 11 - 0.5)
+
+
+def test_one_to_one_assignment_is_the_greatest(spark):
+    from itertools import permutations
+
+    random.seed(8)
+    for n in (3, 5):
+        pairs = [(f"l{i}", f"r{j}", round(random.random(), 3)) for i in range(n) for j in range(n) if random.random() < 0.8]
+        worth = {(a, b): c for a, b, c in pairs}
+        best = max(sum(worth.get((f"l{i}", f"r{j}"), 0) for i, j in enumerate(p)) for p in permutations(range(n)))
+        got = matching.one_to_one(spark.createDataFrame([*pairs, pairs[0], (None, "r0", 1.0), ("l0", "r1", 0.0)], "left_key string, right_key string, confidence double"), epsilon=1e-5).collect()
+        assert len({r.left_key for r in got}) == len({r.right_key for r in got}) == len(got)
+        assert sum(r.confidence for r in got) == pytest.approx(best, abs=n * 1e-5 + 1e-9)
+    crowd = [(f"l{i}", "r", 0.9 - i / 100) for i in range(30)]
+    assert [tuple(r) for r in matching.one_to_one(spark.createDataFrame(crowd, "left_key string, right_key string, confidence double")).collect()] == [("l0", "r", 0.9)]
+    assert matching.one_to_one(spark.createDataFrame([], "left_key string, right_key string, confidence double")).count() == 0
+
+
+def test_given_names_by_rule():
+    pairs = [("Al Rahman Centre", "Ar-Rahmaan Center"), ("William Booth School", "Bill Booth School"), ("Masjid Abdul-Rahman Zenta", "Abdur Rahmaan Zenta Mosque"), ("Masjid Fatimah", "Mosque Fatma"), ("Masjid As-Salaam", "Assalam Mosque"), ("Masjid Al Noor Zenta", "Nur Zenta Masjid")]
+    like = {}
+    for a, b in pairs:
+        x, y = names.parse_name(a), names.parse_name(b)
+        like[a] = names.likeness(tuple(sorted(x[2])), x[1], tuple(sorted(y[2])), y[1])
+    assert not {a for a, v in like.items() if v < 0.9}
+    x, y = names.parse_name("Masjid Bilal Zenta"), names.parse_name("Masjid Hamza Zenta")
+    assert names.likeness(x[2], x[1], y[2], y[1]) == 0.0
+    assert names.without_articles(["an", "nur"]) == ["nur"] and names.without_articles(["an", "apple"]) == ["an", "apple"] and names.without_articles(["at", "home"]) == ["at", "home"] and names.without_articles(["al"]) == ["al"]
+
+
+def test_long_street_names_and_chains(spark, rows):
+    long = "abcdefghij" * 20
+    spelled = [(1, long, 9), (1, long[:-1] + "x", 2), (1, "gashofon", 90), (1, "gashofom", 30), (1, "gashofmm", 10), (1, "gashmmmm", 3), (1, "highway10", 50), (1, "highway11", 4), (2, "gashofom", 3), (1, "main", 40), (1, "mair", 30)]
+    got = {(r.place_id, r.name): r.street for r in addresses.street_spellings(spark.createDataFrame(spelled, "place_id int, name string, n long")).collect()}
+    assert len(got) == len(spelled)
+    assert got[(1, long[:-1] + "x")] == long and got[(1, "gashofmm")] == "gashofon" and got[(2, "gashofom")] == "gashofom"
+    assert got[(1, "highway11")] == "highway11" and got[(1, "mair")] == "mair"
+    twenty = [(p, n, c * 20) for p, n, c in spelled]
+    again = {(r.place_id, r.name): r.street for r in addresses.street_spellings(spark.createDataFrame(twenty, "place_id int, name string, n long")).collect()}
+    assert again == got
+
+
+@pytest.mark.parametrize(
+    "text, parts",
+    [
+        ("123-125 Main St", ("123", "main", "street", "")),
+        ("123 1/2 King St W", ("123", "king", "street", "w")),
+        ("12½ King St W", ("12", "king", "street", "w")),
+        ("5-123 Main St", ("123", "main", "street", "")),
+        ("12 - 14 Rue Principale", ("12", "principale", "street", "")),
+    ],
+)
+def test_ranges_units_and_fractions(text, parts):
+    from orgloom.llm.streets import parse_address
+
+    assert parse_address(text) == parts
+
+
+def test_every_piece_of_a_city_is_looked_up(spark, ref):
+    records = spark.createDataFrame([("a", "city", "Old Town, Thaso, ON", None, None, None), ("b", "city", "12 Main St; Thaso", None, None, None), ("c", "city", "Thaso / Oldname", None, None, None), ("d", "city", "Nowhere, Elsewhere", None, None, None)], "record_id string, field string, text string, province string, lat double, lng double")
+    assert {r.record_id: r.place_id for r in places.map_to_places(records, ref).collect()} == {"a": 1, "b": 1, "c": 1, "d": 0}
+
+
+def test_a_hot_block_of_spellings_loses_no_pair(spark, ref, rows, monkeypatch):
+    """Blocks dealt to several tasks give the pairs they give as one."""
+    random.seed(6)
+    typed = lambda: "".join(c if random.random() > 0.06 else random.choice("aeiou") for c in "Milond Sairnsetil")
+    targets = named(spark, [(str(i), typed() + " Mosque", "Thaso", None) for i in range(12)])
+    candidates = named(spark, [(f"c{i}", typed() + " Masjid", "Thaso", None) for i in range(150)])
+    whole = rows(variants.link_variants(targets, candidates, ref))
+    monkeypatch.setattr(variants, "HOT_BLOCK", 20)
+    assert rows(variants.link_variants(targets, candidates, ref)) == whole and len(whole) > 500
