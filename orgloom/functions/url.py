@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orgloom.functions.text import unescape
+
 #: Endings of files that aren't pages.
 FILE_ENDINGS = ["pdf", "doc", "docx", "xls", "xlsx", "ppt", "pptx", "zip", "gz", "rar", "7z", "exe", "dmg", "jpg", "jpeg", "png", "gif", "webp", "svg", "ico", "css", "js", "mp3", "mp4", "avi", "mov", "mkv", "woff", "woff2", "ttf", "eot", "rss", "atom", "xml", "json"]
 #: Hosts that are never crawled, and hosts of which only the named page is.
@@ -121,23 +123,56 @@ def is_public_literal(url: Column) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """Targets of the anchors of a page in the order of the page, as written; repeated ones once."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"), F.lit(1)))
+    """Targets of the anchors of a page in the order of the page, quoted or not, entities read back; repeated ones once."""
+    pattern = F.lit(r"(?is)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+    quoted, single, bare = (F.regexp_extract_all(html, pattern, F.lit(i)) for i in (1, 2, 3))
+    found = F.transform(F.arrays_zip(quoted.alias("a"), single.alias("b"), bare.alias("c")), lambda t: F.trim(unescape(F.concat(t["a"], t["b"], t["c"]))))
+    return F.array_distinct(found)
+
+
+def _resolved(base: str | None, target: str | None) -> str | None:
+    from urllib.parse import urldefrag, urljoin
+
+    if base is None or target is None or target.strip().lower().startswith(("mailto:", "tel:", "javascript:", "data:")):
+        return None
+    try:
+        u = urldefrag(urljoin(base, target.strip())).url
+    except ValueError:
+        return None
+    return u if u.startswith(("http://", "https://")) else None
 
 
 def join_url(base: Column, target: Column) -> Column:
-    """A link resolved against its page, without fragment; null for other than http(s)."""
+    """A link resolved against its page, without fragment; null for other than http(s). An empty target or a bare fragment is the page itself."""
 
     def of(bases: pd.Series, targets: pd.Series) -> pd.Series:
-        from urllib.parse import urldefrag, urljoin
-
-        out = []
-        for b, t in zip(bases, targets):
-            try:
-                u = urldefrag(urljoin(b, t.strip())).url if b is not None and t is not None and t.strip() and t.strip()[0] != "#" else None
-            except ValueError:
-                u = None
-            out.append(u if u and u.startswith(("http://", "https://")) else None)
-        return pd.Series(out, dtype=object)
+        return pd.Series([_resolved(b, t) for b, t in zip(bases, targets)], dtype=object)
 
     return F.pandas_udf(of, "string")(base, target)
+
+
+def links(base: Column, html: Column) -> Column:
+    """The pages a page leads to, absolute, in the order of the page, each once; ``base`` is where the page was found in the end, after redirects."""
+
+    def of(bases: pd.Series, targets: pd.Series) -> pd.Series:
+        return pd.Series([list(dict.fromkeys(u for t in (ts if ts is not None else ()) if (u := _resolved(b, t)))) for b, ts in zip(bases, targets)], dtype=object)
+
+    return F.pandas_udf(of, "array<string>")(base, hrefs(html))
+
+
+def page_apex(url: Column) -> Column:
+    """The last two labels of a URL's authority, port and all, without www."""
+    return apex(F.regexp_replace(F.lower(netloc(url)), r"^www\.", ""))
+
+
+def org_apex(website: Column, domain: Column) -> Column:
+    """The apex of an organisation's website, else of its domain; null without either."""
+    site = F.coalesce(F.when(website != "", website), F.when(domain != "", F.concat(F.lit("https://"), domain)))
+    site = F.when(site.contains("://"), site).otherwise(F.concat(F.lit("https://"), site))
+    top = page_apex(site)
+    return F.when(top != "", top)
+
+
+def on_org_page(url: Column, top: Column) -> Column:
+    """Whether a page is on the site of an ``org_apex``; false where that is null or ''."""
+    return F.coalesce((top != "") & (page_apex(url) == top), F.lit(False))

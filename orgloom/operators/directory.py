@@ -41,6 +41,20 @@ def flagged(df: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
     return df.join(keys.select(on).distinct().withColumn("__in", F.lit(True)), on, "left").withColumn(flag, F.col("__in").isNotNull()).drop("__in")
 
 
+def blanked(df: DataFrame, column: str, suppressed: DataFrame, kind: str) -> DataFrame:
+    """A column with the values blanked that a suppressed value of the kind stands for: addresses in small letters, numbers by their digits."""
+    norm = lambda c: digits(F.col(c)) if kind == "phone" else F.lower(c)
+    gone = suppressed.filter(F.col("kind") == kind).select(norm("value").alias("__norm")).filter("__norm <> ''")
+    marked = flagged(df.withColumn("__norm", norm(column)), gone, "__norm", "__gone")
+    return marked.withColumn(column, F.when(~F.col("__gone"), F.col(column))).drop("__norm", "__gone")
+
+
+def contact_origin(contacts: DataFrame, provenance: DataFrame, method: str, page: str, kind: str) -> DataFrame:
+    """``org_id, methods, from_contact``: how the contacts of a kind were found, joined in order, and whether on a page that looks like a contact page; organisations with such contacts and provenance only."""
+    found = provenance.filter(F.col("kind") == kind).groupBy("org_id").agg(F.array_join(F.array_sort(F.collect_set(method)), ",").alias("methods"), F.coalesce(F.bool_or(F.lower(page).contains("contact")), F.lit(False)).alias("from_contact"))
+    return found.join(contacts.filter(F.col("kind") == kind).select("org_id"), "org_id", "left_semi")
+
+
 def containing(texts: DataFrame, text: str, parts: DataFrame, part: str, size: int = 6) -> DataFrame:
     """Rows of ``texts`` whose text contains a row of ``parts``' part: both tables' columns, a pair once.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +31,33 @@ def _near() -> Column:
     return flat_km(F.col("o_lat"), F.col("o_lng"), F.col("c_lat"), F.col("c_lng"))
 
 
+def _near_pairs(c: DataFrame, o: DataFrame, on: str, km: float) -> DataFrame:
+    """Pairs of equal ``on`` at most ``km`` apart, joined by ``on`` and a grid cell together, so a host that many share is cut up by place.
+
+    Rows of cells are as high as the distance, and columns as wide as it is at
+    84 degrees of latitude; beyond that a row is one cell. One side looks into the cells around its own.
+    """
+    high, wide = km / 111.32 * 1.001, km / 111.32 / math.cos(math.radians(84.1)) * 1.001
+    polar = lambda row: F.greatest(F.abs(row), F.abs(row + 1)) * high > 84
+    row = lambda s: F.floor(F.col(f"{s}_lat") / high)
+    col = lambda s, shift, r: F.when(polar(r), F.lit(0)).otherwise(F.floor(F.col(f"{s}_lng") / wide) + shift).cast("long")
+    c = c.filter("c_lat is not null and c_lng is not null").withColumn("row", row("c")).withColumn("col", col("c", 0, F.col("row")))
+    cells = F.array(*[F.struct((row("o") + i).alias("row"), col("o", j, row("o") + i).alias("col")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    o = o.filter("o_lat is not null and o_lng is not null").withColumn("cell", F.explode(F.array_distinct(cells))).select("*", "cell.row", "cell.col").drop("cell")
+    return c.join(o, [on, "row", "col"]).filter(_near() <= km).drop("row", "col")
+
+
 def exact_tier(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, least: float = 0.45) -> DataFrame:
     """Pairs of one web address: if it has a path, or else if the two are near and of a like name."""
-    both = _side(candidates, "c").drop("host").join(_side(organizations, "o").drop("host"), "site")
-    both = both.filter(F.col("site").contains("/") | ((_near() <= km) & (_similar() >= least)))
+    c, o = _side(candidates, "c").drop("host"), _side(organizations, "o").drop("host")
+    path = F.col("site").contains("/")
+    both = c.filter(path).join(o.filter(path), "site").unionByName(_near_pairs(c.filter(~path), o.filter(~path), "site", km).filter(_similar() >= least))
     return both.select(F.col("c_id").alias("candidate_id"), F.col("o_id").alias("org_id"), F.lit("exact").alias("tier"), F.lit(1.0).alias("score"))
 
 
 def domain_tier(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, least: float = 0.45) -> DataFrame:
     """Pairs of one host, near and of a like name, where just one organisation is."""
-    both = _side(candidates, "c").drop("site").join(_side(organizations, "o").drop("site"), "host").filter((_near() <= km) & (_similar() >= least))
+    both = _near_pairs(_side(candidates, "c").drop("site"), _side(organizations, "o").drop("site"), "host", km).filter(_similar() >= least)
     one = both.groupBy("c_id").agg(F.min("o_id").alias("org_id"), F.count_distinct("o_id").alias("n")).filter("n = 1")
     return one.select(F.col("c_id").alias("candidate_id"), "org_id", F.lit("domain").alias("tier"), F.lit(0.9).alias("score"))
 

@@ -9,15 +9,26 @@ from pyspark.sql import functions as F
 HOT_KEY = 20_000
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot: int = HOT_KEY) -> DataFrame:
+def large_groups(df: DataFrame, by: list[str], rows: int, size: str | None = None) -> DataFrame | None:
+    """``by`` of the groups with more than ``rows`` rows (or a greater sum of the column ``size``); None if there is none.
+
+    A group of a finer key can only be large within these, so they bound what has to be counted.
+    """
+    counts = df.groupBy(*by).agg((F.sum(size) if size else F.count(F.lit(1))).alias("n"))
+    large = counts.filter(F.col("n") > rows).select(*by)
+    return None if large.isEmpty() else large
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot: int = HOT_KEY, counted: DataFrame | None = None) -> DataFrame:
     """The inner join of two tables on equal keys, however many rows of ``right`` share one.
 
     Keys with more than ``hot`` rows of ``right`` are cut into parts by a hash of
     the whole row; rows of ``left`` with such a key are copied to each part. So no
     task holds more than some ``hot`` rows of the right side for a key, and no pair is lost or
-    doubled. Null keys meet nothing. ``right`` is read twice: give a written table.
+    doubled. Null keys meet nothing. ``right`` is read twice, so give a written
+    table, or in ``counted`` the part of it in which hot keys can be.
     """
-    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot)
+    counts = (right if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot)
     parts = counts.select(*on, F.ceil(F.col("__n") / hot).cast("int").alias("__parts"))
     if parts.isEmpty():
         return left.join(right, on)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,23 +9,13 @@ from pyspark.sql import functions as F
 from orgloom.functions import geo, text, url
 from orgloom.operators import crawl, directory, enrich, first, jobs, resolve, upsert
 from orgloom.plans.core_queries import read
+from orgloom.plans.registry import Registry
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+REGISTRY = Registry()
+query, QUERIES, ORACLES = REGISTRY.query, REGISTRY.queries, REGISTRY.sql
 NOW = "TIMESTAMP '2026-04-01 00:00:00'"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- contacts, suppression and the directory ---------------------------------------------------
 
 CONTACTS_SQL = """contacts AS (
@@ -145,13 +133,13 @@ def missing_fields(spark, d):
 
 
 @query("""SELECT id, origin FROM (
-    SELECT 'c:' || id AS id, 'candidate' AS origin, 0 AS k, id AS o FROM org_candidates WHERE resolved_org_id IS NULL AND coalesce(email, '') = '' AND source_id = 'manual'
-    UNION ALL SELECT 'o:' || id, 'organization', 1, id FROM organizations WHERE coalesce(province, '') = '' AND status <> 'merged') ORDER BY k, o LIMIT 300""")
+    SELECT 'c:' || id AS id, 'candidate' AS origin, 0 AS k, id AS o FROM org_candidates WHERE resolved_org_id IS NULL AND coalesce(email, '') = ''
+    UNION ALL SELECT 'o:' || id, 'organization', 1, id FROM organizations WHERE coalesce(province, '') = '' AND status <> 'merged') ORDER BY k, o LIMIT 2000""")
 def targets_topup(spark, d):
-    c = read(spark, d, "org_candidates").filter("resolved_org_id is null and coalesce(email, '') = '' and source_id = 'manual'")
+    c = read(spark, d, "org_candidates").filter("resolved_org_id is null and coalesce(email, '') = ''")
     o = read(spark, d, "organizations").filter("coalesce(province, '') = '' and status <> 'merged'")
     row = lambda t, mark, origin: t.select(F.concat(F.lit(mark), "id").alias("id"), F.lit(origin).alias("origin"), F.col("id").alias("o"))
-    return directory.topped_up(row(c, "c:", "candidate"), row(o, "o:", "organization"), ["o"], 300).select("id", "origin")
+    return directory.topped_up(row(c, "c:", "candidate"), row(o, "o:", "organization"), ["o"], 2_000).select("id", "origin")
 
 
 @query("""SELECT g.domain, g.first_seen, g.n, min(c.id) AS candidate_id FROM (
@@ -203,10 +191,10 @@ def website_parts(spark, d):
 
 @query(f"""WITH h AS (SELECT id, split_part({SITE_SQL}, '/', 1) AS host FROM org_candidates WHERE trim(website) <> ''),
     a AS (SELECT id, host, CASE WHEN regexp_extract(host, '([^.]+\\.[^.]+)$', 1) = '' THEN host ELSE regexp_extract(host, '([^.]+\\.[^.]+)$', 1) END AS apex FROM h)
-    SELECT apex, count(*) AS n, count(DISTINCT host) AS n_hosts, count(*) FILTER (host = 'ummahlink.example' OR host LIKE '%.ummahlink.example') AS n_shared FROM a GROUP BY 1""")
+    SELECT apex, count(*) AS n, count(DISTINCT host) AS n_hosts, count(*) FILTER (regexp_matches(host, '(^|\\.)(centres\\.macnet\\.ca|macnet\\.ca|ahmadiyya\\.ca|ahmadiyya\\.org)$')) AS n_shared FROM a GROUP BY 1""")
 def apex_counts(spark, d):
     h = read(spark, d, "org_candidates").filter("trim(website) <> ''").select(url.site_host(F.col("website")).alias("host"))
-    h = h.withColumn("apex", url.apex(F.col("host"))).withColumn("shared", url.host_matches(F.col("host"), ["ummahlink.example"]))
+    h = h.withColumn("apex", url.apex(F.col("host"))).withColumn("shared", url.host_matches(F.col("host"), url.SHARED_HOSTS))
     return h.groupBy("apex").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("host").alias("n_hosts"), F.count_if("shared").alias("n_shared"))
 
 
@@ -247,24 +235,6 @@ def document_emails(spark, d):
     return read(spark, d, "documents").select("doc_id", F.explode(text.emails(F.col("text"))).alias("email")).groupBy("doc_id", "email").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH e AS (SELECT doc_id, unnest({EMAILS_SQL}) AS email, generate_subscripts({EMAILS_SQL}, 1) AS i FROM documents WHERE text IS NOT NULL),
-    k AS (SELECT doc_id, email, min(i) AS i FROM e WHERE NOT contains(email, 'noreply') AND NOT contains(email, '.png') GROUP BY 1, 2)
-    SELECT doc_id, string_agg(email, ',' ORDER BY (split_part(email, '@', 1) NOT IN ('info', 'admin', 'contact', 'office', 'masjid', 'administrator', 'secretary', 'imam')), length(email), i) AS emails FROM k GROUP BY 1""")
-def document_contacts(spark, d):
-    """Contact addresses in order of preference (the test domains of these tables aren't junk here)."""
-    found = text.clean_emails(F.col("text"), ["noreply", ".png"])
-    # the tables' addresses end in .test and .example, which are no run-ons
-    return read(spark, d, "documents").select("doc_id", F.array_join(found, ",").alias("emails")).filter("emails <> ''")
-
-
-@query(r"""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?:^|[^\d])((?:\+?1[\s.-]?)?\(?[2-9]\d{2}\)?[\s.-]?\d{3}[\s.-]?\d{4})(?:[^\d]|$)', 1)) AS p FROM documents)
-    SELECT doc_id, count(*) AS n FROM (SELECT doc_id, right(regexp_replace(p, '\D', '', 'g'), 10) AS d FROM p) WHERE left(d, 3) NOT IN
-    ('201','212','213','214','305','310','312','323','404','415','469','512','602','614','617','619','646','702','704','713','718','727','971') GROUP BY 1""")
-def document_phones(spark, d):
-    rows = read(spark, d, "documents").select("doc_id", F.explode(text.phones(F.col("text"))).alias("p"))
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(f"""WITH e AS (SELECT DISTINCT doc_id, unnest({EMAILS_SQL}) AS email FROM documents WHERE text IS NOT NULL),
     o AS (SELECT DISTINCT lower(email) AS email FROM organizations WHERE email <> '')
     SELECT e.doc_id, e.email, contains(regexp_replace(lower(t.text), '[^a-z0-9]', '', 'g'), regexp_replace(e.email, '[^a-z0-9]', '', 'g')) AS verbatim FROM e JOIN o USING (email) JOIN documents t USING (doc_id)""")
@@ -272,8 +242,11 @@ def verbatim_contacts(spark, d):
     """Addresses of organisations that documents name, checked against the text without signs."""
     docs = read(spark, d, "documents").filter("text is not null")
     known = read(spark, d, "organizations").filter("email <> ''").select(F.lower("email").alias("email")).distinct()
-    found = docs.select("doc_id", "text", F.explode(F.array_distinct(text.emails(F.col("text")))).alias("email"))
-    return found.join(known, "email").select("doc_id", "email", text.contains_bare(F.col("email"), F.col("text")).alias("verbatim"))
+    # texts are looked into where they lie; only addresses move
+    hay = text.bare(F.col("text"))
+    pairs = F.transform(F.array_distinct(text.emails(F.col("text"))), lambda e: F.struct(e.alias("email"), ((text.bare(e) != "") & hay.contains(text.bare(e))).alias("verbatim")))
+    found = docs.select("doc_id", F.explode(pairs).alias("p")).select("doc_id", "p.email", "p.verbatim")
+    return found.join(known, "email", "left_semi").select("doc_id", "email", "verbatim")
 
 
 @query("SELECT sha256(text) AS hash, min(doc_id) AS first_doc, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
@@ -387,20 +360,6 @@ def apply_verified(spark, d):
     return upsert.fill_nulls(o, "id", values, ["email", "phone"]).select("id", "email", "phone")
 
 
-POSTAL_SQL = "CASE upper(substr(trim(postal_code), 1, 1)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in geo.POSTAL_LETTERS.items()) + " END"
-NAMED_SQL = "CASE WHEN upper(trim(province)) IN (" + ", ".join(f"'{p}'" for p in geo.PROVINCES) + ") THEN upper(trim(province)) ELSE CASE lower(trim(province)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in geo.PROVINCE_NAMES.items()) + " END END"
-
-
-@query(f"""WITH p AS (SELECT id, province, {NAMED_SQL} AS own, {POSTAL_SQL} AS postal FROM organizations)
-    SELECT id, coalesce(own, postal) AS province, coalesce(own, postal, '') <> coalesce(province, '') AS changed, coalesce(own <> postal, false) AS conflict, coalesce(own, postal) IS NULL AS unresolved FROM p""")
-def province_backfill(spark, d):
-    """Each organisation's province: its own, else by its postal code, with flags."""
-    own, postal = geo.province_code(F.col("province")), geo.province_from_postal(F.col("postal_code"))
-    best = F.coalesce(own, postal)
-    blank = lambda c: F.coalesce(c, F.lit(""))
-    return read(spark, d, "organizations").select("id", best.alias("province"), (blank(best) != blank(F.col("province"))).alias("changed"), F.coalesce(own != postal, F.lit(False)).alias("conflict"), best.isNull().alias("unresolved"))
-
-
 # --- resolution ------------------------------------------------------------------------------------
 
 GRAMS_SQL = """list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower(coalesce(name, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''),
@@ -462,9 +421,9 @@ def reclaim_orphans(spark, d):
     return jobs.changed_where(p, orphan, {"status": F.lit("queued")}).select("id", "status")
 
 
-@query()
+@query("SELECT id FROM enrichment_proposals WHERE status = 'open' ORDER BY md5('7:' || id), id LIMIT 25")
 def claim_at_random(spark, d):
-    return jobs.random_claim(read(spark, d, "enrichment_proposals"), F.col("status") == "open", 25, 7).select("id")
+    return jobs.random_claim(read(spark, d, "enrichment_proposals"), F.col("status") == "open", 25, "id", 7).select("id")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, epoch(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
@@ -491,7 +450,7 @@ def merge_reach(spark, d):
     o = read(spark, d, "organizations")
     edges = o.filter("merged_into is not null").select(F.col("merged_into").alias("url"), F.col("id").alias("target"), F.col("id").alias("position"))
     seeds = o.filter("merged_into is null").select(F.col("id").alias("seed")).join(edges.select(F.col("url").alias("seed")), "seed", "left_semi").withColumn("single", F.lit(False))
-    return crawl.reach(seeds, edges, o.select(F.col("id").alias("url"), F.lit(True).alias("ok")), max_ok=1_000_000).select("seed", "url", "level")
+    return crawl.reach(seeds, edges, o.select(F.col("id").alias("url"), F.lit(True).alias("ok")), max_ok=None).select("seed", "url", "level")
 
 
 @query("""SELECT source_id, kind, count(*) AS n, count(score) AS n_scored, CAST(round(coalesce(avg(score), 0), 6) AS DOUBLE) AS mean_score FROM (

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orgloom.functions.geo import region_code
+
 TAGGED_PLACES = "elements array<struct<type string, id long, lat double, lon double, center struct<lat double, lon double>, tags map<string,string>>>"
+#: Platforms told by their name in an address, in the order in which they are tried.
+SOCIAL_PLATFORMS = ["facebook", "instagram", "twitter", "youtube", "tiktok", "whatsapp"]
 ANSWERS = "query_hash string, results array<struct<title string, url string, content string>>"
 
 
@@ -14,9 +18,19 @@ def table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def tagged_places(spark: SparkSession, path: str) -> DataFrame:
-    """Elements of a map extract in JSON as candidate rows: contact tags before plain ones, the centre where an element has no point."""
-    e = spark.read.schema(TAGGED_PLACES).json(path, multiLine=True).select(F.explode("elements").alias("e")).select("e.*")
+def tagged_places(spark: SparkSession, path: str, tags: dict[str, str] | None = None, area: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Elements of a map extract in JSON as candidate rows, see ``place_rows``."""
+    return place_rows(spark.read.schema(TAGGED_PLACES).json(path, multiLine=True).select(F.explode("elements").alias("e")).select("e.*"), tags, area)
+
+
+def place_rows(elements: DataFrame, tags: dict[str, str] | None = None, area: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Nodes and ways with certain tags within an area (west, south, east, north) as candidate rows: contact tags before plain ones, the centre where an element has no point."""
+    e = elements.filter(F.col("type").isin("node", "way"))
+    for name, value in (tags or {}).items():
+        e = e.filter(F.col("tags")[name] == value)
+    if area:
+        west, south, east, north = area
+        e = e.filter(F.coalesce("lat", "center.lat").between(south, north) & F.coalesce("lon", "center.lon").between(west, east))
     tag = lambda *names: F.coalesce(*[F.when(F.col("tags")[n] != "", F.col("tags")[n]) for n in names])
     street = F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street"))
     social = F.map_filter(F.create_map(*[x for p in ("facebook", "instagram", "twitter", "youtube") for x in (F.lit(p), tag(f"contact:{p}", p))]), lambda k, v: v.isNotNull())
@@ -32,14 +46,24 @@ def open_places(places: DataFrame, category: str, box: tuple[float, float, float
     west, south, east, north = box
     wanted = (F.col("categories.primary") == category) | F.coalesce(F.array_contains("categories.alternate", category), F.lit(False))
     first = lambda c: F.get(F.col(c), F.lit(0))
+    social = first_by_platform(F.col("socials")) if "socials" in places.columns else F.create_map().cast("map<string,string>")
     within = F.col("bbox.xmin").between(west, east) & F.col("bbox.ymin").between(south, north) & (first("addresses").country == country)
     return places.filter(wanted & within).select(
         F.col("id").alias("external_id"), F.col("names.primary").alias("name"), first("phones").alias("phone"), first("emails").alias("email"), first("websites").alias("website"),
-        first("addresses").freeform.alias("address_line1"), first("addresses").locality.alias("city"), F.upper(F.regexp_replace(first("addresses").region, r"^[A-Za-z]{2}-", "")).alias("province"), first("addresses").postcode.alias("postal_code"),
-        ((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2).alias("lat"), ((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2).alias("lng"),
+        first("addresses").freeform.alias("address_line1"), first("addresses").locality.alias("city"), region_code(first("addresses").region).alias("province"), first("addresses").postcode.alias("postal_code"),
+        ((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2).alias("lat"), ((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2).alias("lng"), social.alias("social"),
     )
 
 
+def first_by_platform(addresses: Column) -> Column:
+    """A map of the first address of each platform, by the first platform whose name stands in it."""
+    low = lambda a: F.lower(a)
+    named = F.transform(F.coalesce(addresses, F.array().cast("array<string>")), lambda a: F.struct(F.coalesce(*[F.when(low(a).contains(p), F.lit(p)) for p in SOCIAL_PLATFORMS]).alias("key"), a.alias("value")))
+    known = F.filter(named, lambda x: x.key.isNotNull())
+    once = F.filter(known, lambda x, i: ~F.exists(F.slice(known, 1, i), lambda y: y.key == x.key))
+    return F.map_from_entries(once)
+
+
 def latest_release(spark: SparkSession, path: str) -> str | None:
     """The tag a small JSON document names as the latest."""
     row = spark.read.schema("latest string").json(path, multiLine=True).first()

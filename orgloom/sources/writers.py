@@ -10,6 +10,12 @@ def json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
+def keep_answers(results: DataFrame, path: str, kept: DataFrame | None = None) -> None:
+    """A new state of the cache of answers (``query_hash, results``): answers given again replace those in ``kept``. Write it to a new folder."""
+    whole = results if kept is None else results.unionByName(kept.join(results.select("query_hash"), "query_hash", "left_anti"))
+    whole.write.mode("errorifexists").json(path)
+
+
 def one_json(df: DataFrame, path: str) -> None:
     """A small result as a single JSON-lines file."""
     df.coalesce(1).write.mode("overwrite").json(path)

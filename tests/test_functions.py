@@ -84,7 +84,10 @@ def test_links(spark):
     html = '<a href="/about">a</a><a href="https://off.org/">b</a><A HREF=\'/about\'>c</A><a href="mailto:x@y.ca">d</a><a href="#s">e</a><a href="news/#x">f</a>'
     found = spark.createDataFrame([(html,)], "h string").select(F.explode(url.hrefs(F.col("h"))).alias("t"))
     joined = [r.u for r in found.select(url.join_url(F.lit("https://e.com/a/"), F.col("t")).alias("u")).collect()]
-    assert joined == ["https://e.com/about", "https://off.org/", None, None, "https://e.com/a/news/"]
+    assert joined == ["https://e.com/about", "https://off.org/", None, "https://e.com/a/", "https://e.com/a/news/"]
+    more = '<a class=x href=plain>1</a><a href="/q?a=1&amp;b=2">2</a><a data-x="a>b" href="">3</a><a href="tel:1">4</a><abbr href="no">5</abbr><a href="javascript:x()">6</a><a href="plain#top">7</a>'
+    assert one(spark, ["https://e.com/a/", more], url.links(F.col("a"), F.col("b"))) == ["https://e.com/a/plain", "https://e.com/q?a=1&b=2", "https://e.com/a/"]
+    assert one(spark, [None, None], url.links(F.col("a"), F.col("b"))) in ([], None)
 
 
 def test_emails(spark):
@@ -92,9 +95,29 @@ def test_emails(spark):
     assert clean("masjid.iqaluit@gmail.comemail or 5 info@x.ca") == ["info@x.ca", "masjid.iqaluit@gmail.com"]
     assert clean("a:b@mosque.co.uk") == ["b@mosque.co.uk"]
     assert clean("build jquery@3.7.1 noreply@a.ca wixpress stuff admin@masjid.ca info@masjid.ca info@masjid.ca") == ["info@masjid.ca", "admin@masjid.ca"]
+    assert clean("logo@x.svg a@b.jpeg c@d.jpg real@noor.ca") == ["real@noor.ca"]
     assert clean(None) == [] and clean("") == []
 
 
+def test_older_rules(spark):
+    got = one(spark, ["imam@noor.ca office@noor.ca x@noor.comcall 212-555-1234 M2N 7J8 Guelph, ON"], text.plain_fields(F.col("a")))
+    assert (got.email, got.phone, got.postal_area, got.city, got.province) == ("office@noor.ca", "212-555-1234", "M2N", "Guelph", "ON")
+    assert one(spark, [None], text.plain_fields(F.col("a"))).email is None
+
+
+def test_formats(spark):
+    stamp = F.lit("2026-03-05 14:00:00").cast("timestamp_ntz")
+    assert one(spark, ["x"], text.long_date(stamp), text.run_stamp(stamp), text.percent(F.lit(1), F.lit(8)), text.percent(F.lit(1), F.lit(0))) == ("March 5, 2026", "20260305T140000Z", "12%", "0%")
+    assert one(spark, ["a@b@c.ca"], text.email_domain(F.col("a")), text.last_email_domain(F.col("a"))) == ("b", "c.ca")
+
+
+def test_own_pages(spark):
+    apex = lambda w, d: one(spark, [w, d], url.org_apex(F.col("a"), F.col("b")))
+    assert (apex("https://www.news.noor.ca/x", None), apex("", "noor.ca"), apex("noor.ca:80/x", None), apex(None, ""), apex(None, None)) == ("noor.ca", "noor.ca", "noor.ca:80", None, None)
+    own = lambda u, a: one(spark, [u, a], url.on_org_page(F.col("a"), F.col("b")))
+    assert own("https://shop.noor.ca/p", "noor.ca") and not own("https://noor.ca.evil.org/", "noor.ca") and own("https://noor.ca", None) is False and own("x", "") is False
+
+
 def test_phones_and_places(spark):
     assert one(spark, ["call 212-555-1234 or (416) 555-9876"], text.first_phone(F.col("a"))) == "416-555-9876"
     assert one(spark, ["9999999999999"], text.first_phone(F.col("a"))) is None
@@ -143,6 +166,10 @@ def test_geo(spark):
     assert one(spark, [" m5v 2t6"], geo.province_from_postal(F.col("a"))) == "ON"
     assert one(spark, [" ontario "], geo.province_code(F.col("a"))) == "ON"
     assert one(spark, ["zz"], geo.province_code(F.col("a"))) is None
+    assert one(spark, ["Newfoundland"], geo.province_code(F.col("a"))) == "NL" and one(spark, ["ca-on"], geo.region_code(F.col("a"))) == "ON" and one(spark, ["CA-XX"], geo.region_code(F.col("a"))) is None
+    derived = lambda *v: tuple(one(spark, list(v), geo.derived_province(F.col("a"), F.col("b"), F.col("c"))))
+    assert derived("on", "QC", "QC") == ("ON", "own", False, False) and derived(None, "QC", "ON") == ("QC", "postal", True, False)
+    assert derived("Ontario", None, "ON") == ("ON", "city", False, False) and derived(None, None, None) == (None, None, False, True)
     sim = lambda a, b: one(spark, [a, b], geo.trigram_similarity(geo.trigrams(F.col("a")), geo.trigrams(F.col("b"))))
     assert sim("word", "two words") == pytest.approx(0.363636, abs=1e-5)
     assert sim("", "") == 0.0 and sim("a", "a") == 1.0

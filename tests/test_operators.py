@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.operators import crawl, directory, enrich, first, jobs, payloads, proximity, quality, resolve, skew, upsert
+from orgloom.operators import crawl, directory, enrich, first, jobs, payloads, persist, proximity, quality, report, resolve, skew, upsert
 
 
 def test_first_rows_and_cap(spark, rows):
@@ -78,6 +78,55 @@ def test_crawl_order_and_caps(spark):
     assert {r.url for r in crawl.reach(seeds, edges, pages, max_ok=2).filter("seed = 's'").collect()} == {"s", "a", "b"}
 
 
+@pytest.mark.parametrize("max_ok", [4, None])
+def test_crawl_equals_a_queue(spark, max_ok):
+    random.seed(9)
+    n = 40
+    links = {i: random.sample(range(n), random.randint(0, 4)) for i in range(n)}
+    fine = {i: random.random() > 0.25 for i in range(n)}
+    edges = spark.createDataFrame([(str(i), str(t), k) for i, ts in links.items() for k, t in enumerate(ts)], "url string, target string, position int")
+    pages = spark.createDataFrame([(str(i), ok) for i, ok in fine.items()], "url string, ok boolean")
+    seeds = spark.createDataFrame([("0", False), ("7", False), ("9", True)], "seed string, single boolean")
+    want = {}
+    for seed, single in ((0, False), (7, False), (9, True)):
+        queue, seen, good, place = [seed], {seed}, 0, 0
+        while queue and (max_ok is None or good < max_ok):
+            at = queue.pop(0)
+            place += 1
+            want[(str(seed), str(at))] = place
+            if fine[at]:
+                good += 1
+                if single:
+                    break
+                for t in links[at]:
+                    if t not in seen:
+                        seen.add(t)
+                        queue.append(t)
+    assert {(r.seed, r.url): r.place for r in crawl.reach(seeds, edges, pages, max_ok=max_ok).collect()} == want
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    n = 40
+    edges = spark.createDataFrame([(f"p{i}", f"p{i + 1}", 0) for i in range(n)], "url string, target string, position int")
+    pages = spark.createDataFrame([(f"p{i}", True) for i in range(n + 1)], "url string, ok boolean")
+    got = crawl.reach(spark.createDataFrame([("p0", False)], "seed string, single boolean"), edges, pages, max_ok=None)
+    assert got.agg(F.max("level"), F.count("*")).first()[:] == (n, n + 1)
+
+
+def test_fetches_are_guarded(spark, rows):
+    page = "x" * 600
+    pages = spark.createDataFrame([("https://a.ca/", "https://a.ca/home", 200, "text/html", page), ("https://a.ca/private", "https://a.ca/private", 200, "text/html", page), ("https://b.ca/private", "https://b.ca/private", 200, "Text/HTML", page), ("https://a.ca/x", None, 503, None, None), ("http://10.0.0.1/", None, 200, "text/html", page)], "url string, final_url string, status int, content_type string, html string")
+    rules = spark.createDataFrame([("https://a.ca", "/private", False), ("https://b.ca", "/private", False)], "origin string, prefix string, allow boolean")
+    urls = pages.select("url").union(spark.createDataFrame([("https://gone.ca/",)], "url string"))
+    got = {r.url: (r.final_url, r.ok, r.fail_reason) for r in crawl.fetch_results(urls, "url", pages, rules, ["b.ca"]).collect()}
+    assert got == {
+        "https://a.ca/": ("https://a.ca/home", True, None), "https://a.ca/private": ("https://a.ca/private", False, "blocked by robots.txt"), "https://b.ca/private": ("https://b.ca/private", True, None), "https://a.ca/x": ("https://a.ca/x", False, "status 503"),
+        "http://10.0.0.1/": ("http://10.0.0.1/", False, "blocked by url_guard: not a public address"), "https://gone.ca/": ("https://gone.ca/", False, "error: connection failed"),
+    }
+    fetched = spark.createDataFrame([("https://a.ca/", "https://a.ca/home/", True, "<a href=sub>1</a><a href='/x.pdf'>2</a><a href='https://www.facebook.com/a'>3</a>"), ("https://b.ca/", "https://b.ca/", False, "<a href='/q'>1</a>")], "url string, final_url string, ok boolean, html string")
+    assert rows(crawl.link_edges(fetched, "url", ["facebook.com"])) == [("https://a.ca/", "https://a.ca/home/sub", 0)]
+
+
 def test_contacts_and_suppression(spark, rows):
     o = spark.createDataFrame([("1", "A@x.ca", "(905) 555-1234", ""), ("2", "b@x.ca", None, "w.ca")], "id string, email string, phone string, website string")
     gone = spark.createDataFrame([("email", "a@X.ca"), ("phone", "905.555.1234"), ("phone", "no digits")], "kind string, value string")
@@ -104,7 +153,60 @@ def test_bands_facets_coverage(spark, rows):
 def test_queue(spark, rows):
     q = spark.createDataFrame([("1", "queued", 3), ("2", "queued", 1), ("3", "done", 0)], "id string, status string, at int")
     assert rows(jobs.claim(q, F.col("status") == "queued", [F.col("at")], 1, "id", {"status": F.lit("running")})) == [("1", "queued", 3), ("2", "running", 1), ("3", "done", 0)]
-    assert jobs.random_claim(q, F.col("status") == "queued", 5, 1).count() == 2
+    assert jobs.random_claim(q, F.col("status") == "queued", 5, "id", 1).count() == 2
+    picked = [[r.id for r in jobs.random_claim(spark.range(200).select(F.col("id").cast("string").alias("id")).repartition(n), F.lit(True), 9, "id", 1).collect()] for n in (1, 7)]
+    assert picked[0] == picked[1]
+
+
+def test_retries_and_key_pool(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    states = lambda *s: F.array(*[F.lit(x).cast("int") for x in s])
+    assert tuple(one(jobs.attempts_until_done(states(503, None, 200, 200), [429, 503], 3))) == (3, 200)
+    assert tuple(one(jobs.attempts_until_done(states(503, 429, 503, 200), [429, 503], 3))) == (3, 503)
+    assert tuple(one(jobs.attempts_until_done(states(404, 200), [429, 503], 3))) == (1, 404)
+    assert tuple(one(enrich.key_pool(states(200, 429, 432, 200, 432, 200), 2))) == (2, 2, 5, True)
+    assert tuple(one(enrich.key_pool(states(500, 200), 1))) == (1, 0, 2, False)
+    assert tuple(one(enrich.key_pool(F.array().cast("array<int>"), 2))) == (0, 0, 0, False)
+
+
+def test_answers_within_budget(spark, rows):
+    slots = spark.createDataFrame([(i, h) for i, h in enumerate(["a", "b", "c", "d", "e"])], "n int, query_hash string")
+    hashes = lambda *h: spark.createDataFrame([(x,) for x in h], "query_hash string")
+    got = enrich.answered(slots, ["n"], hashes("c"), hashes("a", "b", "d", "c"), 2)
+    assert rows(got.select("n", "source", "credits")) == [(0, "live", 0), (1, "live", 1), (2, "cache", 2), (3, "none", 2), (4, "none", 2)]
+    assert {r.source for r in enrich.answered(slots, ["n"], hashes("c"), hashes("a"), 2, offline=True).collect()} == {"cache", "none"}
+
+
+def test_organisation_of_jobs(spark, rows):
+    j = spark.createDataFrame([("1", "https://www.a.ca/", "a.ca", None), ("2", "http://b.ca", "b.ca", None), ("3", "c.ca", "c.ca", "own"), ("4", "https://new.ca", "new.ca", None), ("5", "https://nowhere.ca", None, None)], "id string, url string, domain string, org_id string")
+    c = spark.createDataFrame([("x", "http://a.ca", "o1", 2), ("w", "http://a.ca/", None, 1), ("y", "https://b.ca/", None, 1), ("z", "new.ca", None, 1)], "id string, website string, resolved_org_id string, created_at int")
+    o = spark.createDataFrame([("o2", "http://www.b.ca/"), ("o9", None)], "id string, website string")
+    assert rows(jobs.organisation_of_jobs(j, c, o)) == [("1", "o1", "x", False), ("2", "o2", "y", False), ("3", "own", None, False), ("4", "new:z", "z", True), ("5", None, None, False)]
+
+
+def test_running_sums_equal_the_loop(spark):
+    random.seed(5)
+    data = [(random.choice([None, "x", "y"]), random.randint(0, 30), i, random.randint(0, 9)) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, o int, i int, v int")
+    got = {r.i: r.t for r in first.running_sum(df, ["k"], ["o", "i"], "v", "t", parts=7).collect()}
+    tied = {r.i: r.t for r in first.running_sum(df, ["k"], ["o"], "v", "t", parts=7).collect()}
+    for k, o, i, _ in data:
+        assert got[i] == sum(v for k2, o2, i2, v in data if k2 == k and (o2, i2) < (o, i))
+        assert tied[i] == sum(v for k2, o2, i2, v in data if k2 == k and o2 < o)
+    assert first.running_sum(df.limit(0), ["k"], ["o"], "v", "t").count() == 0
+    places = {r.i: r.nr for r in first.numbered(df, [-F.col("o"), F.col("i")], "nr").collect()}
+    assert [i for i, _ in sorted(places.items(), key=lambda x: x[1])] == [d[2] for d in sorted(data, key=lambda d: (-d[1], d[2]))] and sorted(places.values()) == list(range(1, 201))
+
+
+def test_leads(spark, rows):
+    cols = "org string, domain string, field string, value string, source_url string, site_host string, domain_host string, rule string, status string, id int"
+    rows_ = [("Noor", "n.ca", "email", "I@n.ca", "https://x.org/", "x.org", "n.ca", "email_third_party", "open", 1), ("NOOR", "n.ca", "email", "i@N.ca", None, "", "n.ca", "email_domain_match", "applied", 2), ("Ada", None, "fax", "1", None, "", "", "no such rule", "open", 3)]
+    got = report.lead_rows(spark.createDataFrame(rows_, cols), "id")
+    assert [tuple(r) for r in report.leads_in_order(got).collect()] == [("NOOR", "Email", "i@N.ca", "", "n.ca", "confirmed", "Email on the organisation's own domain", True), ("Ada", "fax", "1", "", "", "review", "Not yet checked by a rule", False)]
+    assert tuple(report.lead_counts(got).first()) == (2, 1, 1)
+    assert report.leads_page(got, "review", "ADA").count() == 1 and report.leads_page(got, "confirmed", "ada").count() == 0
+    text_ = lambda n, k: spark.range(1).select(report.window_text(k, 25, F.lit(n)).alias("x")).first().x
+    assert [text_(60, 1), text_(60, 3), text_(60, 9), text_(0, 1)] == ["1-25 of 60", "51-60 of 60", "51-60 of 60", "0-0 of 0"]
 
 
 def test_slots(spark):
@@ -123,25 +225,63 @@ def test_proposals(spark, rows):
     assert rows(enrich.still_missing(targets, got, "id").select("id")) == [(2,)]
 
 
+ANSWERS = [
+    ("a", '```json\n{"emails": ["i@x.ca", {"value": "I@x.ca ", "source_url": "u"}, {"value": "no@x.ca", "source_url": "u"}], "socials": ["https://fb.com/p?a=1&b=2", "https://nowhere.org/p"], "contact_forms": ["https://x.ca/contact"], "raw_context": [{"text": "t", "source_url": "u"}]}\n```'),
+    ("b", "[1]"),
+    ("c", '{"other": []}'),
+    ("d", None),
+    ("e", "no contacts found"),
+    ("f", '{"emails": [{"value": "x"}]}'),
+    ("g", '{"emails": [{"value": "x", "source_url": "u", "page": 1}]}'),
+    ("h", '{"socials": [{"platform": "myspace", "value": "x", "source_url": "u"}]}'),
+    ("i", '{"raw_context": ["bare"]}'),
+    ("j", '{"phones": "416"}'),
+    ("k", "{}"),
+]
+
+
 def test_payloads(spark, rows):
-    answers = [
-        ("a", '```json\n{"emails": ["i@x.ca", {"value": "I@x.ca ", "source_url": "u"}, {"value": "no@x.ca"}], "socials": ["https://fb.com/p", "https://nowhere.org/p"], "contact_forms": ["https://x.ca/contact"]}\n```'),
-        ("b", "[1]"),
-        ("c", '{"other": []}'),
-        ("d", None),
+    responses = spark.createDataFrame(ANSWERS, "k string, t string")
+    pages = spark.createDataFrame([("a", 2, "https://x.ca/2", "<p>I@x.ca i@x.ca</p><a href='https://x.ca/contact/'>"), ("a", 1, "https://x.ca/1", "https://fb.com/p?a=1&amp;b=2&amp;c=3")], "k string, o int, u string, h string")
+    kept, dropped, errors = payloads.extracted(responses, pages, "k", "t", "o", "u", "h")
+    assert rows(errors) == [("b", "not an object"), ("c", "unknown part"), ("d", "not JSON"), ("e", "not JSON"), ("f", "emails out of shape"), ("g", "emails out of shape"), ("h", "socials out of shape"), ("i", "raw_context out of shape"), ("j", "phones out of shape")]
+    assert rows(kept.select("kind", "value", "source_url", "platform")) == [
+        ("contact_forms", "https://x.ca/contact", "https://x.ca/2", None), ("emails", "i@x.ca", "https://x.ca/2", None), ("raw_context", "t", "u", None), ("socials", "https://fb.com/p?a=1&b=2", "https://x.ca/1", "facebook"),
     ]
-    parsed = payloads.parse(spark.createDataFrame(answers, "k string, t string"), "k", "t")
-    assert rows(parsed.filter("error is not null").select("k", "error")) == [("b", "not an object"), ("c", "unknown part"), ("d", "not an object")]
-    shaped = payloads.shape(parsed)
-    pages = spark.createDataFrame([("a", "<p>I@x.ca https://fb.com/p?x=1</p><a href='https://x.ca/contact/'>")], "k string, html string")
-    checked = payloads.verified(payloads.distinct_items(shaped, "k"), pages, "k", "html")
-    assert rows(checked.select("kind", "value", "verbatim")) == [("contact_forms", "https://x.ca/contact", True), ("emails", "i@x.ca", True), ("emails", "no@x.ca", False), ("socials", "https://fb.com/p", True)]
-    assert rows(payloads.dropped_counts(checked)) == [("emails", 1)]
+    assert rows(payloads.dropped_counts(dropped)) == [("emails", 1)]
+    short = payloads.extracted(responses, pages, "k", "t", "o", "u", "h", cap=60)[0]
+    assert rows(short.select("kind")) == [("raw_context",), ("socials",)]  # the second page isn't shown to the model
+    assert [x.count() for x in payloads.extracted(responses.limit(0), pages.limit(0), "k", "t", "o", "u", "h")] == [0, 0, 0]
+
+
+def test_a_page_in_its_own_heading_is_verbatim(spark, rows):
+    responses = spark.createDataFrame([("a", '{"contact_forms": ["https://x.ca/form", "https://x.ca/other"]}')], "k string, t string")
+    pages = spark.createDataFrame([("a", 1, "https://x.ca/form", "<form>"), ("z", 1, None, None)], "k string, o int, u string, h string")
+    assert rows(payloads.extracted(responses, pages, "k", "t", "o", "u", "h")[0].select("value", "source_url")) == [("https://x.ca/form", "https://x.ca/form")]
+
+
+def test_persisted(spark, rows):
+    items = spark.createDataFrame(
+        [("o", "emails", 0, "a@x.ca", "u1", None), ("o", "socials", 0, "https://x.com/a", "u9", "twitter"), ("o", "socials", 1, "https://x.com/a", "u2", "x"), ("o", "raw_context", 1, "second", "u2", None), ("o", "raw_context", 0, "first", "u1", None)],
+        "k string, kind string, seq int, value string, source_url string, platform string",
+    )
+    pages = spark.createDataFrame([("u1", 200, "é"), ("u2", None, None)], "u string, s int, h string")
+    records = persist.source_records(pages, "u", "s", "h", "r", "m")
+    assert {r.url: (r.external_id, r.http_status, r.content_hash[:6]) for r in records.collect()} == {"u1": ("r:u1", 200, "4a99557e4033c3539de2eb65472017cad5f9557f7a0625a09f1c3f6e2ba69c4c"[:6]), "u2": ("r:u2", None, "e3b0c4")}
+    found = persist.contacts(items, "k")
+    assert rows(found) == [("o", "email", "a@x.ca", None, "u1"), ("o", "social", "https://x.com/a", "x", "u2")]
+    assert rows(persist.provenance(found, records.filter("url = 'u1'"), "m").select("value")) == [("a@x.ca",)]
+    assert rows(persist.raw_contexts(items, "k")) == [("o", "--- u1 ---\nfirst\n\n--- u2 ---\nsecond")]
+    assert rows(persist.persisted_counts(found)) == [("o", "email", 1), ("o", "social", 1)]
+    runs = spark.createDataFrame([("r", "d1", 2, 5, 1, None), ("r", "d2", 0, 0, 0, "x" * 900), ("q", "d3", 0, 0, 0, None)], "run string, domain string, pages long, prompt_tokens long, completion_tokens long, error string")
+    got = {r.run: r for r in persist.run_summary(runs, "run", most=1, longest=3).collect()}
+    assert (got["r"].pages_seen, got["r"].orgs_updated, got["r"].rejected, got["r"].error) == (2, 1, 1, '{"tokens":{"prompt":5,"completion":1},"errors":["d2: xxx"]}') and got["q"].error is None
 
 
 def test_shrunk_budgets(spark):
     sizes = spark.range(1).select(payloads.shrunk_budgets(F.lit(200_000.0), F.lit(350_000), 131_072).alias("s")).first().s
     assert len(sizes) == 4 and sizes[0] == 350_000 and all(a > b for a, b in zip(sizes, sizes[1:])) and sizes[-1] >= 20_000
+    assert spark.range(1).select(payloads.shrunk_budgets(F.lit(900_000.0), F.lit(60_000), 131_072).alias("s")).first().s == [60_000]
 
 
 # --- points ---------------------------------------------------------------------------------------
@@ -226,4 +366,7 @@ def test_salted_join_and_totals(spark, rows):
     want = rows(left.join(right, ["k"]))
     assert rows(skew.salted_join(left, right, ["k"], hot=6)) == want and rows(skew.salted_join(left, right, ["k"])) == want
     assert skew.salted_join(left.limit(0), right, ["k"], hot=6).count() == 0
+    large = skew.large_groups(right, ["k"], 10)
+    assert rows(large) == [(1,)] and skew.large_groups(right, ["k"], 60) is None
+    assert rows(skew.salted_join(left, right, ["k"], hot=6, counted=right.join(large, "k", "left_semi"))) == want
     assert rows(skew.with_total(right.filter("k is null or k = 2"), ["k"], "y", "t")) == [(2, 7, 14), (2, 7, 14), (None, 9, 9)]

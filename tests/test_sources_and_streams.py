@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.sources import readers, writers
+from orgloom.sources import readers, schemas, writers
 from orgloom.streaming import ledger
 
 
@@ -17,6 +17,33 @@ def test_tagged_places(spark, tmp_path):
     assert (got["way/2"].lat, got["way/2"].name, got["way/2"].address_line1) == (3.0, None, None)
 
 
+def test_places_by_tags_and_area(spark, rows):
+    cols = "type string, id long, lat double, lon double, center struct<lat:double,lon:double>, tags map<string,string>"
+    tagged = {"amenity": "place_of_worship", "religion": "muslim"}
+    e = spark.createDataFrame([("node", 1, 45.0, -75.0, None, tagged), ("way", 2, None, None, (44.0, -76.0), tagged), ("relation", 3, 45.0, -75.0, None, tagged), ("node", 4, 45.0, -75.0, None, {"amenity": "cafe"}), ("node", 5, 10.0, -75.0, None, tagged), ("node", 6, 45.0, -75.0, None, None)], cols)
+    assert rows(readers.place_rows(e, tagged, (-141.0, 41.0, -52.0, 84.0)).select("external_id")) == [("node/1",), ("way/2",)]
+
+
+def test_first_by_platform(spark):
+    df = spark.createDataFrame([(["https://Facebook.com/a", "https://facebook.com/b", "https://instagram.com/c", "https://x.org"],), (None,)], "a array<string>")
+    assert [r.m for r in df.select(readers.first_by_platform(F.col("a")).alias("m")).collect()] == [{"facebook": "https://Facebook.com/a", "instagram": "https://instagram.com/c"}, {}]
+
+
+def test_kept_answers_are_replaced(spark, rows, tmp_path):
+    cols = "query_hash string, results array<struct<title:string,url:string,content:string>>"
+    writers.keep_answers(spark.createDataFrame([("a", [("t", "u1", "c")]), ("b", [("t", "u2", "c")])], cols), str(tmp_path / "one"))
+    kept = spark.read.schema(cols).json(str(tmp_path / "one"))
+    writers.keep_answers(spark.createDataFrame([("a", [("t", "u3", "c")])], cols), str(tmp_path / "two"), kept)
+    assert rows(readers.kept_answers(spark, str(tmp_path / "two")).select("query_hash", "url")) == [("a", "u3"), ("b", "u2")]
+
+
+def test_tables_are_made_once(spark, tmp_path):
+    made = schemas.create_tables(spark, str(tmp_path), dry_run=True)
+    assert made == list(schemas.TABLES) and not list(tmp_path.iterdir())
+    assert schemas.create_tables(spark, str(tmp_path)) == made and schemas.create_tables(spark, str(tmp_path)) == []
+    assert spark.read.parquet(str(tmp_path / "contacts.parquet")).count() == 0
+
+
 def test_answers_and_release(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"query_hash": "h", "results": [{"title": "t", "url": "u", "content": "c"}]}\nnot json\n{"query_hash": "g", "results": 5}\n')
     assert [tuple(r) for r in readers.kept_answers(spark, str(tmp_path / "a.json")).collect()] == [("h", 0, "t", "u", "c")]
