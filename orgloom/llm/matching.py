@@ -11,6 +11,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import TaskContext
@@ -47,28 +48,35 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sort_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        out = []
-        for row in b.itertuples(index=False):
-            words = row.own.split()
-            if words and pd.notna(row.place_id):
-                at = f"{int(row.place_id):09d}"
-                out.append((f"1|{at}|{words[0]}|{row.purpose}|{' '.join(words[1:])}", *row))
+        keys, rows = [], []
+        for i, (place, purpose, own, web) in enumerate(zip(b.place_id.tolist(), b.purpose.tolist(), b.own.tolist(), b.web.tolist())):
+            words = own.split()
+            if words and place == place and place is not None:
+                at = f"{int(place):09d}"
+                keys.append(f"1|{at}|{words[0]}|{purpose}|{' '.join(words[1:])}")
                 if len(words) > 1:
-                    out.append((f"2|{at}|{words[-1]}|{row.purpose}|{' '.join(words[:-1])}", *row))
-                out.append((f"3|{at}|{' '.join(sorted(map(sound, words)))}|{row.purpose}", *row))
-            if row.web:
-                out.append((f"4|{row.web}|{row.own}", *row))
-        yield pd.DataFrame(out, columns=["sort_key", *b.columns]).astype({"place_id": "Int32"})
+                    keys.append(f"2|{at}|{words[-1]}|{purpose}|{' '.join(words[:-1])}")
+                keys.append(f"3|{at}|{' '.join(sorted(map(sound, words)))}|{purpose}")
+            if web:
+                keys.append(f"4|{web}|{own}")
+            rows += [i] * (len(keys) - len(rows))
+        out = b.iloc[rows].reset_index(drop=True)
+        out.insert(0, "sort_key", pd.Series(keys, dtype=object))
+        yield out.astype({"place_id": "Int32"})
+
+
+@lru_cache(maxsize=50_000)
+def _words_and_codes(own: str) -> tuple[tuple[str, ...], frozenset[str]]:
+    words = tuple(own.split())
+    return words, frozenset(block_codes(words)) if words else frozenset()
 
 
 class _Profile:
-    __slots__ = ("node", "place", "purpose", "given", "own", "codes", "web", "order")
+    __slots__ = ("node", "place", "purpose", "given", "name", "web")
 
     def __init__(self, key, node, side, place, purpose, given, own, web) -> None:
-        self.order = key
-        self.node, self.place = node, None if pd.isna(place) else int(place)
-        self.purpose, self.given, self.own, self.web = purpose, given, tuple(own.split()), web or None
-        self.codes = frozenset(block_codes(self.own)) if self.own else frozenset()
+        self.node, self.place = node, None if place is None or place != place else int(place)
+        self.purpose, self.given, self.name, self.web = purpose, given, own, web or None
 
 
 def compare(a: _Profile, b: _Profile) -> tuple[float, int, int] | None:
@@ -83,10 +91,16 @@ def compare(a: _Profile, b: _Profile) -> tuple[float, int, int] | None:
     same_place = a.place is not None and a.place == b.place
     if not (same_web or same_place):
         return None
-    like = likeness(a.own, a.given, b.own, b.given) if a.own == b.own or a.codes & b.codes else 0.0
-    if like > 0 and (same_place or same_web):
+    if a.given and b.given and a.given != b.given:
+        like = 0.0
+    elif a.name == b.name:
+        like = 1.0 if a.name else 0.0
+    else:
+        (own_a, codes_a), (own_b, codes_b) = _words_and_codes(a.name), _words_and_codes(b.name)
+        like = 0.0 if codes_a.isdisjoint(codes_b) else likeness(own_a, a.given, own_b, b.given)
+    if like > 0:
         return like, int(same_place), int(same_web)
-    if same_web and not (a.own and b.own):
+    if same_web and not (a.name and b.name):
         return 0.0, int(same_place), 1
     return None
 
@@ -143,7 +157,7 @@ def sorted_neighbours(profiles: DataFrame, window: int = WINDOW) -> DataFrame:
                 beside = ends[max(bisect_left(parts, part) - window, 0) : bisect_left(parts, part)]
             else:
                 beside = ends[bisect_right(parts, part) :][:window][::-1]
-            rows = ((r.side, _Profile(*r)) for b in batches for r in b.itertuples(index=False))
+            rows = ((r[2], _Profile(*r)) for b in batches for r in zip(*(b[c].tolist() for c in columns)))
             found: set = set()
             for pair in _behind(rows, deque((_Profile(*r) for r in beside), maxlen=window)):
                 found.add(pair)
