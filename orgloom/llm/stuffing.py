@@ -12,7 +12,9 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import compress
+from operator import eq, gt
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -77,7 +79,7 @@ def is_function_word(word: str) -> bool:
     return False
 
 
-def features(text: str | None, memory: dict[str, tuple[str, bool]] | None = None) -> tuple[str, list[float]]:
+def features(text: str | None, memory: dict[str, tuple] | None = None) -> tuple[str, list[float]]:
     """(language, features in the order of FEATURES) of a text; all 0 for null, empty and blank texts.
 
     The language is the one most function words are of, '' where there are next to none.
@@ -110,9 +112,21 @@ def features(text: str | None, memory: dict[str, tuple[str, bool]] | None = None
         links += len(m.group(0))
         return " "
 
-    rest = _tag.sub(" ", _url.sub(address, _markdown.sub(take, _anchor.sub(take, raw))))
-    hashes = sum(map(len, _hash.findall(rest)))
-    rest = _count.sub(" ; ", _hash.sub(" ", rest))
+    rest = raw
+    if "<" in rest:
+        rest = _anchor.sub(take, rest)
+    if "](" in rest:
+        rest = _markdown.sub(take, rest)
+    if "." in rest:
+        rest = _url.sub(address, rest)
+    if "<" in rest:
+        rest = _tag.sub(" ", rest)
+    hashes = 0
+    if "#" in rest:
+        hashes = sum(map(len, _hash.findall(rest)))
+        rest = _hash.sub(" ", rest)
+    if "(" in rest:
+        rest = _count.sub(" ; ", rest)
     rest = rest.lower() if rest.isascii() else _marks.sub("", rest).lower()
     memory = {} if memory is None else memory
     words: list[str] = []
@@ -124,58 +138,71 @@ def features(text: str | None, memory: dict[str, tuple[str, bool]] | None = None
             continue
         signs += len(_separator.findall(line.rstrip(" .!?…:;,»|-•/·*"))) + 1
         key = " ".join(found)
-        again += len(found) if key in seen else 0
+        if key in seen:
+            again += len(found)
         seen.add(key)
         words += found
     n = len(words)
     if not n:
         return "", [0.0, links / solid, hashes / solid] + [0.0] * (len(FEATURES) - 3)
-    spoken: Counter[str] = Counter()
-    function, number, content = [False] * n, [False] * n, [True] * n
-    for i, w in enumerate(words):
-        kind = memory.get(w)
-        if kind is None:
+    if len(memory) > 100_000:
+        memory.clear()
+    for w in set(words):
+        if w not in memory:
             bare = _bare_word(w)
-            kind = (_language.get(bare) or ("ar" if is_function_word(bare) else ""), bare)
-            if len(memory) > 100_000:
-                memory.clear()
-            memory[w] = kind
-        words[i] = kind[1]
-        if kind[0]:
-            function[i], content[i] = True, False
-            spoken[kind[0]] += 1
-        elif w[0].isdigit():
-            number[i], content[i] = True, False
+            code = _language.get(bare) or ("ar" if is_function_word(bare) else "")
+            memory[w] = (code, bare, bool(code), not code and w[0].isdigit())
+    kinds = [memory[w] for w in words]
+    words = [k[1] for k in kinds]
+    function, number = [k[2] for k in kinds], [k[3] for k in kinds]
+    content = list(map(eq, function, number))  # neither; no word is both
+    spoken = Counter([k[0] for k in kinds])
+    del spoken[""]
     best, hits = spoken.most_common(1)[0] if spoken else ("", 0)
     language = best if hits >= TOLD * n and hits > (1 if n > 12 else 0) else ""
-    top = sum(c for _, c in Counter(w for w, c in zip(words, content) if c).most_common(5) if c > 2)
-    covered = [False] * n
-    for size, least in REPEATED.items():
-        grams = list(zip(*(words[k:] for k in range(size))))
-        for gram, c in Counter(grams).items() if len(grams) > least else ():
-            if c >= least:
-                break
-        else:
-            continue
-        counts = Counter(grams)
-        for i, gram in enumerate(grams):
-            if counts[gram] >= least and sum(content[i : i + size]) > 1:
+    top = sum(c for _, c in Counter(compress(words, content)).most_common(5) if c > 2)
+    covered = _repeated(words, content)
+    free = sum(map(gt, function, covered))
+    return language, [float(n), links / solid, hashes / solid, sum(function) / n, free / n, sum(number) / n, top / n, sum(covered) / n, again / n, signs / n, _bare(function, number) / n]
+
+
+def _repeated(words: list[str], content: list[bool]) -> list[bool]:
+    """Which words stand in an n-gram that comes again as often as ``REPEATED`` asks, with two words at least that are no function words."""
+    covered = [False] * len(words)
+    grams = list(zip(words, words[1:]))
+    counts = Counter(grams)
+    at = [i for i, gram in enumerate(grams) if counts[gram] > 1]
+    for i in at:
+        if counts[grams[i]] >= REPEATED[2] and content[i] and content[i + 1]:
+            covered[i] = covered[i + 1] = True
+    for size in (3, 4):
+        # a longer one can only come again where both shorter ones in it do
+        shorter = set(at)
+        longer = {i: tuple(words[i : i + size]) for i in at if i + 1 in shorter}
+        counts = Counter(longer.values())
+        at = [i for i, gram in longer.items() if counts[gram] > 1]
+        for i in at:
+            if counts[longer[i]] >= REPEATED[size] and sum(content[i : i + size]) > 1:
                 covered[i : i + size] = [True] * size
-    free = sum(f and not c for f, c in zip(function, covered))
-    bare = [False] * n
-    f = d = 0
-    for i in range(n):
-        f += function[i]
-        d += number[i]
-        if i >= WINDOW:
-            f -= function[i - WINDOW]
-            d -= number[i - WINDOW]
-        if i >= min(WINDOW, n) - 1 and not f and d <= WINDOW_DIGITS:
-            for j in range(i, max(i - WINDOW, -1), -1):
-                if bare[j] and j < i - 1:
-                    break
-                bare[j] = True
-    return language, [float(n), links / solid, hashes / solid, sum(function) / n, free / n, sum(number) / n, top / n, sum(covered) / n, again / n, signs / n, sum(bare) / n]
+    return covered
+
+
+def _bare(function: list[bool], number: list[bool]) -> int:
+    """How many words stand in windows of ``WINDOW`` words (or the whole of a shorter text) without function words and with few numbers."""
+    n, total, start = len(function), 0, 0
+    width = min(WINDOW, n)
+    ends = [i for i, f in enumerate(function) if f] + [n]
+    for end in ends:
+        if end - start >= width:
+            digits, upto = sum(number[start : start + width - 1]), start  # words before upto are counted
+            for i in range(start + width - 1, end):
+                digits += number[i]
+                if digits <= WINDOW_DIGITS:
+                    total += i + 1 - max(upto, i + 1 - width)
+                    upto = i + 1
+                digits -= number[i + 1 - width]
+        start = end + 1
+    return total
 
 
 def document_features(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -183,7 +210,7 @@ def document_features(documents: DataFrame, id_col: str, text_col: str) -> DataF
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, tuple[str, bool]] = {}
+        memory: dict[str, tuple] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -212,11 +239,19 @@ def usual_features(seen: DataFrame) -> DataFrame:
     return of_language.unionByName(long.agg(*quartiles).select(F.lit("").alias("language"), *names))
 
 
-def _above(feature: str, limit: tuple[float, float, float]) -> Column:
-    spreads, least, most = limit
-    q = F.col(f"usual.{feature}")
-    bound = F.greatest(F.least(q[1] + spreads * (q[2] - q[1]), F.lit(most)), F.lit(least))
-    return F.col(feature) >= F.coalesce(bound, F.lit(least))
+def _by_language(usual: dict[str, dict], of: Callable[[dict], float]) -> Column:
+    """A figure made of a language's quartiles, of all texts' for other languages."""
+    named = [F.lit(x) for language, q in usual.items() if language for x in (language, of(q))]
+    rest = F.lit(of(usual.get("", {})))
+    return F.coalesce(F.create_map(*named)[F.col("language")], rest) if named else rest
+
+
+def _bound(feature: str, spreads: float, least: float, most: float) -> Callable[[dict], float]:
+    def of(quartiles: dict) -> float:
+        q = quartiles.get(feature)
+        return float(max(min(q[1] + spreads * (q[2] - q[1]), most), least)) if q else least
+
+    return of
 
 
 def stuffed(documents: DataFrame, id_col: str, text_col: str, marked: float = 0.5, few: float = 0.6, digits: float = 0.13) -> DataFrame:
@@ -238,24 +273,22 @@ def stuffed(documents: DataFrame, id_col: str, text_col: str, marked: float = 0.
     ids aren't. Other columns are ignored.
     """
     seen = cut(document_features(documents, id_col, text_col))
-    usual = usual_features(seen)
-    named = usual.filter("language <> ''").select("language", F.struct(*[c for c in usual.columns if c != "language"]).alias("own"))
-    overall = usual.filter("language = ''").select(F.struct(*[c for c in usual.columns if c != "language"]).alias("overall"))
-    # at most five rows, by construction
-    rows = seen.join(F.broadcast(named), "language", "left").join(F.broadcast(overall)).withColumn("usual", F.coalesce("own", "overall"))
+    usual = {r.language: r.asDict() for r in usual_features(seen).collect()}  # at most five rows
     told, n = F.col("language") != "", F.col("n_words")
-    rows = rows.withColumn("few", F.when(told, F.col("function_share") / F.greatest(F.col("usual.function_share")[1], F.lit(0.05))).otherwise(0.0))
-    top, gram, line, apart = (_above(c, LIMITS[c]) for c in ("top_share", "gram_share", "line_share", "separators"))
-    far = _above("top_share", FAR_TOP)
-    q = F.col("usual.separators")
-    run_on = (n >= 40) & (F.col("separators") < F.greatest(q[1] - NO_SEPARATORS * (q[1] - q[0]), F.lit(0.04)))
+    above = lambda feature, limit: F.col(feature) >= _by_language(usual, _bound(feature, *limit))
+    median = lambda q: float(max(q["function_share"][1], 0.05)) if q.get("function_share") else 0.05
+    rows = seen.withColumn("few", F.when(told, F.col("function_share") / _by_language(usual, median)).otherwise(0.0))
+    top, gram, line, apart = (above(c, LIMITS[c]) for c in ("top_share", "gram_share", "line_share", "separators"))
+    far = above("top_share", FAR_TOP)
+    none = lambda q: float(max(q["separators"][1] - NO_SEPARATORS * (q["separators"][1] - q["separators"][0]), 0.04)) if q.get("separators") else 0.04
+    run_on = (n >= 40) & (F.col("separators") < _by_language(usual, none))
     links = F.col("link_share") + F.col("hash_share")
     heap = links + (1 - F.least(links, F.lit(1.0))) * F.when(n >= 5, F.col("bare_share")).otherwise(0.0)
     plain = F.col("digit_share") < digits
     linked = (links >= marked) & ((F.col("few") < links) | (links >= 0.8) | (n < 25))
     # a line of names has few function words; a heap has next to none
     scarce = F.col("few") < F.when(n < 40, 0.35).otherwise(few)
-    heaped = _above("bare_share", LIMITS["bare_share"]) | ((links > 0) & (heap >= marked))
+    heaped = above("bare_share", LIMITS["bare_share"]) | ((links > 0) & (heap >= marked))
     heaped = heaped & scarce & plain & ((n >= 12) | (links > 0)) & (apart | run_on | far | (links >= 0.3) | (told & (top | (F.col("few") < 0.2))))
     signs = lambda *s: sum((x.cast("int") for x in s), F.lit(0))
     repetitive = (told & (signs(top, gram, line) >= 1) & (F.col("few") < 0.5)) | ((signs(top, gram, line, apart) >= 2) & (F.col("few") < 0.65))
