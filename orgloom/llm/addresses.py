@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgloom.llm.locate import locate
+from orgloom.llm.locate import joined_keys, locate, split_keys
 from orgloom.llm.setjoin import grams
 from orgloom.llm.streets import parse_address
 from orgloom.llm.text import edits
-from orgloom.operators.skew import salted_join
+from orgloom.operators.skew import large_groups, salted_join
 from orgloom.session import cut
 
 #: Cosine similarity of two spellings of one street.
@@ -29,14 +29,14 @@ THRESHOLD = 0.3
 #: A name follows another that is this many times as common if they are similar; names of comparable counts only if they are all but equal.
 COMMONER = 3
 #: An n-gram of a place with more names than this is compared in parts.
-HOT_GRAM = 4_000
+HOT_GRAM = 20_000
 #: A group with more records than this is paired in salted parts.
 HOT_GROUP = 5_000
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        parts = [parse_address(a, tuple(k)) if k is not None else None for a, k in zip(b.address, b.place_keys)]
+        parts = [parse_address(a, split_keys(k)) if k is not None else None for a, k in zip(b.address, b.place_keys)]
         out = b[["key", "place_id", "postal"]].assign(number=[p and p[0] for p in parts], name=[p and p[1] for p in parts], kind=[p and p[2] for p in parts], direction=[p and p[3] for p in parts])
         yield out[out.number.notna()]
 
@@ -92,7 +92,10 @@ def street_spellings(names: DataFrame, threshold: float = THRESHOLD) -> DataFram
     laid = cut(names.mapInPandas(index, "place_id int, name string, n long, gram string, at int, prefix array<string>"))
     a = laid.select("place_id", "gram", F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("prefix").alias("prefix_a"))
     b = laid.select("place_id", "gram", F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("prefix").alias("prefix_b"))
-    met = salted_join(a, b, ["place_id", "gram"], HOT_GRAM).filter((F.abs(F.length("name_a") - F.length("name_b")) <= 3) & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("name_a") > F.col("name_b")))))
+    # a name has an n-gram once, so no n-gram has more names than its place
+    large = large_groups(names, ["place_id"], HOT_GRAM)
+    met = a.join(b, ["place_id", "gram"]) if large is None else salted_join(a, b, ["place_id", "gram"], HOT_GRAM, b.join(large, "place_id", "left_semi"))
+    met = met.filter((F.abs(F.length("name_a") - F.length("name_b")) <= 3) & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("name_a") > F.col("name_b")))))
     met = met.filter((F.col("n_a") * COMMONER <= F.col("n_b")) | ((F.least(F.length("name_a"), F.length("name_b")) > 5) & (F.abs(F.length("name_a") - F.length("name_b")) <= 1)))
     # a pair is kept where its first shared n-gram is
     met = met.filter(~F.arrays_overlap(F.slice("prefix_a", F.lit(1), F.col("at_a")), F.slice("prefix_b", F.lit(1), F.col("at_b")))).select("place_id", "name_a", "n_a", "name_b", "n_b")
@@ -149,7 +152,7 @@ def address_groups(records: DataFrame, places: DataFrame, threshold: float = THR
     located = locate(rows, places, carry=["address", "postal"]).filter("place_id is not null")
     code = F.regexp_replace(F.upper("postal"), r"[^A-Z0-9]", "")
     located = located.withColumn("postal", F.when(code.rlike(r"^[A-Z]\d[A-Z]\d[A-Z]\d$"), code))
-    parsed = cut(located.select("key", "address", "place_id", "place_keys", "postal").mapInPandas(_parse, "key string, place_id int, postal string, number string, name string, kind string, direction string"))
+    parsed = cut(located.select("key", "address", "place_id", joined_keys(), "postal").mapInPandas(_parse, "key string, place_id int, postal string, number string, name string, kind string, direction string"))
     spelled = street_spellings(parsed.groupBy("place_id", "name").agg(F.count(F.lit(1)).alias("n")), threshold)
     parsed = parsed.join(spelled, ["place_id", "name"])
     forms = cut(parsed.groupBy("place_id", "street", "number", "postal", "kind", "direction").agg(F.count(F.lit(1)).alias("rows")))

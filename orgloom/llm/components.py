@@ -28,8 +28,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         step = cut(small.filter("u <> v").distinct())
         # every node hangs on one that hangs on none, and on no other: nothing can move any more
-        hangs = step.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-        if hangs.filter("n > 1").isEmpty() and step.join(hangs.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        ends = step.select(F.col("u").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(step.select(F.col("v").alias("x"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+        if ends.groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).filter("hangs > 1 or (hangs > 0 and holds > 0)").isEmpty():
             break
     members = step.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(members.select(F.col("component").alias("node"), "component").distinct())

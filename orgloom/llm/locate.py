@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +27,16 @@ def forward_area(postal: Column) -> Column:
     return F.when(p != "", p)
 
 
+def joined_keys() -> Column:
+    """``place_keys`` as one text, which goes to Python more cheaply than an array; see ``split_keys``."""
+    return F.array_join("place_keys", "|").alias("place_keys")
+
+
+@lru_cache(maxsize=50_000)
+def split_keys(keys: str | None) -> tuple[str, ...]:
+    return tuple(keys.split("|")) if keys else ()
+
+
 def _usual(rows: DataFrame, key: str, least: float) -> DataFrame:
     """The place that ``least`` of a key's placed rows share."""
     n = rows.filter(F.col(key).isNotNull() & F.col("sure").isNotNull()).groupBy(key, "sure").agg(F.count(F.lit(1)).alias("n"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgloom.llm.locate import host, locate
+from orgloom.llm.locate import host, joined_keys, locate, split_keys
 from orgloom.llm.names import block_codes, likeness, parse_name, sound
 from orgloom.session import cut, cut_in_order
 
@@ -42,7 +42,7 @@ def web_path(website: Column) -> Column:
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        parts = [parse_name(n, tuple(k) if k is not None else ()) for n, k in zip(b.name, b.place_keys)]
+        parts = [parse_name(n, split_keys(k)) for n, k in zip(b.name, b.place_keys)]
         yield b.drop(columns=["name", "place_keys"]).assign(purpose=[p[0] for p in parts], given=[p[1] for p in parts], own=[" ".join(sorted(p[2])) for p in parts])
 
 
@@ -275,7 +275,7 @@ def match_entities(left: DataFrame, right: DataFrame, places: DataFrame, window:
     phone = F.regexp_extract(F.regexp_replace(F.regexp_replace(F.lower(F.col("phone")), r"ext.*$", ""), r"\D", ""), r"^1?(\d{10})$", 1)
     rows = rows.withColumns({"phone": F.when(phone != "", phone), "host": host(F.col("website")), "path": web_path(F.col("website"))})
     placed = locate(rows, places, carry=["side", "name", "host", "path", "lat", "lng", "phone"])
-    parsed = placed.mapInPandas(_parse, "key string, side int, host string, path string, lat double, lng double, phone string, place_id int, purpose string, given string, own string")
+    parsed = placed.withColumn("place_keys", joined_keys()).mapInPandas(_parse, "key string, side int, host string, path string, lat double, lng double, phone string, place_id int, purpose string, given string, own string")
     parsed = cut(parsed)
     names = platforms(parsed)
     web = F.when(F.col("platform"), F.when(F.col("path") != "", F.concat_ws("/", "host", "path"))).otherwise(F.col("host"))

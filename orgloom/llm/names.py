@@ -39,9 +39,14 @@ GIVEN_NAMES = {
 ARTICLES, JOINED_ARTICLES = ["al", "el", "ul"], ["ad", "an", "ar", "as", "ash", "at", "az", "ud", "un", "ur", "us", "ut", "uz"]
 #: Fixed values: "servant of", which is one name with the word behind it.
 SERVANT = ["abd", "abdu", "abdul", "abdal", "abdel", "abdoul", "abdur", "abdar", "abdus", "abdun"]
+_camel, _letters = re.compile(r"(?<=[a-zà-öø-ÿ])(?=[A-Z])"), re.compile(r"[a-z]+")
 _purpose = {w: p for p, words in PURPOSE_WORDS.items() for w in words}
 _empty = set(EMPTY_WORDS)
 _long = [w for w in [*_purpose, *EMPTY_WORDS] if len(w) > 4]
+_by_start: dict[str, list[int]] = {}  # places in _long of words with a first letter, or with a second and third one
+for _i, _w in enumerate(_long):
+    _by_start.setdefault(_w[0], []).append(_i)
+    _by_start.setdefault(_w[1:3], []).append(_i)
 #: Initials of two common kinds of names.
 _initials = {"ic": "centre", "ma": "association", "is": "society", "mc": "centre", "ia": "association"}
 
@@ -54,8 +59,9 @@ def _generic(word: str) -> str | None:
     if word in _empty:
         return ""
     if len(word) > 4:
-        for w in _long:
-            if abs(len(w) - len(word)) < 2 and (w[0] == word[0] or w[1:3] == word[1:3]) and edits(word, w, 1 if len(w) < 8 else 2) <= (1 if len(w) < 8 else 2):
+        for i in sorted({*_by_start.get(word[0], ()), *_by_start.get(word[1:3], ())}):
+            w, most = _long[i], 1 if len(_long[i]) < 8 else 2
+            if abs(len(w) - len(word)) < 2 and edits(word, w, most) <= most:
                 return _purpose.get(w, "")
     return None
 
@@ -76,6 +82,7 @@ def romanised(word: str) -> str:
 
 _given = {romanised(v): k for k, vs in GIVEN_NAMES.items() for v in [k, *vs]}
 _short = {v for vs in GIVEN_NAMES.values() for v in vs if len(v) < 4} | {k for k in GIVEN_NAMES if len(k) < 4}
+_joined_servant, _joined_article = re.compile(r"abd[aeou]{1,2}[lrsn](?=.{3})"), re.compile(r"[ae]l.{3}|a([dnrstz])\1..")
 _article, _joined, _servant = set(ARTICLES), set(JOINED_ARTICLES), set(SERVANT)
 
 
@@ -86,10 +93,12 @@ def given_name(word: str) -> str:
         return ""
     if found := _given.get(romanised(word)):
         return found
-    if m := re.match(r"abd[aeou]{1,2}[lrsn](?=.{3})", word):
+    if word[0] not in "ae":
+        return ""
+    if m := _joined_servant.match(word):
         rest = given_name(word[m.end() :])
         return f"abd{rest}" if rest else ""
-    return _given.get(romanised(word[2:]), "") if re.match(r"[ae]l.{3}|a([dnrstz])\1..", word) else ""
+    return _given.get(romanised(word[2:]), "") if _joined_article.match(word) else ""
 
 
 def without_articles(words: list[str]) -> list[str]:
@@ -115,8 +124,8 @@ def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str,
     The purpose is '' where none is told; a name of general words only has no
     words of its own; a given name that stands alone is the name's own word.
     """
-    spaced = re.sub(r"(?<=[a-zà-öø-ÿ])(?=[A-Z])", " ", name or "")
-    words = re.findall(r"[a-z]+", fold(spaced).replace("'", ""))
+    spaced = _camel.sub(" ", name or "")
+    words = _letters.findall(fold(spaced).replace("'", ""))
     joined: list[str] = []
     for w in words:  # general words torn apart by a stray space
         if joined and len(w) > 1 and len(joined[-1]) > 1 and joined[-1] not in _purpose and w not in _purpose and (joined[-1] + w in _purpose or joined[-1] + w in _empty):
@@ -161,18 +170,20 @@ def parse_name(name: str | None, city_keys: tuple[str, ...] = ()) -> tuple[str,
     return purpose, given, tuple(own)
 
 
-_sounds = [("kh", "k"), ("sh", "x"), ("ch", "x"), ("th", "t"), ("ph", "f"), ("gh", "g"), ("ck", "k"), ("q", "k"), ("c", "k"), ("z", "s"), ("v", "f"), ("j", "g")]
+_digraphs = [("kh", "k"), ("sh", "x"), ("ch", "x"), ("th", "t"), ("ph", "f"), ("gh", "g")]
+_sounds, _silent, _doubled = str.maketrans("qczvj", "kksfg"), str.maketrans("", "", "aeiouywh"), re.compile(r"(.)\1+")
 
 
 @lru_cache(maxsize=30_000)
 def sound(word: str) -> str:
     """A phonetic code: consonants by their sound, doubled ones once, vowels only at the start (as 'a')."""
     s = word
-    for a, b in _sounds:
-        s = s.replace(a, b)
+    if "h" in s:
+        for a, b in _digraphs:
+            s = s.replace(a, b)
+    s = s.replace("ck", "k").translate(_sounds)
     head = "a" if s[:1] in "aeiouy" else s[:1]
-    s = head + re.sub(r"[aeiouywh]", "", s[1:])
-    return re.sub(r"(.)\1+", r"\1", s)
+    return _doubled.sub(r"\1", head + s[1:].translate(_silent))
 
 
 def block_codes(own: tuple[str, ...]) -> list[str]:
@@ -208,10 +219,14 @@ def letters(word: str) -> int:
     letters, repeated ones counted; -1 for words with more repeats than fit.
     """
     bits = more = 0
-    for c in set(word):
-        n, at = word.count(c), 2 * (ord(c) - 97)
-        bits |= (1 if n == 1 else 3) << at
-        more += max(n - 2, 0)
+    for c in word:
+        one = 1 << 2 * (ord(c) - 97)
+        if not bits & one:
+            bits |= one
+        elif not bits & one << 1:
+            bits |= one << 1
+        else:
+            more += 1
     return -1 if more > 6 else bits | ((1 << more) - 1) << 52 | (ord(word[0]) - 96 if word else 0) << LETTER_BITS
 
 

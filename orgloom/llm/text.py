@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from functools import lru_cache
 
@@ -14,10 +13,12 @@ PLAIN = str.maketrans(LOOKALIKES | {"ø": "o", "đ": "d", "ł": "l", "ı": "i",
 @lru_cache(maxsize=20_000)
 def fold(text: str) -> str:
     """Small letters without marks, single spaces; other signs stay."""
-    s = text.lower().translate(PLAIN)
+    s = text.lower()
     if not s.isascii():
-        s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
-    return re.sub(r"\s+", " ", s).strip()
+        s = s.translate(PLAIN)
+        if not s.isascii():
+            s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+    return " ".join(s.split())
 
 
 def jaro_winkler(a: str, b: str, prefix_weight: float = 0.1) -> float:
