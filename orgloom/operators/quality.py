@@ -11,9 +11,9 @@ bottom-up by three aggregations, so no list of values reaches the driver.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orgloom.operators.skew import with_total
 from orgloom.session import cut
 
 MISSING, RARE = "(missing)", "(rare)"
@@ -82,7 +82,8 @@ def with_patterns(counts: DataFrame, min_share: float = 0.01) -> DataFrame:
     patterns = cut(induce_patterns(present.select("column", "value").distinct()))
     shaped = counts.withColumn("exact", _shapes(F.col("value"))["exact"]).join(patterns, ["column", "exact"], "left").drop("exact")
     totals = shaped.filter(F.col("value").isNotNull()).groupBy("column", "pattern").agg(F.sum("n").alias("covered"))
-    totals = totals.withColumn("conforms", (F.col("pattern") != ".+") & (F.col("covered") >= min_share * F.sum("covered").over(W.partitionBy("column")))).drop("covered")
+    totals = with_total(totals, ["column"], "covered", "of_column")
+    totals = totals.withColumn("conforms", (F.col("pattern") != ".+") & (F.col("covered") >= min_share * F.col("of_column"))).drop("covered", "of_column")
     return shaped.join(totals, ["column", "pattern"], "left")
 
 
@@ -113,6 +114,25 @@ def profile(df: DataFrame, load_col: str, columns: list[str], min_share: float =
     )
 
 
+def aggregates(df: DataFrame, load_col: str, columns: list[str]) -> DataFrame:
+    """Standard aggregates of each load and column: ``load_id, column_name, n_rows, n_missing, n_distinct, min_value, max_value, min_length, max_length, top_value, top_n``.
+
+    As in ``profile``, without patterns; equal top counts are decided by the greater value.
+    """
+    n, there = F.col("n"), F.col("value").isNotNull()
+    return value_counts(df, load_col, columns).groupBy(F.col("load").alias("load_id"), F.col("column").alias("column_name")).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(~there, n).otherwise(0)).alias("n_missing"),
+        F.count("value").alias("n_distinct"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.min(F.length("value")).alias("min_length"),
+        F.max(F.length("value")).alias("max_length"),
+        F.max_by("value", F.when(there, F.struct(n, F.col("value")))).alias("top_value"),
+        F.max(F.when(there, n)).alias("top_n"),
+    )
+
+
 def pattern_coverage(df: DataFrame, load_col: str, columns: list[str], min_share: float = 0.01) -> DataFrame:
     """Rows of each load that each pattern of a column covers: ``load_id, column_name, pattern, n_rows``."""
     held = with_patterns(value_counts(df, load_col, columns), min_share).filter(F.col("value").isNotNull())
@@ -142,17 +162,19 @@ def load_departures(df: DataFrame, load_col: str, columns: list[str], min_share:
     missing = held.select("load", "column", F.lit("missing").alias("aspect"), F.when(F.col("value").isNull(), MISSING).otherwise("present").alias("category"), "n")
     pattern = there.select("load", "column", F.lit("pattern").alias("aspect"), F.when(F.col("conforms"), F.col("pattern")).otherwise(RARE).alias("category"), "n")
     kinds = there.select("load", "column", F.lit("kind").alias("aspect"), _kind(F.col("column"), F.col("value")).alias("category"), "n").groupBy("load", "column", "aspect", "category").agg(F.sum("n").alias("n"))
-    common = kinds.groupBy("column", "category").agg(F.sum("n").alias("all")).withColumn("share", F.col("all") / F.sum("all").over(W.partitionBy("column")))
+    common = with_total(kinds.groupBy("column", "category").agg(F.sum("n").alias("all")), ["column"], "all", "of_column").withColumn("share", F.col("all") / F.col("of_column"))
     common = common.filter(F.col("share") >= least_kind).select("column", "category", F.lit(True).alias("common"))
     kinds = kinds.join(common, ["column", "category"], "left").withColumn("category", F.when(F.col("common"), F.col("category")).otherwise(RARE)).select("load", "column", "aspect", "category", "n")
-    shares = missing.unionByName(pattern).unionByName(kinds).groupBy("load", "column", "aspect", "category").agg(F.sum("n").alias("n"))
-    in_load, in_all, everywhere = W.partitionBy("load", "column", "aspect"), W.partitionBy("column", "aspect", "category"), W.partitionBy("column", "aspect")
-    shares = shares.withColumns({"of_load": F.sum("n").over(in_load), "of_category": F.sum("n").over(in_all), "of_all": F.sum("n").over(everywhere)})
+    shares = cut(missing.unionByName(pattern).unionByName(kinds).groupBy("load", "column", "aspect", "category").agg(F.sum("n").alias("n")))
+    for by, total in ((["load", "column", "aspect"], "of_load"), (["column", "aspect", "category"], "of_category"), (["column", "aspect"], "of_all")):
+        shares = with_total(shares, by, "n", total)
+    shares = cut(shares)
     elsewhere = F.coalesce(F.try_divide(F.col("of_category") - F.col("n"), F.col("of_all") - F.col("of_load")), F.col("n") / F.col("of_load"))
     spread = shares.select("column", "aspect", "category", (F.col("of_category") / F.col("of_all")).alias("q")).distinct().groupBy("column", "aspect").agg((0.4 * F.sum(F.sqrt(F.col("q") * (1 - F.col("q"))))).alias("spread"))
     far = shares.groupBy("load", "column", "aspect").agg(F.max("of_load").alias("n"), F.sum(F.greatest(F.col("n") / F.col("of_load") - elsewhere, F.lit(0.0))).alias("distance"))
     far = far.join(spread, ["column", "aspect"])
-    repeat = there.select("load", "column", "value", "n").withColumns({"of_load": F.sum("n").over(W.partitionBy("load", "column")), "of_value": F.sum("n").over(W.partitionBy("column", "value"))})
+    repeat = there.select("load", "column", "value", "n")
+    repeat = with_total(with_total(repeat, ["load", "column"], "n", "of_load"), ["column", "value"], "n", "of_value")
     repeat = repeat.join(there.groupBy("column").agg(F.sum("n").alias("of_all")), "column")
     over = F.col("n") / F.col("of_load") - F.coalesce(F.try_divide(F.col("of_value") - F.col("n"), F.col("of_all") - F.col("of_load")), F.col("n") / F.col("of_load"))
     # one copy of a value in a load says nothing of repetition
@@ -161,7 +183,7 @@ def load_departures(df: DataFrame, load_col: str, columns: list[str], min_share:
     return result.select(F.col("load").alias("load_id"), F.col("column").alias("column_name"), "aspect", "n", "distance", (F.col("spread") / F.sqrt("n")).alias("expected"))
 
 
-def departed_loads(df: DataFrame, load_col: str, columns: list[str], least: float = 0.2, strictness: float = 6.0, **settings) -> DataFrame:
+def departed_loads(df: DataFrame, load_col: str, columns: list[str], least: float = 0.1, strictness: float = 6.0, **settings) -> DataFrame:
     """Loads and columns that clearly depart: ``load_id, column_name, aspects``.
 
     A load departs in an aspect if its distance, less what chance gives a load

@@ -18,6 +18,10 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(read(spark, sf_dir, "organizations"), "load_id", PROFILED)
 
 
+def p5_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.aggregates(read(spark, sf_dir, "organizations"), "load_id", PROFILED)
+
+
 def p5_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.pattern_coverage(read(spark, sf_dir, "organizations"), "load_id", PROFILED)
 
@@ -32,9 +36,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select(F.col("id_a").alias("candidate_id_a"), F.col("id_b").alias("candidate_id_b"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_profile": p5_profile, "p5_coverage": p5_coverage, "p7_found": p7_found}
+QUERIES = {"p5_found": p5_found, "p5_profile": p5_profile, "p5_aggregates": p5_aggregates, "p5_coverage": p5_coverage, "p7_found": p7_found}
 
 ORACLES = {
+    "p5_aggregates": """
+        WITH v AS (
+            SELECT load_id, 'email' AS column_name, nullif(email, '') AS raw FROM organizations UNION ALL SELECT load_id, 'phone', phone FROM organizations
+            UNION ALL SELECT load_id, 'province', province FROM organizations
+        ), c AS (SELECT load_id, column_name, CASE WHEN trim(raw) <> '' THEN raw END AS value, count(*) AS n FROM v GROUP BY ALL)
+        SELECT load_id, column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_missing, count(value) AS n_distinct, min(value) AS min_value, max(value) AS max_value,
+            CAST(min(length(value)) AS INT) AS min_length, CAST(max(length(value)) AS INT) AS max_length, max_by(value, {'n': n, 'v': value}) FILTER (value IS NOT NULL) AS top_value, max(n) FILTER (value IS NOT NULL) AS top_n
+        FROM c GROUP BY 1, 2""",
     "p7_found": """
         WITH c AS (
             SELECT id, lat, lng, CAST(floor(lat * 2000) AS INT) AS band FROM org_candidates
