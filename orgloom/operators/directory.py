@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgloom.functions.text import digits
+from orgloom.operators.skew import salted_join
 
 
 def contacts_of(organizations: DataFrame) -> DataFrame:
@@ -61,13 +62,14 @@ def containing(texts: DataFrame, text: str, parts: DataFrame, part: str, size: i
     A part of at least ``size`` characters is looked up by its first ones among
     all pieces of that length of the texts, then compared exactly; shorter
     ones are looked up by all they have. So the join is one of equality, not
-    of all with all. Null and empty parts are contained in nothing.
+    of all with all, and hot pieces are dealt to several tasks. Null and empty parts are contained in nothing.
     """
     parts = parts.filter(F.length(part) > 0).withColumn("__size", F.least(F.length(part), F.lit(size))).withColumn("__piece", F.substring(F.col(part), F.lit(1), F.col("__size")))
     sizes = parts.select("__size").distinct()
     piece = lambda t, n: F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, n))
     cut = texts.join(sizes, F.length(text) >= F.col("__size")).withColumn("__piece", F.explode(F.array_distinct(piece(F.col(text), F.col("__size")))))
-    return cut.join(parts, ["__size", "__piece"]).filter(F.col(text).contains(F.col(part))).drop("__size", "__piece")
+    # pieces that most texts have, such as the beginning of an address, are hot
+    return salted_join(parts, cut, ["__size", "__piece"]).filter(F.col(text).contains(F.col(part))).select(*texts.columns, *[c for c in parts.columns if not c.startswith("__")])
 
 
 def bands(df: DataFrame, value: str, edges: list[int]) -> DataFrame:

@@ -14,6 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orgloom.operators.skew import salted_join
+from orgloom.session import cut
+
 EARTH_RADIUS_M = 6_371_008.8
 #: A cell with more points than this is split into salted parts.
 HOT_CELL = 20_000
@@ -97,7 +100,7 @@ def _inside(lat: Column, lng: Column, ring: Column) -> Column:
     return F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
 
 
-def regions_of(points: DataFrame, regions: DataFrame, id_col: str, lat_col: str, lng_col: str, region_col: str, ring_col: str, cell_degrees: float = 0.25) -> DataFrame:
+def regions_of(points: DataFrame, regions: DataFrame, id_col: str, lat_col: str, lng_col: str, region_col: str, ring_col: str, cell_degrees: float = 0.25, hot_cell: int = HOT_CELL) -> DataFrame:
     """The regions that contain each point: ``id``, ``region`` (null where there is none).
 
     ``ring_col`` holds a polygon as ``array<struct<lat double, lng double>>``,
@@ -105,7 +108,8 @@ def regions_of(points: DataFrame, regions: DataFrame, id_col: str, lat_col: str,
     row with a null region; a point in several regions gets one row for each;
     null or short rings (under three corners) contain nothing; repeated rows
     give one. Regions are laid out over the cells their bounding box touches
-    and meet points by an equality join on the cell.
+    and meet points by an equality join on the cell; the points of cells that hold more
+    than ``hot_cell`` are dealt to several tasks.
     """
     key = points.select(F.col(id_col).alias("id"), F.col(lat_col).cast("double").alias("lat"), F.col(lng_col).cast("double").alias("lng")).distinct()
     good = key.filter(is_coordinate(F.col("lat"), F.col("lng")))
@@ -116,5 +120,5 @@ def regions_of(points: DataFrame, regions: DataFrame, id_col: str, lat_col: str,
         F.col(region_col).alias("region"), F.col(ring_col).alias("ring"), lngs.alias("lngs"), F.explode(F.sequence(floor(F.array_min(lats)), floor(F.array_max(lats)))).alias("row")
     )
     laid = laid.select("region", "ring", "row", F.explode(F.sequence(floor(F.array_min("lngs")), floor(F.array_max("lngs")))).alias("column"))
-    found = good.join(laid, ["row", "column"]).filter(_inside(F.col("lat"), F.col("lng"), F.col("ring"))).select("id", "region").distinct()
+    found = salted_join(laid, cut(good), ["row", "column"], hot_cell).filter(_inside(F.col("lat"), F.col("lng"), F.col("ring"))).select("id", "region").distinct()
     return key.select("id").distinct().join(found, "id", "left")

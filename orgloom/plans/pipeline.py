@@ -85,7 +85,7 @@ ANSWERS_SQL = f"""pages AS (SELECT domain, doc_id, url, text, row_number() OVER
         UNION ALL SELECT domain, 'contact_forms', 0, first_url, first_url, NULL FROM good
         UNION ALL SELECT domain, 'contact_forms', 1, first_url || '/ghost', first_url, NULL FROM good
         UNION ALL SELECT domain, 'socials', 0, 'https://facebook.com/' || split_part(domain, '.', 1), 'https://x.test/', 'facebook' FROM good
-        UNION ALL SELECT domain, 'raw_context', 0, 'about ' || domain, first_url, NULL FROM good UNION ALL SELECT domain, 'raw_context', 1, 'more', NULL, NULL FROM good WHERE false),
+        UNION ALL SELECT domain, 'raw_context', 0, 'about ' || domain, first_url, NULL FROM good),
     checked AS (SELECT i.*, CASE WHEN kind = 'raw_context' THEN true WHEN kind = 'emails' THEN contains(regexp_replace(lower(corpus), '[^a-z0-9]', '', 'g'), regexp_replace(lower(value), '[^a-z0-9]', '', 'g'))
         ELSE len(list_filter(regexp_extract_all(corpus, 'https?://[^\\s"''<>\\\\]+'), lambda u: lower(rtrim(split_part(split_part(replace(u, '&amp;', '&'), '#', 1), '?', 1), '/')) = lower(rtrim(split_part(split_part(value, '#', 1), '?', 1), '/'))
             AND starts_with(substr(split_part(replace(u, '&amp;', '&'), '#', 1), length(split_part(split_part(replace(u, '&amp;', '&'), '#', 1), '?', 1)) + 2), substr(split_part(value, '#', 1), length(split_part(split_part(value, '#', 1), '?', 1)) + 2)))) > 0 END AS verbatim FROM items i JOIN good USING (domain))"""
@@ -199,7 +199,7 @@ def capped_corpora(spark, d):
 
 # --- jobs ------------------------------------------------------------------------------------------
 
-JOBS_SQL = f"""jobs AS (SELECT id, domain, coalesce(source_url, '') AS url, org_id, CASE WHEN status = 'open' THEN 'queued' WHEN status = 'applied' THEN 'done' ELSE 'failed' END AS status, CASE WHEN vetting = 'verified' THEN 'blocked' END AS fail_category, length(field) % 3 AS attempts,
+JOBS_SQL = """jobs AS (SELECT id, domain, coalesce(source_url, '') AS url, org_id, CASE WHEN status = 'open' THEN 'queued' WHEN status = 'applied' THEN 'done' ELSE 'failed' END AS status, CASE WHEN vetting = 'verified' THEN 'blocked' END AS fail_category, length(field) % 3 AS attempts,
     CASE WHEN field = 'phone' THEN created_at + INTERVAL 600 DAY END AS next_attempt_at, created_at AS queued_at, CAST(NULL AS TIMESTAMP) AS started_at, run_id FROM enrichment_proposals)"""
 
 
@@ -212,7 +212,7 @@ def job_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {JOBS_SQL}, big AS (SELECT domain FROM jobs WHERE domain IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, domain LIMIT 3)
+@query(f"""WITH {JOBS_SQL}
     SELECT id, coalesce(status = 'queued' AND (next_attempt_at IS NULL OR next_attempt_at <= {NOW}), false) AS due, coalesce(status <> 'running' AND domain IN ('mosque.example', 'a.test') AND (next_attempt_at IS NULL OR next_attempt_at <= {NOW}), false) AS targeted FROM jobs""")
 def eligible_jobs(spark, d):
     """Jobs that may be claimed, by the queue's rule and by that for named domains."""
@@ -251,7 +251,7 @@ def seed_counts(spark, d):
     return jobs.seeded(read(spark, d, "org_candidates").filter("trim(website) <> ''"), "website", url.BLOCKED_HOSTS)[1]
 
 
-@query(f"""WITH {JOBS_SQL}, o AS (SELECT url, min_by(status, id) AS status, min_by(fail_category, id) FILTER (true) AS fc FROM jobs WHERE url <> '' GROUP BY 1), p AS (SELECT url, min_by({{'s': status, 'f': fail_category}}, id) AS v FROM jobs WHERE url <> '' GROUP BY 1),
+@query(f"""WITH {JOBS_SQL}, p AS (SELECT url, min_by({{'s': status, 'f': fail_category}}, id) AS v FROM jobs WHERE url <> '' GROUP BY 1),
     n AS (SELECT DISTINCT url FROM documents WHERE url IS NOT NULL UNION SELECT url FROM p WHERE length(url) % 2 = 0)
     SELECT coalesce(p.url, n.url) AS url, CASE WHEN p.url IS NULL THEN 'queued' WHEN n.url IS NOT NULL AND p.v.s = 'failed' AND (p.v.f IS NULL OR p.v.f <> 'blocked') THEN 'queued' ELSE p.v.s END AS status FROM p FULL JOIN n ON n.url = p.url""")
 def jobs_requeued(spark, d):
@@ -408,7 +408,7 @@ def hit_proposals(spark, d):
 
 
 @query("""WITH g AS (SELECT org_id, list(DISTINCT CASE WHEN field = 'postal_code' THEN 'province' ELSE field END) AS got FROM enrichment_proposals WHERE org_id IS NOT NULL GROUP BY 1),
-    t AS (SELECT target_id, missing, CAST(org_id AS VARCHAR) AS org_id FROM search_targets), o AS (SELECT id AS org_id, ['email', 'province'] AS missing FROM organizations)
+    o AS (SELECT id AS org_id FROM organizations)
     SELECT o.org_id FROM o LEFT JOIN g USING (org_id) WHERE NOT (list_contains(coalesce(got, []), 'email') AND list_contains(coalesce(got, []), 'province'))""")
 def targets_still_missing(spark, d):
     """Organisations for which proposals don't cover both the address and the province."""
@@ -510,7 +510,7 @@ def directory_bands(spark, d):
     return o.select("id", report.contact_band(F.col("email"), F.col("phone"), n).alias("band"), F.size(F.map_keys(report.shown_links(F.col("social")))).cast("long").alias("n_shown"))
 
 
-@query("""SELECT count(*) AS total, count(*) FILTER (coalesce(email, '') <> '') AS with_email, count(*) FILTER (cardinality(social) > 0) AS with_social, count(*) FILTER (coalesce(confidence, 0) >= 80) AS full FROM organizations""".replace(" AS full", ' AS "full"'))
+@query("""SELECT count(*) AS total, count(*) FILTER (coalesce(email, '') <> '') AS with_email, count(*) FILTER (cardinality(social) > 0) AS with_social, count(*) FILTER (coalesce(confidence, 0) >= 80) AS "full" FROM organizations""")
 def payload_stats(spark, d):
     """Counts of the directory page's payload."""
     return report.payload_counts(report.payload(read(spark, d, "organizations"), F.col("confidence")))
@@ -525,8 +525,8 @@ def page_windows(spark, d):
 
 # --- sources ----------------------------------------------------------------------------------------
 
-@query("""SELECT CASE WHEN length(id) % 2 = 0 THEN 'node/' ELSE 'way/' END || CAST(abs(hash_id) AS VARCHAR) AS external_id, name, CASE WHEN phone <> '' THEN phone END AS phone, nullif(email, '') AS email, nullif(address_line1, '') AS address_line1, nullif(city, '') AS city, lat, lng
-    FROM (SELECT *, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS hash_id FROM org_candidates WHERE source_id = 'osm') WHERE lat BETWEEN 43 AND 60 AND lng BETWEEN -180 AND 180""".replace("name, CASE WHEN phone", "nullif(name, '') AS name, CASE WHEN phone"))
+@query("""SELECT CASE WHEN length(id) % 2 = 0 THEN 'node/' ELSE 'way/' END || CAST(abs(hash_id) AS VARCHAR) AS external_id, nullif(name, '') AS name, CASE WHEN phone <> '' THEN phone END AS phone, nullif(email, '') AS email, nullif(address_line1, '') AS address_line1, nullif(city, '') AS city, lat, lng
+    FROM (SELECT *, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS hash_id FROM org_candidates WHERE source_id = 'osm') WHERE lat BETWEEN 43 AND 60 AND lng BETWEEN -180 AND 180""")
 def place_elements(spark, d):
     """Candidates of a map, put into its elements and read out of them again: by tags and area, with contact tags first."""
     c = read(spark, d, "org_candidates").filter("source_id = 'osm'")
@@ -539,7 +539,7 @@ def place_elements(spark, d):
 
 
 @query("""SELECT id AS external_id, name, phone, website, city, CASE WHEN regexp_replace(upper(trim(province)), '^[A-Z]{2}-', '') IN ('ON', 'QC', 'BC', 'AB', 'SK', 'MB', 'NS', 'NB', 'NL', 'PE', 'NT', 'YT', 'NU') THEN regexp_replace(upper(trim(province)), '^[A-Z]{2}-', '') END AS province, coalesce(social['facebook'], '') AS facebook, lat, lng FROM org_candidates
-    WHERE source_id = 'overture' AND lng BETWEEN -141 AND -52 AND lat BETWEEN 41 AND 84 AND length(id) % 2 = 0""".replace("length(id) % 2 = 0", "(ascii(right(id, 1)) % 3) <> 0"))
+    WHERE source_id = 'overture' AND lng BETWEEN -141 AND -52 AND lat BETWEEN 41 AND 84 AND ascii(right(id, 1)) % 3 <> 0""")
 def open_places(spark, d):
     """Candidates of an open places table, put into its nested columns and read by category, box and country."""
     c = read(spark, d, "org_candidates").filter("source_id = 'overture'")

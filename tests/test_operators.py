@@ -334,11 +334,33 @@ def load_table(spark, n=12, size=60):
     return spark.createDataFrame(data, "load string, phone string, province string, email string, n string")
 
 
+def test_a_hot_cell_of_points_is_dealt_out(spark, rows):
+    points = spark.createDataFrame([(i, 10.01 + i / 1e5, 20.01) for i in range(60)] + [(99, None, 1.0)], "id int, lat double, lng double")
+    ring = lambda a, b: [(a, b), (a, b + 0.1), (a + 0.0004, b + 0.1), (a + 0.0004, b)]
+    regions = spark.createDataFrame([("r", ring(10.01, 20.0)), ("far", ring(50.0, 20.0))], "name string, ring array<struct<lat:double,lng:double>>")
+    of = lambda **k: rows(proximity.regions_of(points, regions, "id", "lat", "lng", "name", "ring", **k))
+    assert of(hot_cell=7) == of() and sum(r is not None for _, r in of()) in (40, 41) and (99, None) in of()
+
+
 def test_departed_loads(spark, rows):
     df = load_table(spark)
     assert rows(quality.departed_loads(df, "load", ["phone", "province", "email"]).select("load_id", "column_name")) == [("l3", "phone"), ("l5", "province"), ("l8", "email")]
 
 
+def test_loads_a_tenth_of_whose_values_depart(spark, rows):
+    """A fifth of one load's addresses is written in another way; nothing else differs."""
+    random.seed(4)
+    data = [(f"l{k}", f"{random.choice('abcdef')}{i}@{random.choice(['x', 'y', 'z'])}.ca" if not (k == 3 and i % 5 == 0) else f"MAIL TO {i} AT X") for k in range(12) for i in range(400)]
+    df = spark.createDataFrame(data, "load string, email string")
+    assert rows(quality.departed_loads(df, "load", ["email"]).select("load_id", "column_name")) == [("l3", "email")]
+
+
+def test_aggregates(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", " "), ("a", None), (None, "yy"), ("b", None)], "load string, v string")
+    assert rows(quality.aggregates(df, "load", ["v"])) == sorted([("a", "v", 4, 2, 1, "x", "x", 1, 1, "x", 2), (None, "v", 1, 0, 1, "yy", "yy", 2, 2, "yy", 1), ("b", "v", 1, 1, 0, None, None, None, None, None, None)], key=repr)
+    assert quality.aggregates(df.limit(0), "load", ["v"]).count() == 0
+
+
 def test_profile(spark):
     got = {(r.load_id, r.column_name): r for r in quality.profile(load_table(spark), "load", ["phone", "province"]).collect()}
     assert got["l3", "phone"].n_rows == 60 and got["l3", "phone"].n_missing > 50

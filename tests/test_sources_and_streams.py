@@ -97,3 +97,15 @@ def test_spaced_stream(spark, tmp_path):
     df = spark.createDataFrame([("h", 0.0), ("h", 0.4), ("h", 5.0), ("g", 0.1)], "host string, at double")
     got = run(ledger.spaced_starts(stream_of(spark, tmp_path, df), "host", "at", 1.0), "spaced")
     assert sorted((r.host, r.at, r.start) for r in got.collect()) == [("g", 0.1, 0.1), ("h", 0.0, 0.0), ("h", 0.4, 1.0), ("h", 5.0, 5.0)]
+
+
+def test_ticks_see_each_row_once(spark, tmp_path):
+    seen = []
+    df = spark.createDataFrame([(1,), (2,)], "i int")
+    stream = stream_of(spark, tmp_path, df)
+    tick = lambda: ledger.in_batches(stream, lambda b, n: seen.extend(r.i for r in b.collect()), str(tmp_path / "kept")).awaitTermination(120)
+    tick()
+    tick()
+    spark.createDataFrame([(3,)], "i int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    tick()
+    assert sorted(seen) == [1, 2, 3]
