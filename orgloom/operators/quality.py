@@ -187,12 +187,12 @@ def departed_loads(df: DataFrame, load_col: str, columns: list[str], least: floa
     """Loads and columns that clearly depart: ``load_id, column_name, aspects``.
 
     A load departs in an aspect if its distance, less what chance gives a load
-    of its size (twice over), is at least ``least`` and lies ``strictness``
+    of its size (three times over), is at least ``least`` and lies ``strictness``
     median deviations above the median of all loads of that column and aspect.
     A table with a single load departs from nothing; nor does an empty one.
     Loads with a null id aren't reported.
     """
-    far = cut(load_departures(df, load_col, columns, **settings).withColumn("excess", F.col("distance") - 2 * F.col("expected")))
+    far = cut(load_departures(df, load_col, columns, **settings).withColumn("excess", F.col("distance") - 3 * F.col("expected")))
     usual = far.groupBy("column_name", "aspect").agg(F.median("excess").alias("usual"))
     far = far.join(usual, ["column_name", "aspect"])
     off = far.groupBy("column_name", "aspect").agg(F.median(F.abs(F.col("excess") - F.col("usual"))).alias("off"))
