@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orgloom.operators import crawl, directory, enrich, first, jobs, payloads, persist, proximity, quality, report, resolve, skew, upsert
+from orgloom.operators import contained, crawl, directory, enrich, first, jobs, payloads, persist, proximity, quality, report, resolve, skew, upsert
+from orgloom.plans import expressions
 
 
 def test_first_rows_and_cap(spark, rows):
@@ -392,3 +393,30 @@ def test_salted_join_and_totals(spark, rows):
     assert rows(large) == [(1,)] and skew.large_groups(right, ["k"], 60) is None
     assert rows(skew.salted_join(left, right, ["k"], hot=6, counted=right.join(large, "k", "left_semi"))) == want
     assert rows(skew.with_total(right.filter("k is null or k = 2"), ["k"], "y", "t")) == [(2, 7, 14), (2, 7, 14), (None, 9, 9)]
+
+
+def test_contained_equals_the_loop():
+    random.seed(5)
+    word = lambda a, b: "".join(random.choice("abé") for _ in range(random.randint(a, b)))
+    needles, hays = list({word(1, 14) for _ in range(150)} | {""}), [word(0, 60) for _ in range(60)] + ["", "x" + "ab" * 30]
+    hays += [random.choice(hays) + random.choice(needles) for _ in range(30)]
+    want = [sorted(n for n in needles if n and n in h) for h in hays]
+    assert [sorted(x) for x in contained.contained(needles, hays)] == want and any(len(n) > 8 for x in want for n in x)
+    assert contained.contained(needles, ["", ""]) == [[], []] and contained.contained([], ["a"]) == [[]]
+
+
+def site_tables(spark, at, organisations, documents):
+    spark.createDataFrame(organisations, "id string, name string, website string").write.parquet(f"{at}/organizations.parquet")
+    spark.createDataFrame(documents, "doc_id long, domain string, text string").write.parquet(f"{at}/documents.parquet")
+
+
+def test_names_on_a_domain_of_many(spark, rows, tmp_path):
+    """Names are searched for once in each document, not pair by pair, and no pair is lost."""
+    names = [f"Centre {i} of Place" for i in range(250)] + ["!?", None]
+    organisations = [(f"o{i}", n, "https://www.p.example/x") for i, n in enumerate(names)] + [("q1", "Small", "http://q.example"), ("q2", "!", "http://q.example")]
+    documents = [(1, "p.example", "centre-7 of pla-ce, CENTRE 123 OF PLACE"), (2, "p.example", ""), (3, "p.example", None), (4, "q.example", "a S-mall one"), (5, "r.example", "x")]
+    site_tables(spark, tmp_path, organisations, documents)
+    got = expressions.REGISTRY.queries["verbatim_names"](spark, str(tmp_path))
+    assert "array_contains" in got._jdf.queryExecution().optimizedPlan().toString()
+    want = [(f"o{i}", d, d == 1 and i in (7, 123)) for i in range(251) for d in (1, 2)] + [("q1", 4, True), ("q2", 4, False)]
+    assert rows(got) == sorted(want, key=repr)
