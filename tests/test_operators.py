@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from orgloom.functions import text, url
 from orgloom.operators import contained, crawl, directory, enrich, first, jobs, payloads, persist, proximity, quality, report, resolve, skew, upsert
 from orgloom.plans import expressions
 
@@ -420,3 +421,18 @@ def test_names_on_a_domain_of_many(spark, rows, tmp_path):
     assert "array_contains" in got._jdf.queryExecution().optimizedPlan().toString()
     want = [(f"o{i}", d, d == 1 and i in (7, 123)) for i in range(251) for d in (1, 2)] + [("q1", 4, True), ("q2", 4, False)]
     assert rows(got) == sorted(want, key=repr)
+
+
+def test_sites_on_a_domain_of_many(spark, rows, tmp_path):
+    """Sites are searched for once in each document, not pair by pair, and no pair is lost."""
+    sites = [f"https://p.example/{i}/?k={i}&amp;l=2" for i in range(250)] + ["p.example", "HTTPS://P.example/7", "http://www.p.example/a#b"]
+    organisations = [(f"o{i}", "n", w) for i, w in enumerate(sites)] + [("e1", "n", ""), ("q1", "n", "http://q.example/z")] + [(f"e{i + 2}", "n", "") for i in range(205)]
+    texts = ["see https://p.example/7?k=7&l=25 and https://P.example/8/?k=8", "https://p.example/9/?k=9&amp;l=2", "", "http://www.P.example/A/ p.example"]
+    documents = [(i, "p.example", t) for i, t in enumerate(texts)] + [(9, "q.example", "at http://q.example/z?x"), (10, "", "none")]
+    site_tables(spark, tmp_path, organisations, documents)
+    got = expressions.REGISTRY.queries["named_sites"](spark, str(tmp_path))
+    assert "array_contains" in got._jdf.queryExecution().optimizedPlan().toString()
+    o, t = [spark.read.parquet(f"{tmp_path}/{x}.parquet") for x in ("organizations", "documents")]
+    pairs = o.withColumn("domain", url.site_host(F.col("website"))).join(t, "domain")
+    want = rows(pairs.select("id", "doc_id", text.contains_url(F.col("website"), F.col("text")), text.contains_exact(F.col("website"), F.col("text"))))
+    assert rows(got) == want and {r[2:] for r in want} == {(True, True), (True, False), (False, True), (False, False)} and len(want) == 253 * 4 + 1 + 206
