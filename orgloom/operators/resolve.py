@@ -9,30 +9,44 @@ from pyspark.sql import functions as F
 
 from orgloom.functions.geo import flat_km, trigram_similarity, trigrams
 from orgloom.functions.url import site_host, without_scheme
-from orgloom.operators.first import first_rows
+from orgloom.operators.skew import salted_join
+from orgloom.session import cut
 
 #: Half widths of the band within which names are compared, in degrees.
 BAND_LAT, BAND_LNG = 0.0023, 0.0031
+#: Candidates of one cell above which it is dealt to several tasks.
+HOT_CELL = 2_000
 
 
-def _side(df: DataFrame, prefix: str) -> DataFrame:
-    site = without_scheme(F.col("website"))
-    return df.select(
-        F.col("id").alias(f"{prefix}_id"), trigrams(F.coalesce("name", F.lit(""))).alias(f"{prefix}_grams"), F.col("lat").alias(f"{prefix}_lat"), F.col("lng").alias(f"{prefix}_lng"),
-        F.when(site != "", site).alias("site"), F.when(site_host(F.col("website")) != "", site_host(F.col("website"))).alias("host"),
+def _side(df: DataFrame, prefix: str, *others: str) -> DataFrame:
+    """What the tiers compare, written once: pieces of names as 64-bit hashes, how many they are, and two words in which each sets a bit."""
+    site, host = without_scheme(F.col("website")), site_host(F.col("website"))
+    hashes = F.transform(trigrams(F.coalesce("name", F.lit(""))), lambda g: F.xxhash64(g))
+    rows = df.select(
+        F.col("id").alias(f"{prefix}_id"), hashes.alias(f"{prefix}_grams"), F.col("lat").alias(f"{prefix}_lat"), F.col("lng").alias(f"{prefix}_lng"),
+        F.when(site != "", site).alias("site"), F.when(host != "", host).alias("host"), *others,
     )
+    bits = lambda k: F.aggregate(f"{prefix}_grams", F.lit(0).cast("long"), lambda a, h: F.when(h.bitwiseAND(F.lit(64)) == 64 * k, a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))).otherwise(a))
+    return cut(rows.withColumns({f"{prefix}_n": F.size(f"{prefix}_grams"), f"{prefix}_bits0": bits(0), f"{prefix}_bits1": bits(1)}))
 
 
 def _similar() -> Column:
     return trigram_similarity(F.col("c_grams"), F.col("o_grams"))
 
 
+def _may_be_alike(least: float) -> Column:
+    """False only for names less alike than ``least``: a bit that one side alone has comes from a piece that it alone has."""
+    n = F.col("c_n") + F.col("o_n")
+    apart = F.bit_count(F.col("c_bits0").bitwiseXOR(F.col("o_bits0"))) + F.bit_count(F.col("c_bits1").bitwiseXOR(F.col("o_bits1")))
+    return (n - apart) >= (n + apart) * (least - 1e-9)
+
+
 def _near() -> Column:
     return flat_km(F.col("o_lat"), F.col("o_lng"), F.col("c_lat"), F.col("c_lng"))
 
 
-def _near_pairs(c: DataFrame, o: DataFrame, on: str, km: float) -> DataFrame:
-    """Pairs of equal ``on`` at most ``km`` apart, joined by ``on`` and a grid cell together, so a host that many share is cut up by place.
+def _near_pairs(c: DataFrame, o: DataFrame, on: str, km: float, least: float) -> DataFrame:
+    """Pairs of equal ``on`` and like names at most ``km`` apart, joined by ``on`` and a grid cell together, so a host that many share is cut up by place.
 
     Rows of cells are as high as the distance, and columns as wide as it is at
     84 degrees of latitude; beyond that a row is one cell. One side looks into the cells around its own.
@@ -44,44 +58,75 @@ def _near_pairs(c: DataFrame, o: DataFrame, on: str, km: float) -> DataFrame:
     c = c.filter("c_lat is not null and c_lng is not null").withColumn("row", row("c")).withColumn("col", col("c", 0, F.col("row")))
     cells = F.array(*[F.struct((row("o") + i).alias("row"), col("o", j, row("o") + i).alias("col")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     o = o.filter("o_lat is not null and o_lng is not null").withColumn("cell", F.explode(F.array_distinct(cells))).select("*", "cell.row", "cell.col").drop("cell")
-    return c.join(o, [on, "row", "col"]).filter(_near() <= km).drop("row", "col")
+    return c.join(o, [on, "row", "col"]).filter(_may_be_alike(least) & (_near() <= km) & (_similar() >= least)).drop("row", "col")
+
+
+def _same_path(c: DataFrame, o: DataFrame) -> DataFrame:
+    path = F.col("site").contains("/")
+    return c.filter(path).select("c_id", "site").join(o.filter(path).select("o_id", "site"), "site")
 
 
 def exact_tier(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, least: float = 0.45) -> DataFrame:
     """Pairs of one web address: if it has a path, or else if the two are near and of a like name."""
-    c, o = _side(candidates, "c").drop("host"), _side(organizations, "o").drop("host")
-    path = F.col("site").contains("/")
-    both = c.filter(path).join(o.filter(path), "site").unionByName(_near_pairs(c.filter(~path), o.filter(~path), "site", km).filter(_similar() >= least))
+    c, o, path = _side(candidates, "c").drop("host"), _side(organizations, "o").drop("host"), F.col("site").contains("/")
+    both = _same_path(c, o).select("c_id", "o_id").unionByName(_near_pairs(c.filter(~path), o.filter(~path), "site", km, least).select("c_id", "o_id"))
     return both.select(F.col("c_id").alias("candidate_id"), F.col("o_id").alias("org_id"), F.lit("exact").alias("tier"), F.lit(1.0).alias("score"))
 
 
 def domain_tier(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, least: float = 0.45) -> DataFrame:
     """Pairs of one host, near and of a like name, where just one organisation is."""
-    both = _near_pairs(_side(candidates, "c").drop("site"), _side(organizations, "o").drop("site"), "host", km).filter(_similar() >= least)
-    one = both.groupBy("c_id").agg(F.min("o_id").alias("org_id"), F.count_distinct("o_id").alias("n")).filter("n = 1")
+    both = _near_pairs(_side(candidates, "c").drop("site"), _side(organizations, "o").drop("site"), "host", km, least)
+    one = both.groupBy("c_id").agg(F.min("o_id").alias("org_id"), F.max("o_id").alias("last")).filter("org_id = last")
     return one.select(F.col("c_id").alias("candidate_id"), "org_id", F.lit("domain").alias("tier"), F.lit(0.9).alias("score"))
 
 
-def geoname_tier(candidates: DataFrame, organizations: DataFrame, least: float = 0.55) -> DataFrame:
-    """Pairs within the band of latitude and longitude whose names are alike.
+def _within_band(c: DataFrame, o: DataFrame, least: float) -> DataFrame:
+    """``c_id, o_id, score`` of the pairs within the band whose names are alike.
 
     A band join would compare all with all; here both sides get a cell of a
     little more than the band, one side also its eight neighbours, and the exact band is
-    tested after the equality join. Each pair meets in one cell.
+    tested after the equality join. Each pair meets in one cell; cells of many
+    candidates, as those of made-up coordinates, are dealt to several tasks.
     """
     row = lambda c: F.floor(F.col(c) / (BAND_LAT * 1.01)).cast("long")
     col = lambda c: F.floor(F.col(c) / (BAND_LNG * 1.01)).cast("long")
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    c = _side(candidates, "c").drop("site", "host").filter("c_lat is not null and c_lng is not null").withColumns({"row": row("c_lat"), "col": col("c_lng")})
-    o = _side(organizations, "o").drop("site", "host").filter("o_lat is not null and o_lng is not null").withColumn("around", around)
+    c = c.drop("site", "host").filter("c_lat is not null and c_lng is not null").withColumns({"row": row("c_lat"), "col": col("c_lng")})
+    o = o.drop("site", "host", "last").filter("o_lat is not null and o_lng is not null").withColumn("around", around)
     o = o.withColumns({"row": row("o_lat") + F.col("around.i"), "col": col("o_lng") + F.col("around.j")}).drop("around")
-    both = c.join(o, ["row", "col"]).filter((F.abs(F.col("c_lat") - F.col("o_lat")) <= BAND_LAT) & (F.abs(F.col("c_lng") - F.col("o_lng")) <= BAND_LNG))
-    both = both.withColumn("score", _similar()).filter(F.col("score") >= least)
+    near = (F.abs(F.col("c_lat") - F.col("o_lat")) <= BAND_LAT) & (F.abs(F.col("c_lng") - F.col("o_lng")) <= BAND_LNG)
+    both = salted_join(o, c, ["row", "col"], hot=HOT_CELL).filter(near & _may_be_alike(least)).withColumn("score", _similar())
+    return both.filter(F.col("score") >= least).select("c_id", "o_id", "score")
+
+
+def geoname_tier(candidates: DataFrame, organizations: DataFrame, least: float = 0.55) -> DataFrame:
+    """Pairs within the band of latitude and longitude whose names are alike."""
+    both = _within_band(_side(candidates, "c"), _side(organizations, "o"), least)
     return both.select(F.col("c_id").alias("candidate_id"), F.col("o_id").alias("org_id"), F.lit("geoname").alias("tier"), "score")
 
 
-def resolve(candidates: DataFrame, organizations: DataFrame) -> DataFrame:
-    """One organisation for each candidate that any tier finds: the earliest tier, in it the best score, then the smallest id."""
-    rank = F.when(F.col("tier") == "exact", 1).when(F.col("tier") == "domain", 2).otherwise(3)
-    found = exact_tier(candidates, organizations).unionByName(domain_tier(candidates, organizations)).unionByName(geoname_tier(candidates, organizations))
-    return first_rows(found, ["candidate_id"], [rank, F.desc("score"), F.col("org_id")])
+def resolve(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, least: float = 0.45, least_near: float = 0.55) -> DataFrame:
+    """One organisation for each candidate that any tier finds: the earliest tier, in it the best score, then the smallest id.
+
+    Rows of equal name, site and place are compared once, of candidates by a 64-bit hash, of organisations as the
+    smallest and the largest id. Both sides are written once. Pairs near under one host are made once for two tiers, as an address without
+    a path is a host, and each tier is brought down to a row for a candidate before they meet.
+    """
+    alike = ["name", "website", "lat", "lng"]
+    known = [F.isnull(x) for x in alike]  # else null and a value could change places
+    candidates = candidates.select("id", F.xxhash64(*known, *alike).alias("key"), *alike)
+    organizations = organizations.groupBy(*alike).agg(F.min("id").alias("id"), F.max("id").alias("last"))
+    c, o = _side(candidates.dropDuplicates(["key"]).drop("id").withColumnRenamed("key", "id"), "c"), _side(organizations, "o", "last")
+    path = _same_path(c, o).groupBy("c_id").agg(F.min("o_id").alias("org"))
+    same = (F.col("c_site") == F.col("o_site")) & ~F.col("c_site").contains("/")
+    near = _near_pairs(c.withColumnRenamed("site", "c_site"), o.withColumnRenamed("site", "o_site"), "host", km, least).select("c_id", "o_id", "last", same.alias("same"))
+    near = near.groupBy("c_id").agg(F.min(F.when(F.col("same"), F.col("o_id"))).alias("org"), F.min("o_id").alias("first"), F.max("last").alias("last"))
+    # of a candidate only the earliest tier counts, so its row of the hosts is either exact or the domain's
+    near = near.withColumn("rank", F.when(F.col("org").isNotNull(), 1).when(F.col("first") == F.col("last"), 2))
+    hosts = near.filter("rank is not null").select("c_id", F.struct("rank", F.when(F.col("rank") == 1, -1.0).otherwise(-0.9).alias("less"), F.coalesce("org", "first").alias("org_id")).alias("best"))
+    paths = path.select("c_id", F.struct(F.lit(1).alias("rank"), F.lit(-1.0).alias("less"), F.col("org").alias("org_id")).alias("best"))
+    cells = _within_band(c, o, least_near).groupBy("c_id").agg(F.min(F.struct(F.lit(3).alias("rank"), (-F.col("score")).alias("less"), F.col("o_id").alias("org_id"))).alias("best"))
+    found = paths.unionByName(hosts).unionByName(cells).groupBy("c_id").agg(F.min("best").alias("best"))
+    tier = F.when(F.col("best.rank") == 1, "exact").when(F.col("best.rank") == 2, "domain").otherwise("geoname")
+    found = candidates.select("id", "key").join(found, F.col("key") == F.col("c_id"))
+    return found.select(F.col("id").alias("candidate_id"), F.col("best.org_id").alias("org_id"), tier.alias("tier"), (-F.col("best.less")).alias("score"))

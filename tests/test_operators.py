@@ -436,3 +436,35 @@ def test_sites_on_a_domain_of_many(spark, rows, tmp_path):
     pairs = o.withColumn("domain", url.site_host(F.col("website"))).join(t, "domain")
     want = rows(pairs.select("id", "doc_id", text.contains_url(F.col("website"), F.col("text")), text.contains_exact(F.col("website"), F.col("text"))))
     assert rows(got) == want and {r[2:] for r in want} == {(True, True), (True, False), (False, True), (False, False)} and len(want) == 253 * 4 + 1 + 206
+
+
+def test_resolve_compares_equal_rows_once_and_names_by_bits(spark, rows, monkeypatch):
+    """Against the loop over all pairs, with cells dealt out, equal rows on both sides, nulls and names that are nearly alike."""
+    monkeypatch.setattr(resolve, "HOT_CELL", 3)
+    random.seed(11)
+    names = ["Masjid Al Noor", "Masjid An Noor", "Al Noor Centre", "Islamic Society of Place", "Islamic Society of Palace", "", None]
+    sites = [None, "", "https://a.example", "http://www.A.example/", "a.example/x", "b.example", "b.example"]
+    pick = lambda p: (random.choice(names), random.choice(sites), *random.choice([(45.0, -75.0), (45.002, -75.002), (45.01, -75.0), (0.0, 0.0), (None, -75.0), (45.0, None)]))
+    cand, orgs = [(f"c{i}", *pick(0)) for i in range(80)], [(f"o{i}", *pick(0)) for i in range(12)]
+    orgs += [(f"p{i}", *o[1:]) for i, o in enumerate(orgs[:4])]
+    cand.append(("d1", "Masjid Al Noor", "d.example/x", 50.0, -80.0))
+    orgs.append(("d2", "Masjid Al Noor", "d.example/y", 50.01, -80.0))
+    schema = "id string, name string, website string, lat double, lng double"
+    got = resolve.resolve(spark.createDataFrame(cand, schema), spark.createDataFrame(orgs, schema))
+    pieces = lambda n: {f"  {w} "[i : i + 3] for w in (n or "").lower().split() for i in range(len(w) + 1)}
+    site = lambda w: (w or "").lower().replace("https://", "").replace("http://", "").replace("www.", "")
+
+    def one(c):
+        found, near = [], set()
+        for o in orgs:
+            a, b, known = pieces(c[1]), pieces(o[1]), None not in (*c[3:], *o[3:])
+            like = len(a & b) / len(a | b) if a | b else 0.0
+            close = known and 111.32 * math.hypot(o[3] - c[3], (o[4] - c[4]) * math.cos(math.radians(c[3]))) <= 2 and like >= 0.45
+            s, t = site(c[2]), site(o[2])
+            found += [(1, -1.0, o[0])] if s and s == t and ("/" in s or close) else []
+            near |= {o[0]} if s and s.split("/")[0] == t.split("/")[0] and close else set()
+            found += [(3, -like, o[0])] if known and abs(o[3] - c[3]) <= 0.0023 and abs(o[4] - c[4]) <= 0.0031 and like >= 0.55 else []
+        return min(found + [(2, -0.9, o) for o in near if len(near) == 1], default=None)
+
+    want = [(c[0], w[2], ["exact", "domain", "geoname"][w[0] - 1], -w[1]) for c in cand if (w := one(c))]
+    assert rows(got.select("candidate_id", "org_id", "tier", "score")) == sorted(want, key=repr) and {w[2] for w in want} == {"exact", "domain", "geoname"}
