@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orgloom.functions import text, url
 from orgloom.operators import contained, crawl, directory, enrich, first, jobs, payloads, persist, proximity, quality, report, resolve, skew, upsert
-from orgloom.plans import expressions
+from orgloom.plans import catalogue, expressions
 
 
 def test_first_rows_and_cap(spark, rows):
@@ -468,3 +468,11 @@ def test_resolve_compares_equal_rows_once_and_names_by_bits(spark, rows, monkeyp
 
     want = [(c[0], w[2], ["exact", "domain", "geoname"][w[0] - 1], -w[1]) for c in cand if (w := one(c))]
     assert rows(got.select("candidate_id", "org_id", "tier", "score")) == sorted(want, key=repr) and {w[2] for w in want} == {"exact", "domain", "geoname"}
+
+
+def test_tier_counts_bound_names_by_bits(spark, rows, tmp_path):
+    schema = "id string, name string, website string, lat double, lng double"
+    spark.createDataFrame([("c1", "Masjid Noor", None, 45.0, -75.0), ("c2", "Masjid Noor", None, 45.0, -75.0), ("c3", "Other", "a.ca/x", None, None)], schema).write.parquet(f"{tmp_path}/org_candidates.parquet")
+    spark.createDataFrame([("o1", "Masjid Noor", None, 45.001, -75.0, None), ("o2", "Else", "a.ca/x", None, None, None), ("o3", "Else", "a.ca/x", None, None, "o2")], schema + ", merged_into string").write.parquet(f"{tmp_path}/organizations.parquet")
+    got = catalogue.QUERIES["tier_counts"](spark, str(tmp_path))
+    assert rows(got) == [("exact", 1), ("geoname", 2)] and "bit_count" in got._jdf.queryExecution().optimizedPlan().toString()
