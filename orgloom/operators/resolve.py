@@ -117,14 +117,15 @@ def resolve(candidates: DataFrame, organizations: DataFrame, km: float = 2.0, le
     candidates = candidates.select("id", F.xxhash64(*known, *alike).alias("key"), *alike)
     organizations = organizations.groupBy(*alike).agg(F.min("id").alias("id"), F.max("id").alias("last"))
     c, o = _side(candidates.dropDuplicates(["key"]).drop("id").withColumnRenamed("key", "id"), "c"), _side(organizations, "o", "last")
-    path = _same_path(c, o).groupBy("c_id").agg(F.min("o_id").alias("org"))
+    # an address with a path says all, so of the many organisations that give one ("n/a") only the smallest id has to meet its candidates
+    path = _same_path(c, o.groupBy("site").agg(F.min("o_id").alias("o_id")))
     same = (F.col("c_site") == F.col("o_site")) & ~F.col("c_site").contains("/")
     near = _near_pairs(c.withColumnRenamed("site", "c_site"), o.withColumnRenamed("site", "o_site"), "host", km, least).select("c_id", "o_id", "last", same.alias("same"))
     near = near.groupBy("c_id").agg(F.min(F.when(F.col("same"), F.col("o_id"))).alias("org"), F.min("o_id").alias("first"), F.max("last").alias("last"))
     # of a candidate only the earliest tier counts, so its row of the hosts is either exact or the domain's
     near = near.withColumn("rank", F.when(F.col("org").isNotNull(), 1).when(F.col("first") == F.col("last"), 2))
     hosts = near.filter("rank is not null").select("c_id", F.struct("rank", F.when(F.col("rank") == 1, -1.0).otherwise(-0.9).alias("less"), F.coalesce("org", "first").alias("org_id")).alias("best"))
-    paths = path.select("c_id", F.struct(F.lit(1).alias("rank"), F.lit(-1.0).alias("less"), F.col("org").alias("org_id")).alias("best"))
+    paths = path.select("c_id", F.struct(F.lit(1).alias("rank"), F.lit(-1.0).alias("less"), F.col("o_id").alias("org_id")).alias("best"))
     cells = _within_band(c, o, least_near).groupBy("c_id").agg(F.min(F.struct(F.lit(3).alias("rank"), (-F.col("score")).alias("less"), F.col("o_id").alias("org_id"))).alias("best"))
     found = paths.unionByName(hosts).unionByName(cells).groupBy("c_id").agg(F.min("best").alias("best"))
     tier = F.when(F.col("best.rank") == 1, "exact").when(F.col("best.rank") == 2, "domain").otherwise("geoname")

@@ -476,3 +476,24 @@ def test_tier_counts_bound_names_by_bits(spark, rows, tmp_path):
     spark.createDataFrame([("o1", "Masjid Noor", None, 45.001, -75.0, None), ("o2", "Else", "a.ca/x", None, None, None), ("o3", "Else", "a.ca/x", None, None, "o2")], schema + ", merged_into string").write.parquet(f"{tmp_path}/organizations.parquet")
     got = catalogue.QUERIES["tier_counts"](spark, str(tmp_path))
     assert rows(got) == [("exact", 1), ("geoname", 2)] and "bit_count" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tier_counts_on_an_address_of_many(spark, rows, tmp_path):
+    """No join makes a row for each pair of candidates and organisations that give one address with a path; the smallest id is kept."""
+    schema = "id string, name string, website string, lat double, lng double"
+    cand = [(f"c{i:03}", f"Candidate {i}", random.choice(["n/a", "N/A"]), None, None) for i in range(300)] + [("d1", "Other", "a.ca/x", None, None), ("d2", "Other", "b.ca/", None, None), ("d3", "Other", "n", None, None)]
+    orgs = [(f"o{i:03}", f"Organisation {i}", "n/a", None, None, None if i else "o001") for i in range(200)] + [("p2", "Else", "A.ca/x", None, None, None), ("p1", "Else", "http://a.ca/x", None, None, None), ("p3", "Else", "b.ca", None, None, None)]
+    spark.createDataFrame(cand, schema).write.parquet(f"{tmp_path}/org_candidates.parquet")
+    spark.createDataFrame(orgs, schema + ", merged_into string").write.parquet(f"{tmp_path}/organizations.parquet")
+
+    def joined(plan):
+        """The most rows that a join of a plan has made, in its last form."""
+        inner = "executedPlan" if plan.nodeName() == "AdaptiveSparkPlan" else "plan" if plan.nodeName().endswith("QueryStage") else None
+        below = [getattr(plan, inner)()] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+        made = plan.metrics().get("numOutputRows")
+        return max([made.get().value() if "Join" in plan.nodeName() and made.isDefined() else 0, *map(joined, below)])
+
+    got = catalogue.QUERIES["resolve_tiers"](spark, str(tmp_path))
+    assert rows(got) == [*[(c[0], "o001", "exact") for c in cand[:300]], ("d1", "p1", "exact")]
+    assert 0 < joined(got._jdf.queryExecution().executedPlan()) <= len(cand)
+    assert rows(catalogue.QUERIES["tier_counts"](spark, str(tmp_path))) == [("exact", 301)]
