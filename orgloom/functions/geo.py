@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,11 +66,12 @@ def flat_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> Colum
     return 111.32 * F.sqrt(F.pow(lat_a - lat_b, 2) + F.pow((lng_a - lng_b) * F.cos(F.radians(lat_b)), 2))
 
 
-def trigrams(text: Column) -> Column:
-    """The set of three-letter pieces of a text's words, each with two spaces before and one behind."""
+def trigrams(text: Column, of: Callable[[Column], Column] = lambda piece: piece) -> Column:
+    """The set of three-letter pieces of a text's words, each with two spaces before and one behind, or of what ``of`` makes of a piece."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    pieces = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, 3))
-    return F.array_distinct(F.flatten(F.transform(words, pieces)))
+    padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))  # once for a word, not for each piece
+    pieces = lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: of(F.substring(p, i, 3)))
+    return F.array_distinct(F.flatten(F.transform(padded, pieces)))
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:

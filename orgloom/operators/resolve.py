@@ -21,7 +21,7 @@ HOT_CELL = 2_000
 def _side(df: DataFrame, prefix: str, *others: str) -> DataFrame:
     """What the tiers compare, written once: pieces of names as 64-bit hashes, how many they are, and two words in which each sets a bit."""
     site, host = without_scheme(F.col("website")), site_host(F.col("website"))
-    hashes = F.transform(trigrams(F.coalesce("name", F.lit(""))), lambda g: F.xxhash64(g))
+    hashes = trigrams(F.coalesce("name", F.lit("")), F.xxhash64)
     rows = df.select(
         F.col("id").alias(f"{prefix}_id"), hashes.alias(f"{prefix}_grams"), F.col("lat").alias(f"{prefix}_lat"), F.col("lng").alias(f"{prefix}_lng"),
         F.when(site != "", site).alias("site"), F.when(host != "", host).alias("host"), *others,
@@ -49,15 +49,15 @@ def _near_pairs(c: DataFrame, o: DataFrame, on: str, km: float, least: float) ->
     """Pairs of equal ``on`` and like names at most ``km`` apart, joined by ``on`` and a grid cell together, so a host that many share is cut up by place.
 
     Rows of cells are as high as the distance, and columns as wide as it is at
-    84 degrees of latitude; beyond that a row is one cell. One side looks into the cells around its own.
+    84 degrees of latitude; beyond that a row is one cell. One side is copied to the cells that the distance reaches from it.
     """
     high, wide = km / 111.32 * 1.001, km / 111.32 / math.cos(math.radians(84.1)) * 1.001
     polar = lambda row: F.greatest(F.abs(row), F.abs(row + 1)) * high > 84
-    row = lambda s: F.floor(F.col(f"{s}_lat") / high)
-    col = lambda s, shift, r: F.when(polar(r), F.lit(0)).otherwise(F.floor(F.col(f"{s}_lng") / wide) + shift).cast("long")
-    c = c.filter("c_lat is not null and c_lng is not null").withColumn("row", row("c")).withColumn("col", col("c", 0, F.col("row")))
-    cells = F.array(*[F.struct((row("o") + i).alias("row"), col("o", j, row("o") + i).alias("col")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    o = o.filter("o_lat is not null and o_lng is not null").withColumn("cell", F.explode(F.array_distinct(cells))).select("*", "cell.row", "cell.col").drop("cell")
+    row, col = lambda s: F.floor(F.col(f"{s}_lat") / high), lambda lng: F.floor(lng / wide)
+    c = c.filter("c_lat is not null and c_lng is not null").withColumn("row", row("c")).withColumn("col", F.when(polar(F.col("row")), 0).otherwise(col(F.col("c_lng"))))
+    reach = high / F.cos(F.radians(F.least(F.abs("o_lat") + high, F.lit(84.1))))
+    cols = F.when(polar(F.col("row")), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(col(F.col("o_lng") - reach), col(F.col("o_lng") + reach)))
+    o = o.filter("o_lat is not null and o_lng is not null").withColumn("row", F.explode(F.array(*[row("o") + i for i in (-1, 0, 1)]))).withColumn("col", F.explode(cols))
     return c.join(o, [on, "row", "col"]).filter(_may_be_alike(least) & (_near() <= km) & (_similar() >= least)).drop("row", "col")
 
 
@@ -83,17 +83,15 @@ def domain_tier(candidates: DataFrame, organizations: DataFrame, km: float = 2.0
 def _within_band(c: DataFrame, o: DataFrame, least: float) -> DataFrame:
     """``c_id, o_id, score`` of the pairs within the band whose names are alike.
 
-    A band join would compare all with all; here both sides get a cell of a
-    little more than the band, one side also its eight neighbours, and the exact band is
+    A band join would compare all with all; here one side gets its cell of a
+    little more than twice the band's half widths, the other the cells that the band around it reaches, four as a rule, and the exact band is
     tested after the equality join. Each pair meets in one cell; cells of many
     candidates, as those of made-up coordinates, are dealt to several tasks.
     """
-    row = lambda c: F.floor(F.col(c) / (BAND_LAT * 1.01)).cast("long")
-    col = lambda c: F.floor(F.col(c) / (BAND_LNG * 1.01)).cast("long")
-    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    c = c.drop("site", "host").filter("c_lat is not null and c_lng is not null").withColumns({"row": row("c_lat"), "col": col("c_lng")})
-    o = o.drop("site", "host", "last").filter("o_lat is not null and o_lng is not null").withColumn("around", around)
-    o = o.withColumns({"row": row("o_lat") + F.col("around.i"), "col": col("o_lng") + F.col("around.j")}).drop("around")
+    cell = lambda x, half: F.floor(x / (half * 2.02))
+    reached = lambda x, half: F.explode(F.sequence(cell(F.col(x) - half * 1.01, half), cell(F.col(x) + half * 1.01, half)))
+    c = c.drop("site", "host").filter("c_lat is not null and c_lng is not null").withColumns({"row": cell(F.col("c_lat"), BAND_LAT), "col": cell(F.col("c_lng"), BAND_LNG)})
+    o = o.drop("site", "host", "last").filter("o_lat is not null and o_lng is not null").withColumn("row", reached("o_lat", BAND_LAT)).withColumn("col", reached("o_lng", BAND_LNG))
     near = (F.abs(F.col("c_lat") - F.col("o_lat")) <= BAND_LAT) & (F.abs(F.col("c_lng") - F.col("o_lng")) <= BAND_LNG)
     both = salted_join(o, c, ["row", "col"], hot=HOT_CELL).filter(near & _may_be_alike(least)).withColumn("score", _similar())
     return both.filter(F.col("score") >= least).select("c_id", "o_id", "score")

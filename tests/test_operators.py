@@ -497,3 +497,27 @@ def test_tier_counts_on_an_address_of_many(spark, rows, tmp_path):
     assert rows(got) == [*[(c[0], "o001", "exact") for c in cand[:300]], ("d1", "p1", "exact")]
     assert 0 < joined(got._jdf.queryExecution().executedPlan()) <= len(cand)
     assert rows(catalogue.QUERIES["tier_counts"](spark, str(tmp_path))) == [("exact", 301)]
+
+
+def test_tier_cells_lose_and_double_no_pair(spark, rows):
+    """Against all pairs, around borders of cells, the pole and the zero point; an organisation is copied to few cells."""
+    random.seed(5)
+    spots = [(45.0, -75.0), (0.0, 0.0), (83.99, 10.0), (84.02, 10.0), (89.99, -179.0), (-60.0, 30.0), (-84.0, 5.0)]
+    at = lambda x: (x[0] + random.uniform(-0.02, 0.02), x[1] + random.uniform(-0.02, 0.02) / max(math.cos(math.radians(x[0])), 0.001))
+    close = lambda x: (x[0] + random.uniform(-0.004, 0.004), x[1] + random.uniform(-0.004, 0.004))
+    cand, orgs = [[(f"{s}{i}", "Noor", "a.ca", *(at if i % 2 else close)(spots[i % 7])) for i in range(210)] for s in "co"]
+    schema = "id string, name string, website string, lat double, lng double"
+    c, o = resolve._side(spark.createDataFrame(cand, schema), "c"), resolve._side(spark.createDataFrame(orgs, schema), "o")
+    km = lambda a, b: 111.32 * math.hypot(b[3] - a[3], (b[4] - a[4]) * math.cos(math.radians(a[3])))
+    near = resolve._near_pairs(c.drop("site"), o.drop("site"), "host", 2.0, 0.45)
+    assert rows(near.select("c_id", "o_id")) == sorted((a[0], b[0]) for a in cand for b in orgs if km(a, b) <= 2)
+    band = resolve._within_band(c, o, 0.55)
+    assert rows(band.select("c_id", "o_id")) == sorted((a[0], b[0]) for a in cand for b in orgs if abs(a[3] - b[3]) <= resolve.BAND_LAT and abs(a[4] - b[4]) <= resolve.BAND_LNG)
+
+    def exploded(plan):
+        inner = "executedPlan" if plan.nodeName() == "AdaptiveSparkPlan" else "plan" if plan.nodeName().endswith("QueryStage") else None
+        below = [getattr(plan, inner)()] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+        return max([plan.metrics().get("numOutputRows").get().value() if plan.nodeName() == "Generate" else 0, *map(exploded, below)])
+
+    band.collect()
+    assert 0 < exploded(band._jdf.queryExecution().executedPlan()) < 6 * len(orgs)
