@@ -93,7 +93,7 @@ def _within_band(c: DataFrame, o: DataFrame, least: float) -> DataFrame:
     c = c.drop("site", "host").filter("c_lat is not null and c_lng is not null").withColumns({"row": cell(F.col("c_lat"), BAND_LAT), "col": cell(F.col("c_lng"), BAND_LNG)})
     o = o.drop("site", "host", "last").filter("o_lat is not null and o_lng is not null").withColumn("row", reached("o_lat", BAND_LAT)).withColumn("col", reached("o_lng", BAND_LNG))
     near = (F.abs(F.col("c_lat") - F.col("o_lat")) <= BAND_LAT) & (F.abs(F.col("c_lng") - F.col("o_lng")) <= BAND_LNG)
-    both = salted_join(o, c, ["row", "col"], hot=HOT_CELL).filter(near & _may_be_alike(least)).withColumn("score", _similar())
+    both = salted_join(o, c, ["row", "col"], hot=HOT_CELL, written=True).filter(near & _may_be_alike(least)).withColumn("score", _similar())
     return both.filter(F.col("score") >= least).select("c_id", "o_id", "score")
 
 
